@@ -118,7 +118,7 @@ def voronoi_top_k(df: DataFrame, k: int = 20, every: int = 20, scale: int = 64,
     small = lambda data, schema: F.broadcast(session.createDataFrame(data, schema))  # noqa: E731  at most pivots * groups rows
     cells = small([(int(i), int(g), chunks[g]) for i, g in group_of.items()], "qcell long, grp long, chunks long")
     sends = small([(int(j), int(g), float(needed[g][j]), chunks[g]) for g in needed for j in near], "cell long, grp long, least double, chunks long")
-    queries = placed.where("asked").join(cells, "qcell").select("grp", F.pmod(F.xxhash64("cls", F.lit(1)), F.col("chunks")).alias("chunk"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))).alias("part"), "cls", "vec")
+    queries = placed.where("asked").join(cells, "qcell").select("grp", F.pmod(F.xxhash64("cls", F.lit(1)), F.col("chunks")).alias("chunk"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))).alias("part"), F.col("cls").alias("qcls"), F.col("vec").alias("qvec"))
     data = placed.join(sends, "cell").where(F.col("cell_distance") >= F.col("least")).select("grp", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"), part.alias("part"), "cls", "vec", "ids")
 
     def solve(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
@@ -126,7 +126,7 @@ def voronoi_top_k(df: DataFrame, k: int = 20, every: int = 20, scale: int = 64,
         if len(q) and len(c):
             c = c.sort_values("cls", kind="stable")
             y, ids, at = _matrix(c["vec"], width), c["ids"].tolist(), int(c["part"].iloc[0])
-            x, owners = _matrix(q["vec"], width), q["cls"].tolist()
+            x, owners = _matrix(q["qvec"], width), q["qcls"].tolist()
             for lo in range(0, len(x), 128):
                 scores = x[lo : lo + 128] @ y.T  # whole numbers far below 2^53
                 for i, row in enumerate(scores):

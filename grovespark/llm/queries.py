@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from grovespark.llm.archive import page_records
 from grovespark.llm.bpe_automaton import encode_texts
 from grovespark.llm.bpe_counts import count_tokens
+from grovespark.llm.line_dedup import dedup_lines
+from grovespark.llm.fingerprints import document_fingerprints
 from grovespark.llm.knn import voronoi_top_k
 from grovespark.llm.packing import pack_documents
 from grovespark.llm.simhash import simhash_components
@@ -20,6 +22,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op2_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_texts(table(spark, sf_dir, "documents"), BYTE_BPE)
 
@@ -40,11 +46,15 @@ def op8_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_records(table(spark, sf_dir, "pages")).drop("verified")
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_kept", "text")
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), BYTE_BPE)
 
 
-QUERIES = {f.__name__: f for f in (op2_bpe_encoding, op3_exact_top_k, op4_simhash_near_dedup, op5_best_fit_packing, op8_warc_archive, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_document_fingerprints, op2_bpe_encoding, op3_exact_top_k, op4_simhash_near_dedup, op5_best_fit_packing, op8_warc_archive, op9_line_dedup, op10_token_counts)}
 
 ORACLES = {
     "op3_exact_top_k": """

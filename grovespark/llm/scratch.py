@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -19,9 +20,15 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def materialize(df: DataFrame, spark: SparkSession | None = None) -> DataFrame:
-    """Write df once as a shared table and read it back: cuts the lineage, survives lost executors."""
-    spark = spark or df.sparkSession
+def materialize(df: DataFrame, release: bool = False) -> DataFrame:
+    """Write df once as a shared table and read it back: cuts the lineage, survives lost executors.
+
+    release: the step shuffled much, so let the context cleaner drop the shuffle files of plans that are gone.
+    """
+    spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/grovespark-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    if release:
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
