@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from grovespark.llm.archive import page_records
 from grovespark.llm.bpe_automaton import encode_texts
 from grovespark.llm.bpe_counts import count_tokens
+from grovespark.llm.language import predict_language
 from grovespark.llm.line_dedup import dedup_lines
 from grovespark.llm.fingerprints import document_fingerprints
 from grovespark.llm.knn import voronoi_top_k
 from grovespark.llm.packing import pack_documents
 from grovespark.llm.simhash import simhash_components
+from grovespark.llm.toxicity import score_toxicity
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -42,6 +44,14 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), WORD_BPE)
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return predict_language(table(spark, sf_dir, "documents"))
+
+
 def op8_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_records(table(spark, sf_dir, "pages")).drop("verified")
 
@@ -54,7 +64,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), BYTE_BPE)
 
 
-QUERIES = {f.__name__: f for f in (op1_document_fingerprints, op2_bpe_encoding, op3_exact_top_k, op4_simhash_near_dedup, op5_best_fit_packing, op8_warc_archive, op9_line_dedup, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_document_fingerprints, op2_bpe_encoding, op3_exact_top_k, op4_simhash_near_dedup, op5_best_fit_packing, op6_toxicity, op7_language_id, op8_warc_archive, op9_line_dedup, op10_token_counts)}
 
 ORACLES = {
     "op3_exact_top_k": """
@@ -79,3 +89,12 @@ ORACLES = {
                CASE WHEN payload_bytes >= 1000 AND page_id < last THEN last END AS refers_to
         FROM d""",
 }
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES["pipeline"] = pipeline

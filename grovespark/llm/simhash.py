@@ -43,18 +43,18 @@ def simhash(words: list[bytes], width: int) -> int:
     return sum(1 << i for i in np.flatnonzero(2 * ones > n).tolist())
 
 
-def fingerprints(df: DataFrame, width: int = 3, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """(key, fp) of every row, fp a signed 64-bit integer; no shuffle. A-Z count as lower case; null text as empty."""
-    kind = df.schema[key].dataType.simpleString()
+def fingerprints(df: DataFrame, width: int = 3, text: str = "text", keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """(keys, fp) of every row, fp a signed 64-bit integer; no shuffle. A-Z count as lower case; null text as empty."""
+    kinds = ", ".join(f"{k} {df.schema[k].dataType.simpleString()}" for k in keys)
 
     def run(batches):
         for batch in batches:
             # bytes.lower() changes A-Z alone and bytes.split() parts at space and \x09-\x0D alone
-            fps = [signed(simhash((t or "").encode().lower().split(), width)) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64())], names=[key, "fp"])
+            fps = [signed(simhash((t or "").encode().lower().split(), width)) for t in batch.column(len(keys)).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keys)], pa.array(fps, pa.int64())], names=[*keys, "fp"])
 
     ensure_on_workers(df.sparkSession)
-    return df.select(key, F.col(text).alias("__text")).mapInArrow(run, f"{key} {kind}, fp bigint")
+    return df.select(*keys, F.col(text).alias("__text")).mapInArrow(run, f"{kinds}, fp bigint")
 
 
 def _flips(fp: Column, mask: Column) -> Column:
@@ -91,10 +91,28 @@ def simhash_components(df: DataFrame, width: int = 3, radius: int = 2, text: str
     Rows without words have fingerprint zero and are linked like any other. Equal fingerprints are one node, so that
     copies are never paired. A row with a null key keeps its fingerprint and joins its component, but never names it.
     """
-    prints = materialize(fingerprints(df, width, text, key))
+    prints = materialize(fingerprints(df, width, text, (key,)))
+    where = materialize(_components(prints, key, radius))
+    return prints.join(where, "fp").select(key, F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def _components(prints: DataFrame, key: str, radius: int) -> DataFrame:
+    """(fp, component_id): the least key of each fingerprint's component."""
     nodes = materialize(prints.groupBy("fp").agg(F.min(key).alias("least")))
     found = connected_components(links(nodes.select("fp"), radius))
     placed = materialize(nodes.join(found, nodes["fp"] == found["node"], "left").select("fp", "least", F.coalesce("component", "fp").alias("component")))
     named = materialize(placed.groupBy("component").agg(F.min("least").alias("component_id")))
-    where = materialize(placed.join(named, "component").select("fp", "component_id"))
-    return prints.join(where, "fp").select(key, F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    return placed.join(named, "component").select("fp", "component_id")
+
+
+def near_dedup(df: DataFrame, width: int = 5, radius: int = 2, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """df with one row of each component, that with the least (key, text hash). Rows with a null key pass unjudged.
+
+    Rows without words are one component. Columns stay as they are.
+    """
+    known = df.where(F.col(key).isNotNull()).withColumn("__tx", F.xxhash64(text))
+    prints = materialize(fingerprints(known, width, text, (key, "__tx")).withColumn("at", F.struct(key, "__tx")))
+    components = materialize(_components(prints, "at", radius))
+    keepers = components.select(F.col("component_id").alias("at")).distinct().select(F.col(f"at.{key}").alias(key), "at.__tx")
+    kept = known.join(materialize(keepers), [key, "__tx"]).dropDuplicates([key, "__tx"])
+    return kept.select(df.columns).unionByName(df.where(F.col(key).isNull()))
