@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from grovespark.llm.pieces import BYTE_SPECIAL, PieceTable, blocks, gather, pretokens
+from grovespark.llm.pieces import BYTE_SPECIAL, PieceTable, blocks, gather, pretokens, small
 from grovespark.session import ensure_on_workers
 
 NEVER = 1 << 60
@@ -166,7 +166,7 @@ def encode_texts(df: DataFrame, path: str, text: str = "text", key: str = "doc_i
 
     def run(batches):
         automaton, table = ready(path)
-        for batch in batches:
+        for batch in small(batches):
             texts = [t or "" for t in batch.column(1).to_pylist()]
             n, ids_sha, text_sha, kept = [], [], [], []
             for lo, hi in blocks(texts):

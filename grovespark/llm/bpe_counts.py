@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from grovespark.llm.bpe_automaton import load_merges
-from grovespark.llm.pieces import BYTE_SPECIAL, PieceTable, blocks, pretokens, sums
+from grovespark.llm.pieces import BYTE_SPECIAL, PieceTable, blocks, pretokens, small, sums
 from grovespark.session import ensure_on_workers
 
 NO_RANK = np.int64(1 << 40)
@@ -123,7 +123,7 @@ def count_tokens(df: DataFrame, path: str, limit: int = 512, text: str = "text",
 
     def run(batches):
         table = ready(path)
-        for batch in batches:
+        for batch in small(batches):
             texts = [t or "" for t in batch.column(1).to_pylist()]
             found = []
             for lo, hi in blocks(texts):

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from grovespark.llm.charlm import LETTERS, KneserNey, count_ngrams, score_words
-from grovespark.llm.pieces import blocks, sums
+from grovespark.llm.pieces import blocks, small, sums
 from grovespark.session import ensure_on_workers
 
 ORDER = 4
@@ -44,7 +44,7 @@ class LanguageModels:
     def entropies(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Cross-entropy of each text under each language, and its letters and word ends; without letters: 0."""
         state = self.__dict__.setdefault("_state", {})
-        if not state or len(state["words"]) > 500_000:
+        if not state or len(state["words"]) > 200_000:
             state.update(words=_Words(), value=np.zeros((0, len(self.models))), size=np.zeros(0, np.int64))
         words, numbers, counts = state["words"], [], []
         for t in texts:
@@ -94,7 +94,7 @@ def entropy_table(df: DataFrame, models: LanguageModels, text: str, keep: list[s
 
     def run(batches):
         m = shared.value
-        for batch in batches:
+        for batch in small(batches):
             texts = [t or "" for t in batch.column(len(keep)).to_pylist()]
             best, entropy, score, letters, rejected = [], [], [], [], []
             for lo, hi in blocks(texts):
@@ -123,7 +123,7 @@ def drop_unknown(df: DataFrame, models: LanguageModels, text: str = "text") -> D
 
     def run(batches):
         m = shared.value
-        for batch in batches:
+        for batch in small(batches):
             texts, keep = [t or "" for t in batch.column(text).to_pylist()], []
             for lo, hi in blocks(texts):
                 if m.languages:

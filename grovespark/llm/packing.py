@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from grovespark.llm.bpe_automaton import byte_symbols
-from grovespark.llm.pieces import PieceTable, blocks
+from grovespark.llm.pieces import PieceTable, blocks, small
 from grovespark.llm.scratch import materialize
 from grovespark.session import ensure_on_workers
 
@@ -42,7 +42,7 @@ def _ready(path: str):
 
         def encode_many(queue):
             ids, lengths = [], []
-            if len(known) > 500_000:
+            if len(known) > 200_000:
                 known.clear()
             for _, piece in queue:
                 before = len(ids)
@@ -79,7 +79,7 @@ def cut_documents(df: DataFrame, path: str, capacity: int = 4096, end_id: int =
     schema = f"{key} {kind}, piece int, start bigint, length bigint, ids_crc32 bigint"
 
     def run(batches):
-        for batch in batches:
+        for batch in small(batches):
             texts = [t or "" for t in batch.column(1).to_pylist()]
             keys, rows = batch.column(0).to_pylist(), []
             for lo, hi in blocks(texts):

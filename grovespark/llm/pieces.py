@@ -42,7 +42,7 @@ class PieceTable:
     special: the string that is a token of its own wherever it occurs, with its id; None if there is none.
     """
 
-    def __init__(self, encode_many, special=None, special_id=None, limit=600_000):
+    def __init__(self, encode_many, special=None, special_id=None, limit=250_000):
         self.encode_many, self.special, self.special_id, self.limit = encode_many, special, special_id, limit
         self.clear()
 
@@ -151,3 +151,10 @@ def blocks(texts, max_chars: int = 1_500_000):
         size += len(t)
     if start < len(texts):
         yield start, len(texts)
+
+
+def small(batches, rows: int = 256):
+    """Arrow batches in slices of so many rows, so that a worker holds few texts as Python strings at a time."""
+    for batch in batches:
+        for lo in range(0, batch.num_rows, rows):
+            yield batch.slice(lo, rows)

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from grovespark.llm.components import connected_components
+from grovespark.llm.pieces import small
 from grovespark.llm.scratch import materialize
 from grovespark.session import ensure_on_workers
 
@@ -48,7 +49,7 @@ def fingerprints(df: DataFrame, width: int = 3, text: str = "text", keys: tuple[
     kinds = ", ".join(f"{k} {df.schema[k].dataType.simpleString()}" for k in keys)
 
     def run(batches):
-        for batch in batches:
+        for batch in small(batches):
             # bytes.lower() changes A-Z alone and bytes.split() parts at space and \x09-\x0D alone
             fps = [signed(simhash((t or "").encode().lower().split(), width)) for t in batch.column(len(keys)).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keys)], pa.array(fps, pa.int64())], names=[*keys, "fp"])
