@@ -1,6 +1,6 @@
 """Homomorphic multiset fingerprints of documents, with DataFrame functions alone.
 
-A text is cut into paragraphs, and those at punctuation. Each unit is hashed to a wide vector of zeros and ones; the
+A text is cut into paragraphs, and those at sentence ends. Each unit is hashed to a wide vector of zeros and ones; the
 fingerprint is the sum of its units' vectors, lane by lane modulo 2^16, with the count of units and two sums of whole
 hashes modulo 2^64. So it does not depend on the order of units, and units are put in or taken out by adding or
 subtracting their fingerprint. As lanes are independent signs, the scalar product of two fingerprints estimates how
@@ -16,14 +16,15 @@ from grovespark.llm.scratch import materialize
 
 LANES = 128
 LANE_MOD = 1 << 16
-UNIT_END = r"(?<=[.!?,;:|\n])"
+UNIT_END = r"(?<=[.!?;\n])"
 #: Two lanes of 32 bits lie in one 64-bit sum, which holds 2^31 units before they touch.
 PAIR = (1 << 32) | 1
 LOW = (1 << 32) - 1
 
 
 def units(text: Column) -> Column:
-    return F.filter(F.split(F.coalesce(text, F.lit("")), UNIT_END, -1), lambda u: u != "")
+    """Paragraphs and sentences without white space around them; blank ones don't count."""
+    return F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), UNIT_END, -1), lambda u: F.trim(u)), lambda u: (u != "") & (u != "\n"))
 
 
 def _pair_sums(hashes: str) -> Column:
@@ -51,7 +52,8 @@ def with_fingerprint(df: DataFrame, text: str, name: str) -> DataFrame:
     """
     seeds = range(LANES // 64)
     df = df.withColumn("__units", units(F.col(text)))
-    df = df.withColumns({f"__h{s}": F.transform("__units", lambda u, s=s: F.xxhash64(u, F.lit(s))) for s in seeds})
+    hashed = lambda s: F.transform("__units", lambda u: F.xxhash64(u, F.lit(s)))
+    df = df.withColumns({f"__h{s}": hashed(s) for s in seeds})
     df = df.withColumns({f"__p{s}": _pair_sums(f"__h{s}") for s in seeds})
     lanes = F.concat(*[c for s in seeds for c in _unpacked(f"__p{s}")])
     made = F.struct(lanes.alias("lanes"), F.size("__units").cast("long").alias("n"), F.concat(*[_whole_sum(F.col(f"__h{s}")) for s in seeds]).alias("sums"))
