@@ -55,9 +55,12 @@ def write_archive(pages: DataFrame, min_revisit: int = 1000, key: str = "page_id
         F.concat(F.lit("Content-Length: "), F.when(revisit, F.lit(0)).otherwise(F.col("bytes")).cast("string"), F.lit(CRLF + CRLF)),
     )
     headers = materialize(full.select(header.alias("header"), "address"))
-    # bytes go to the store where their row is the keeper; equal rows with one key are stored once by the aggregate
-    store = rows.withColumn("address", F.sha2("payload", 256)).join(keeper.select("address", "keeper"), "address").where(F.col("id").eqNullSafe(F.col("keeper")))
-    payloads = materialize(store.groupBy("address").agg(F.first("payload").alias("payload")))
+    # bytes go to the store where their row is the keeper; equal rows with one key are stored once by the aggregate.
+    # Both go by the same two keys, so that payloads are shuffled once; a null key counts as the least number.
+    known_key = lambda c: F.coalesce(c, F.lit(-(1 << 63))).alias("k")
+    kept = keeper.select("address", known_key(F.col("keeper")))
+    store = rows.select(F.sha2("payload", 256).alias("address"), known_key(F.col("id")), "payload").join(kept, ["address", "k"])
+    payloads = materialize(store.groupBy("address", "k").agg(F.first("payload").alias("payload")).drop("k"))
     return headers, payloads
 
 
