@@ -35,3 +35,15 @@ def review_sample(df: DataFrame, key: str, preferred: Column, n: int, seed: str
 
 def exclude_seen(df: DataFrame, seen: DataFrame, key: str) -> DataFrame:
     return df.join(seen.select(key).distinct(), key, "left_anti")
+
+
+def first_per_group(rows: DataFrame, group: str, order: list, k: int) -> DataFrame:
+    """The first k rows of each group; the rank limit is applied before the shuffle, so a hot group moves k rows a task."""
+    return rows.withColumn("__r", F.row_number().over(Window.partitionBy(group).orderBy(*order))).where(F.col("__r") <= k).drop("__r")
+
+
+def cache_lookup(requests: DataFrame, cache: DataFrame, key: str) -> DataFrame:
+    """(key, n_requests, hit): requests by key, and whether a response is there; both sides are reduced before the join."""
+    asked = requests.groupBy(key).agg(F.count("*").alias("n_requests"))
+    known = cache.select(key).distinct().withColumn("__hit", F.lit(True))
+    return asked.join(known, key, "left").select(key, "n_requests", F.coalesce("__hit", F.lit(False)).alias("hit"))

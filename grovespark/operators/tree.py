@@ -60,3 +60,41 @@ def fix_depth(nodes: DataFrame, limit: int) -> DataFrame:
     """Nodes deeper than limit go; those at the limit become atomic."""
     deep = F.size(F.split("id", "/")) - 1
     return nodes.where(deep <= limit).withColumn("node_type", F.when(deep == limit, "atomic").otherwise(F.col("node_type")))
+
+
+def child_counts(nodes: DataFrame) -> DataFrame:
+    """Adds n_children to the nodes that have any."""
+    counts = nodes.where("parent_id is not null").groupBy(F.col("parent_id").alias("__p")).agg(F.count("*").alias("n_children"))
+    return nodes.join(counts, F.col("id") == F.col("__p")).drop("__p")
+
+
+def childless(some: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The rows of some that no node of the forest has as its parent."""
+    return some.join(nodes.where("parent_id is not null").select(F.col("parent_id").alias("__p")), F.col("id") == F.col("__p"), "left_anti")
+
+
+def children_of(listed: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(id, pos, child_id) of children lists, in order; children that are not nodes are left out."""
+    known = nodes.select(F.col("id").alias("child_id"))
+    return listed.select("id", F.posexplode("children_ids").alias("pos", "child_id")).join(known, "child_id", "left_semi")
+
+
+def drop_references(listed: DataFrame, gone: DataFrame) -> DataFrame:
+    """Children lists without the ids that are gone, in order; lists come together again after one anti-join."""
+    left = listed.select("id", F.posexplode("children_ids").alias("pos", "child")).join(gone.select(F.col("id").alias("child")), "child", "left_anti")
+    lists = left.groupBy("id").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "child"))), lambda x: x["child"]).alias("children_ids"))
+    return listed.drop("children_ids").join(lists, "id", "left").withColumn("children_ids", F.coalesce("children_ids", F.array().cast("array<string>")))
+
+
+def breadcrumb(nodes: DataFrame, separator: str = " > ") -> DataFrame:
+    """(id, breadcrumb): names from the root to the node; as many names meet in a group as the tree is deep."""
+    steps = path_ancestors(nodes).unionByName(nodes.select("id", F.col("id").alias("ancestor_id"), F.lit(0).alias("distance")))
+    named = steps.join(nodes.select(F.col("id").alias("ancestor_id"), "name"), "ancestor_id")
+    trail = F.array_sort(F.collect_list(F.struct((-F.col("distance")).alias("d"), "name")))
+    return named.groupBy("id").agg(F.array_join(F.transform(trail, lambda x: x["name"]), separator).alias("breadcrumb"))
+
+
+def publish_rows(nodes: DataFrame) -> DataFrame:
+    """(id, depth from 1, description without nulls, is_leaf, is_atomic)."""
+    parents = nodes.where("parent_id is not null").select(F.col("parent_id").alias("__p")).distinct()
+    return nodes.join(parents, F.col("id") == F.col("__p"), "left").select("id", F.size(F.split("id", "/")).alias("depth"), F.coalesce("description", F.lit("")).alias("description"), F.col("__p").isNull().alias("is_leaf"), (F.col("node_type") == "atomic").alias("is_atomic"))
