@@ -172,3 +172,20 @@ def review_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def response_cache_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = _table(spark, sf_dir, "conversations").where("text is not null").withColumn("key", F.sha2("text", 256))
     return curate.cache_lookup(turns.where("conv_id % 2 = 1"), turns.where("conv_id % 2 = 0"), "key")
+
+
+@query(f"""SELECT d.id AS domain, count(a.phrase) AS n_found, coalesce(string_agg(CASE WHEN a.phrase IS NULL THEN e.phrase END, ',' ORDER BY e.phrase), '') AS missing, count(a.phrase) >= 10 AS passed
+ FROM n d JOIN (VALUES {_VALUES}) e(phrase) ON d.node_type = 'domain' LEFT JOIN (SELECT DISTINCT string_split(id,'/')[1] AS dom, phrase FROM n JOIN (VALUES {_VALUES}) v(phrase) ON starts_with(lower(name), phrase || ' ') WHERE node_type = 'atomic') a ON a.dom = d.id AND a.phrase = e.phrase GROUP BY 1""")
+def coverage_report(n):
+    phrases = n.sparkSession.createDataFrame([(v,) for v in VERBS], "phrase string")
+    found = lexicon.prefix_match(n.where("node_type = 'atomic'"), phrases, most_words=max(len(v.split()) for v in VERBS))
+    return reports.coverage(n.where("node_type = 'domain'").select(F.col("id").alias("domain")), found.select(T.domain_of(F.col("id")).alias("domain"), "phrase"), VERBS, 10)
+
+
+@query(f"""SELECT check_name, pct, CASE WHEN pct <= ok THEN 'PASS' WHEN pct <= warn THEN 'WARN' ELSE 'FAIL' END AS status FROM (
+ SELECT 'step' AS check_name, 5 AS ok, 15 AS warn, round(100.0 * count(*) FILTER (WHERE regexp_matches(lower(trim(description)), '^step\\s+\\d+\\s*:')) / greatest(count(*), 1), 2) AS pct FROM n
+ UNION ALL SELECT 'empty', 10, 20, round(100.0 * count(*) FILTER (WHERE coalesce(description, '') = '') / greatest(count(*), 1), 2) FROM n
+ UNION ALL SELECT 'template', 10, 20, round(100.0 * count(*) FILTER (WHERE ({_GENERIC}) IS NOT NULL) / greatest(count(*), 1), 2) FROM (SELECT *, {_WORDS} AS w FROM n))""")
+def qa_suite(n):
+    checks = [("step", R.step_description(F.col("description")), 5, 15), ("empty", F.coalesce("description", F.lit("")) == "", 10, 20), ("template", R.generic_template(F.col("name"), F.col("description")).isNotNull(), 10, 20)]
+    return reports.qa_suite(n, checks)
