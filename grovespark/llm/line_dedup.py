@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from grovespark.llm.components import connected_components
+from grovespark.llm.buckets import bucket_classes
 from grovespark.llm.prefilter import likely
 from grovespark.llm.scratch import materialize
 
@@ -82,52 +82,23 @@ def shingles(norm: Column, width: int) -> Column:
     return F.array_distinct(F.transform(F.when(sparse, _everywhere(norm, width)).otherwise(at_words), lambda s: F.xxhash64(s)))
 
 
-def _candidates(keyed: DataFrame) -> DataFrame:
-    """(key, id, lo, hi): each line of a shared bucket with the bucket's least and greatest line."""
-    ends = materialize(keyed.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo <> hi"), release=True)
-    return likely(keyed, ends, "key").join(ends, "key").select("key", "id", "lo", "hi")
-
-
-def _sets(pairs: DataFrame, lines: DataFrame, width: int) -> DataFrame:
-    """(id, x): the shingles of the lines that occur in pairs."""
-    ids = materialize(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
+def _sets(ids: DataFrame, lines: DataFrame, width: int) -> DataFrame:
+    """(id, x): the shingles of the lines with these ids."""
     texts = likely(lines, ids, "id").distinct().join(ids, "id")
-    return materialize(texts.select("id", shingles(F.col("norm"), width).alias("x")), release=True)
-
-
-def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """Of pairs (a, b), those whose lines have at least the threshold as exact Jaccard similarity of shingles."""
-    with_a = pairs.join(sets.select(F.col("id").alias("a"), "x"), "a")
-    full = with_a.join(sets.select(F.col("id").alias("b"), F.col("x").alias("y")), "b")
-    shared = full.select("a", "b", F.size("x").alias("nx"), F.size("y").alias("ny"), F.size(F.array_intersect("x", "y")).alias("both"))
-    near = F.col("both") >= threshold * F.greatest(F.lit(1), F.col("nx") + F.col("ny") - F.col("both"))
-    return materialize(shared.where(near).select("a", "b"), release=True)
+    return texts.select("id", shingles(F.col("norm"), width).alias("x"))
 
 
-def line_classes(df: DataFrame, width: int = 8, threshold: float = 0.8, text: str = "text", key: str = "doc_id", rounds: int = 2) -> tuple[DataFrame, DataFrame]:
+def line_classes(df: DataFrame, width: int = 8, threshold: float = 0.8, text: str = "text", key: str = "doc_id") -> tuple[DataFrame, DataFrame]:
     """(occurrences, classes): every line's (key, tx, pos, id), and (id, class) of the ids in components of several.
 
-    In each round every line of a bucket is held against the bucket's least and greatest line, and what is like
-    neither goes to the next round with what is left of its bucket; no bucket is capped and none is paired in full.
+    The components are those of all pairs of lines that share a bucket and reach the threshold (see `buckets`).
     """
     lines = line_table(df, text, key)
     occurrences = materialize(signatures(lines, key))
     keyed = occurrences.select(F.explode("keys").alias("key"), "id")
-    found = sets = None
-    for step in range(rounds):
-        near = materialize(_candidates(keyed).distinct(), release=True)
-        pair = lambda x: near.where(f"id <> {x}").select(F.greatest("id", x).alias("a"), F.least("id", x).alias("b"))  # noqa: E731, B023
-        pairs = materialize(pair("lo").unionByName(pair("hi")).distinct())
-        if sets is None:  # later rounds pair lines of the first alone
-            sets = _sets(pairs, lines.select(F.xxhash64("norm").alias("id"), "norm"), width)
-        edges = _verified(pairs, sets, threshold)
-        found = edges if found is None else found.unionByName(edges)
-        if step + 1 < rounds:
-            both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-            to = lambda end: both.select(F.col("a").alias("id"), F.col("b").alias(end))  # noqa: E731, B023
-            left = near.where("id <> lo and id <> hi").join(to("lo"), ["id", "lo"], "left_anti").join(to("hi"), ["id", "hi"], "left_anti")
-            keyed = materialize(left.select("key", "id"), release=True)
-    return occurrences.drop("keys"), connected_components(found).select(F.col("node").alias("id"), F.col("component").alias("class"))
+    named = lines.select(F.xxhash64("norm").alias("id"), "norm")
+    found = bucket_classes(keyed, lambda ids: _sets(ids, named, width), threshold)
+    return occurrences.drop("keys"), found.select(F.col("node").alias("id"), F.col("component").alias("class"))
 
 
 def dedup_lines(df: DataFrame, width: int = 8, threshold: float = 0.8, text: str = "text", key: str = "doc_id") -> DataFrame:
