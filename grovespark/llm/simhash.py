@@ -14,8 +14,10 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from grovespark.llm.buckets import bucket_classes
 from grovespark.llm.components import connected_components
 from grovespark.llm.pieces import small
+from grovespark.llm.prefilter import likely
 from grovespark.llm.scratch import materialize
 from grovespark.session import ensure_on_workers
 
@@ -106,14 +108,93 @@ def _components(prints: DataFrame, key: str, radius: int) -> DataFrame:
     return placed.join(named, "component").select("fp", "component_id")
 
 
-def near_dedup(df: DataFrame, width: int = 5, radius: int = 2, text: str = "text", key: str = "doc_id") -> DataFrame:
+#: Independent sub-fingerprints of the near-copy stage; each has 2^(radius + 1) - 1 positions and as many tables.
+SUBS = 5
+
+
+def shingle_hashes(words: list[bytes], width: int) -> np.ndarray:
+    """Distinct XXH64 (seed 42) of the shingles, sorted; fewer words than a shingle are one; no words: none."""
+    own = ([words] if words else []) if len(words) < width else zip(*(words[k:] for k in range(width)), strict=False)
+    hashed = xxhash.xxh64_intdigest
+    return np.array(sorted({hashed(b" ".join(s), 42) for s in own}), np.uint64)
+
+
+def _constants(name: str, shape: tuple[int, ...]) -> np.ndarray:
+    n = int(np.prod(shape))
+    return np.array([xxhash.xxh64_intdigest(f"{name}{i}") | 1 for i in range(n)], np.uint64).reshape(shape)
+
+
+class Cover:
+    """Keys of a set under covering tables over min-wise sub-fingerprints.
+
+    A sub-fingerprint has 2^(radius + 1) - 1 positions, each the least element of the set in an order of its own, so
+    that two sets agree in a position with a chance of their Jaccard similarity. By the covering masks two sets meet
+    in a table of a sub-fingerprint in which at most `radius` positions differ: at Jaccard 0.8 and radius 2 in one of
+    7 positions with a chance of 0.85, in one of five sub-fingerprints with one of 0.9999.
+    """
+
+    def __init__(self, radius: int, subs: int = SUBS):
+        size = 2 ** (radius + 1) - 1
+        self.turn, self.spread = _constants("turn", (subs * size, 1)), _constants("spread", (subs * size, 1))
+        kept = np.array([[m >> i & 1 for i in range(size)] for m in covering_masks(radius, size)], np.uint64)
+        self.tables = np.kron(np.eye(subs, dtype=np.uint64), kept) * _constants("table", (subs * size, subs * size))
+
+    def keys(self, hashes: np.ndarray) -> list[int]:
+        least = None
+        for lo in range(0, len(hashes), 20_000):
+            own = ((hashes[lo : lo + 20_000] ^ self.turn) * self.spread).min(axis=1)
+            least = own if least is None else np.minimum(least, own)
+        if least is None:
+            return []
+        # tables of unlike coefficients never share a key but by chance of 2^-64
+        return (self.tables * least).sum(axis=1, dtype=np.uint64).view(np.int64).tolist()
+
+
+def _covered(df: DataFrame, width: int, radius: int, text: str, keys: tuple[str, ...]) -> DataFrame:
+    """(keys, id, keys): id names the set of shingles, equal for equal sets, zero without words; no shuffle."""
+    kinds = ", ".join(f"{k} {df.schema[k].dataType.simpleString()}" for k in keys)
+
+    def run(batches):
+        cover = Cover(radius)
+        for batch in small(batches):
+            sets = [shingle_hashes((t or "").encode().lower().split(), width) for t in batch.column(len(keys)).to_pylist()]
+            ids = [signed(xxhash.xxh64_intdigest(h.tobytes())) if len(h) else 0 for h in sets]
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keys)], pa.array(ids, pa.int64()), pa.array([cover.keys(h) for h in sets], pa.list_(pa.int64()))], names=[*keys, "id", "keys"])
+
+    ensure_on_workers(df.sparkSession)
+    return df.select(*keys, F.col(text).alias("__text")).mapInArrow(run, f"{kinds}, id bigint, keys array<bigint>")
+
+
+def _shingle_sets(df: DataFrame, width: int, text: str) -> DataFrame:
+    """(id, x): the distinct shingle hashes of each row."""
+
+    def run(batches):
+        for batch in small(batches):
+            sets = [shingle_hashes((t or "").encode().lower().split(), width).view(np.int64) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["id", "x"])
+
+    ensure_on_workers(df.sparkSession)
+    return df.select("id", F.col(text).alias("__text")).mapInArrow(run, "id bigint, x array<bigint>")
+
+
+def near_dedup(df: DataFrame, width: int = 5, radius: int = 2, text: str = "text", key: str = "doc_id", threshold: float = 0.8) -> DataFrame:
     """df with one row of each component, that with the least (key, text hash). Rows with a null key pass unjudged.
 
+    Rows are linked whose sets of word shingles have at least the threshold as exact Jaccard similarity (sets of 64-bit
+    hashes), among all that meet in a covering table of one of the independent sub-fingerprints (see Cover). A 64-bit
+    SimHash would have to be covered to about 16 bits for this threshold, which takes 2^17 tables.
     Rows without words are one component. Columns stay as they are.
     """
     known = df.where(F.col(key).isNotNull()).withColumn("__tx", F.xxhash64(text))
-    prints = materialize(fingerprints(known, width, text, (key, "__tx")).withColumn("at", F.struct(key, "__tx")))
-    components = materialize(_components(prints, "at", radius))
-    keepers = components.select(F.col("component_id").alias("at")).distinct().select(F.col(f"at.{key}").alias(key), "at.__tx")
+    prints = materialize(_covered(known, width, radius, text, (key, "__tx")))
+    nodes = materialize(prints.groupBy("id").agg(F.min(F.struct(key, "__tx")).alias("at")))
+
+    def sets_of(ids: DataFrame) -> DataFrame:
+        chosen = materialize(nodes.join(ids, "id").select("id", f"at.{key}", "at.__tx"))
+        return _shingle_sets(likely(known.select(key, "__tx", text), chosen, "__tx").join(chosen, [key, "__tx"]), width, text)
+
+    found = bucket_classes(prints.select("id", F.explode("keys").alias("key")), sets_of, threshold)
+    placed = nodes.join(found, nodes["id"] == found["node"], "left").select("at", F.coalesce("component", "id").alias("component"))
+    keepers = placed.groupBy("component").agg(F.min("at").alias("at")).select(f"at.{key}", "at.__tx")
     kept = known.join(materialize(keepers), [key, "__tx"]).dropDuplicates([key, "__tx"])
     return kept.select(df.columns).unionByName(df.where(F.col(key).isNull()))
