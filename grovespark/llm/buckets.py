@@ -33,20 +33,22 @@ def _parity(x: Column, word: int) -> Column:
     return F.aggregate(own, F.lit(0).cast("long"), lambda s, h: s.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(F.lit(63)).cast("int"))))
 
 
-def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+def verified(pairs: DataFrame, bodies: DataFrame, elements: Callable[[Column], Column], threshold: float) -> DataFrame:
     """Of pairs (a, b), those whose sets have at least the threshold as exact Jaccard similarity."""
-    with_a = pairs.join(sets.select(F.col("id").alias("a"), "x"), "a")
-    full = with_a.join(sets.select(F.col("id").alias("b"), F.col("x").alias("y")), "b")
+    with_a = pairs.join(bodies.select(F.col("id").alias("a"), F.col("body").alias("v")), "a")
+    both = with_a.join(bodies.select(F.col("id").alias("b"), F.col("body").alias("w")), "b")
+    full = both.select("a", "b", elements(F.col("v")).alias("x"), elements(F.col("w")).alias("y"))
     shared = full.select("a", "b", F.size("x").alias("nx"), F.size("y").alias("ny"), F.size(F.array_intersect("x", "y")).alias("both"))
     near = F.col("both") >= threshold * F.greatest(F.lit(1), F.col("nx") + F.col("ny") - F.col("both"))
     return materialize(shared.where(near).select("a", "b"), release=True)
 
 
-def _pairs(members: DataFrame, sets: DataFrame, threshold: float, block: int) -> DataFrame:
+def _pairs(members: DataFrame, bodies: DataFrame, elements: Callable[[Column], Column], threshold: float, block: int) -> DataFrame:
     """(a, b) of every two members (key, id, part) of a bucket with different parts that may reach the threshold."""
     sizes = materialize(members.groupBy("key").agg(F.count("*").alias("n"), F.min("part").alias("p"), F.max("part").alias("q")).where("p <> q").drop("p", "q"))
     open_ = materialize(members.join(sizes, "key").withColumn("blocks", F.ceil(F.col("n") / block).cast("int")).drop("n"))
-    marks = materialize(sets.join(open_.select("id").distinct(), "id").select("id", F.size("x").alias("n"), *[_parity(F.col("x"), w).alias(f"w{w}") for w in range(WORDS)]))
+    sets = bodies.join(open_.select("id").distinct(), "id").select("id", elements(F.col("body")).alias("x"))
+    marks = materialize(sets.select("id", F.size("x").alias("n"), *[_parity(F.col("x"), w).alias(f"w{w}") for w in range(WORDS)]))
     own = materialize(open_.join(marks, "id").withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")))
     columns = ["id", "part", "n", *[f"w{w}" for w in range(WORDS)]]
     one = own.select("key", F.col("own").alias("i"), F.explode(F.sequence("own", F.col("blocks") - 1)).alias("j"), *[F.col(c).alias(f"a_{c}") for c in columns])
@@ -60,19 +62,20 @@ def _pairs(members: DataFrame, sets: DataFrame, threshold: float, block: int) ->
     return materialize(met.select(F.greatest("a_id", "b_id").alias("a"), F.least("a_id", "b_id").alias("b")).distinct(), release=True)
 
 
-def bucket_classes(keyed: DataFrame, sets_of: Callable[[DataFrame], DataFrame], threshold: float, block: int = BLOCK) -> DataFrame:
+def bucket_classes(keyed: DataFrame, bodies_of: Callable[[DataFrame], DataFrame], elements: Callable[[Column], Column], threshold: float, block: int = BLOCK) -> DataFrame:
     """(node, component) over all pairs that share a bucket of keyed (key, id) and reach the threshold.
 
-    sets_of gives (id, x), x an array of distinct hashes, for a table of ids. The components are those of all such
-    pairs: two members are left uncompared only where they are in one component already.
+    bodies_of gives (id, body) for a table of ids, and elements the array of distinct hashes that a body stands for; it
+    is worked out after bodies have moved. The components are those of all such pairs: two members are left uncompared
+    only where they are in one component already.
     """
     members = shared_members(keyed)
-    sets = materialize(sets_of(materialize(members.select("id").distinct())), release=True)
-    stars = verified(materialize(members.where("id <> lo").select(F.col("id").alias("a"), F.col("lo").alias("b")).distinct()), sets, threshold)
+    bodies = materialize(bodies_of(materialize(members.select("id").distinct())), release=True)
+    stars = verified(materialize(members.where("id <> lo").select(F.col("id").alias("a"), F.col("lo").alias("b")).distinct()), bodies, elements, threshold)
     first = connected_components(stars)
     # the least member has been compared with all others of its bucket
     placed = members.where("id <> lo").join(first, F.col("id") == F.col("node"), "left").select("key", "id", F.coalesce("component", "id").alias("part"))
-    more = verified(_pairs(materialize(placed), sets, threshold, block), sets, threshold)
+    more = verified(_pairs(materialize(placed), bodies, elements, threshold, block), bodies, elements, threshold)
     if more.isEmpty():
         return first
     return connected_components(first.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))

@@ -1,9 +1,9 @@
 """Fuzzy line dedup by MinHash, with DataFrame functions alone.
 
-Lines are compared in normal form (lower case, white space collapsed), by their character shingles that begin at word
-starts, or at all positions where a line has few words. For signatures the shingles' sorted hashes fall into bands by their leading
-bits, and a band's key is made of its smallest hashes (one-permutation MinHash). Lines that share a key are
-verified by the exact Jaccard similarity of their shingles; distributed union-find joins what is
+Lines are compared in normal form (lower case, white space collapsed) by their character shingles. For signatures
+those that begin at word starts are taken, or all where a line has few words; their sorted hashes fall into bands by
+their leading bits, and a band's key is made of its smallest hashes (one-permutation MinHash). Lines that share a key
+are verified by the exact Jaccard similarity of all shingles of the whole line; distributed union-find joins what is
 verified, and the first line of each component stays.
 """
 
@@ -16,7 +16,8 @@ from grovespark.llm.buckets import bucket_classes
 from grovespark.llm.prefilter import likely
 from grovespark.llm.scratch import materialize
 
-SIGNATURE_WIDTH = 12
+#: Characters of a shingle, in signatures and where pairs are verified.
+WIDTH = 8
 
 
 def normal_form(low: Column) -> Column:
@@ -27,11 +28,11 @@ def normal_form(low: Column) -> Column:
 
 def _at_words(norm: Column, width: int) -> Column:
     # what is consumed ends with the word, so that the search goes on at the next word and not inside this one
-    return F.regexp_extract_all(norm, F.lit(f"(?=(.{{{width}}}))[^ ]+ ?"), F.lit(1))
+    return F.regexp_extract_all(norm, F.lit(f"(?s)(?=(.{{{width}}}))[^ ]+ ?"), F.lit(1))
 
 
 def _everywhere(norm: Column, width: int) -> Column:
-    return F.regexp_extract_all(norm, F.lit(f"(?=(.{{{width}}}))"), F.lit(1))
+    return F.regexp_extract_all(norm, F.lit(f"(?s)(?=(.{{{width}}}))"), F.lit(1))
 
 
 def _keys(bits: int, depth: int) -> Column:
@@ -65,43 +66,40 @@ def line_table(df: DataFrame, text: str = "text", key: str = "doc_id") -> DataFr
     return rows.withColumn("low", F.lower("line")).select(key, "tx", "pos", normal_form(F.col("low")).alias("norm"))
 
 
-def signatures(lines: DataFrame, key: str = "doc_id") -> DataFrame:
+def signatures(lines: DataFrame, key: str = "doc_id", width: int = WIDTH) -> DataFrame:
     """(key, tx, pos, id, keys): id is the hash of the normal form, equal for equal lines."""
-    short = F.length("norm") <= SIGNATURE_WIDTH
-    first = lines.select(key, "tx", "pos", "norm", F.when(short, F.array("norm")).otherwise(_at_words(F.col("norm"), SIGNATURE_WIDTH)).alias("found"))
-    found = F.when(F.size("found") * 24 < F.length("norm"), _everywhere(F.col("norm"), SIGNATURE_WIDTH)).otherwise(F.col("found"))
+    short = F.length("norm") <= width
+    first = lines.select(key, "tx", "pos", "norm", F.when(short, F.array("norm")).otherwise(_at_words(F.col("norm"), width)).alias("found"))
+    found = F.when(F.size("found") * 24 < F.length("norm"), _everywhere(F.col("norm"), width)).otherwise(F.col("found"))
     hashed = first.select(key, "tx", "pos", F.xxhash64("norm").alias("id"), F.sort_array(F.transform(found, lambda s: F.xxhash64(s))).alias("hashes"))
     return hashed.select(key, "tx", "pos", "id", _band_keys(F.size("hashes")).alias("keys"))
 
 
 def shingles(norm: Column, width: int) -> Column:
-    """Distinct hashes of a line's character shingles that begin at word starts; of all if it has few words; a line
-    no longer than one shingle is its own."""
-    at_words = F.when(F.length(norm) <= width, F.array(norm)).otherwise(_at_words(norm, width))
-    sparse = F.size(F.split(norm, " ")) * 24 < F.length(norm)
-    return F.array_distinct(F.transform(F.when(sparse, _everywhere(norm, width)).otherwise(at_words), lambda s: F.xxhash64(s)))
+    """Distinct hashes of all character shingles of a line; a line no longer than one shingle is its own."""
+    found = F.when(F.length(norm) <= width, F.array(norm)).otherwise(_everywhere(norm, width))
+    return F.array_distinct(F.transform(found, lambda s: F.xxhash64(s)))
 
 
-def _sets(ids: DataFrame, lines: DataFrame, width: int) -> DataFrame:
-    """(id, x): the shingles of the lines with these ids."""
-    texts = likely(lines, ids, "id").distinct().join(ids, "id")
-    return texts.select("id", shingles(F.col("norm"), width).alias("x"))
+def _texts(ids: DataFrame, lines: DataFrame) -> DataFrame:
+    """(id, body): the normal forms of the lines with these ids."""
+    return likely(lines, ids, "id").distinct().join(ids, "id").select("id", F.col("norm").alias("body"))
 
 
-def line_classes(df: DataFrame, width: int = 8, threshold: float = 0.8, text: str = "text", key: str = "doc_id") -> tuple[DataFrame, DataFrame]:
+def line_classes(df: DataFrame, width: int = WIDTH, threshold: float = 0.8, text: str = "text", key: str = "doc_id") -> tuple[DataFrame, DataFrame]:
     """(occurrences, classes): every line's (key, tx, pos, id), and (id, class) of the ids in components of several.
 
     The components are those of all pairs of lines that share a bucket and reach the threshold (see `buckets`).
     """
     lines = line_table(df, text, key)
-    occurrences = materialize(signatures(lines, key))
+    occurrences = materialize(signatures(lines, key, width))
     keyed = occurrences.select(F.explode("keys").alias("key"), "id")
     named = lines.select(F.xxhash64("norm").alias("id"), "norm")
-    found = bucket_classes(keyed, lambda ids: _sets(ids, named, width), threshold)
+    found = bucket_classes(keyed, lambda ids: _texts(ids, named), lambda norm: shingles(norm, width), threshold)
     return occurrences.drop("keys"), found.select(F.col("node").alias("id"), F.col("component").alias("class"))
 
 
-def dedup_lines(df: DataFrame, width: int = 8, threshold: float = 0.8, text: str = "text", key: str = "doc_id") -> DataFrame:
+def dedup_lines(df: DataFrame, width: int = WIDTH, threshold: float = 0.8, text: str = "text", key: str = "doc_id") -> DataFrame:
     """df with every line dropped that is not the first, by (key, position), of its class; adds n_lines and n_kept.
 
     Blank lines always stay and are not counted. A null text or key leaves the row as it is (n_lines and n_kept zero).

@@ -166,15 +166,15 @@ def _covered(df: DataFrame, width: int, radius: int, text: str, keys: tuple[str,
 
 
 def _shingle_sets(df: DataFrame, width: int, text: str) -> DataFrame:
-    """(id, x): the distinct shingle hashes of each row."""
+    """(id, body): the distinct shingle hashes of each row."""
 
     def run(batches):
         for batch in small(batches):
             sets = [shingle_hashes((t or "").encode().lower().split(), width).view(np.int64) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["id", "x"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["id", "body"])
 
     ensure_on_workers(df.sparkSession)
-    return df.select("id", F.col(text).alias("__text")).mapInArrow(run, "id bigint, x array<bigint>")
+    return df.select("id", F.col(text).alias("__text")).mapInArrow(run, "id bigint, body array<bigint>")
 
 
 def near_dedup(df: DataFrame, width: int = 5, radius: int = 2, text: str = "text", key: str = "doc_id", threshold: float = 0.8) -> DataFrame:
@@ -189,11 +189,11 @@ def near_dedup(df: DataFrame, width: int = 5, radius: int = 2, text: str = "text
     prints = materialize(_covered(known, width, radius, text, (key, "__tx")))
     nodes = materialize(prints.groupBy("id").agg(F.min(F.struct(key, "__tx")).alias("at")))
 
-    def sets_of(ids: DataFrame) -> DataFrame:
+    def bodies_of(ids: DataFrame) -> DataFrame:
         chosen = materialize(nodes.join(ids, "id").select("id", f"at.{key}", "at.__tx"))
         return _shingle_sets(likely(known.select(key, "__tx", text), chosen, "__tx").join(chosen, [key, "__tx"]), width, text)
 
-    found = bucket_classes(prints.select("id", F.explode("keys").alias("key")), sets_of, threshold)
+    found = bucket_classes(prints.select("id", F.explode("keys").alias("key")), bodies_of, lambda body: body, threshold)
     placed = nodes.join(found, nodes["id"] == found["node"], "left").select("at", F.coalesce("component", "id").alias("component"))
     keepers = placed.groupBy("component").agg(F.min("at").alias("at")).select(f"at.{key}", "at.__tx")
     kept = known.join(materialize(keepers), [key, "__tx"]).dropDuplicates([key, "__tx"])

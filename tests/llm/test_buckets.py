@@ -62,10 +62,18 @@ def test_blocks_give_the_components_of_all_pairs(spark):
         for k in range(3):
             sets[g * 3 + k] = (base - set(rng.sample(sorted(base), 4 * k))) | {10**7 + g * 3 + k}
     wide = {k: [x * 0x9E3779B97F4A7C15 % 2**63 for x in v] for k, v in sets.items()}
-    table = spark.createDataFrame(list(wide.items()), "id long, x array<long>")
+    table = spark.createDataFrame(list(wide.items()), "id long, body array<long>")
     keyed = spark.createDataFrame([(7, k) for k in sets] + [(9, 0), (11, 4), (11, 8)], "key long, id long")
     want = components(sets, [p for p in combinations(sets, 2) if jaccard(sets[p[0]], sets[p[1]]) >= 0.8])
     for block in (16, 512):
-        got = {r.node: r.component for r in buckets.bucket_classes(keyed, lambda ids: table.join(ids, "id"), 0.8, block).collect()}
+        got = {r.node: r.component for r in buckets.bucket_classes(keyed, lambda ids: table.join(ids, "id"), lambda x: x, 0.8, block).collect()}
         assert {k: got.get(k, k) for k in sets} == want
-    assert buckets.bucket_classes(keyed.limit(0), lambda ids: table.join(ids, "id"), 0.8).count() == 0
+    assert buckets.bucket_classes(keyed.limit(0), lambda ids: table.join(ids, "id"), lambda x: x, 0.8).count() == 0
+
+
+def test_lines_that_differ_in_a_tail_or_inside_a_long_word_stay(spark):
+    apart = ["report_2024_01.csv", "report_2024_99.csv", "invoice number 8374920", "invoice number 8999999", "x" * 8 + "a" * 40, "x" * 8 + "b" * 40]
+    alike = " ".join(f"word{j}of" for j in range(12))
+    rows = list(enumerate([*apart, alike, alike + " a"]))
+    out = {r.doc_id: r.n_kept for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert out == {k: int(k < 7) for k, _ in rows}
