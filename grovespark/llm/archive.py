@@ -111,14 +111,23 @@ def import_warc(spark: SparkSession, path: str) -> DataFrame:
 
 
 def page_records(pages: DataFrame, min_revisit: int = 1000, key: str = "page_id") -> DataFrame:
-    """(key, payload_bytes, payload_digest, record_type, refers_to, verified), all read back from the archive."""
+    """(key, payload_bytes, payload_digest, record_type, refers_to, verified), all read back from the archive.
+
+    payload_digest is the SHA-1 of the stored bytes; verified flags a record whose stored bytes are not what it says.
+    """
     records = read_archive(*write_archive(pages, min_revisit, key))
     field = lambda name, pattern: F.nullif(F.regexp_extract("header", rf"\r\n{name}: {pattern}\r\n", 1), F.lit(""))
     return records.select(
         field("WARC-Record-ID", r"<urn:page:(-?\d+)>").cast("long").alias(key),
         F.col("bytes").cast("long").alias("payload_bytes"),
-        field("WARC-Payload-Digest", r"sha1:(\w+)").alias("payload_digest"),
+        F.col("sha1").alias("payload_digest"),
         field("WARC-Type", r"(\w+)").alias("record_type"),
         field("WARC-Refers-To", r"<urn:page:(-?\d+)>").cast("long").alias("refers_to"),
         "verified",
     )
+
+
+def sound(records: DataFrame, key: str = "page_id") -> DataFrame:
+    """Records of page_records without the flag; a record that does not verify fails the query that reads its digest."""
+    damaged = F.raise_error(F.concat(F.lit("the archived record does not verify: "), F.coalesce(F.col(key).cast("string"), F.lit("null"))))
+    return records.withColumn("payload_digest", F.when(F.col("verified"), F.col("payload_digest")).otherwise(damaged)).drop("verified")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from grovespark.llm.archive import page_records
+from grovespark.llm.archive import page_records, sound
 from grovespark.llm.bpe_automaton import encode_texts
 from grovespark.llm.bpe_counts import count_tokens
 from grovespark.llm.language import predict_language
@@ -53,7 +53,7 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return page_records(table(spark, sf_dir, "pages")).drop("verified")
+    return sound(page_records(table(spark, sf_dir, "pages")))
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
