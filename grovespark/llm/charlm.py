@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from grovespark.llm.pieces import small
+from grovespark.llm.scratch import materialize
 from grovespark.session import ensure_on_workers
 
 LETTERS = re.compile(r"[^\W\d_]+").findall
@@ -23,12 +24,11 @@ def padded(word: str, order: int) -> str:
     return " " * (order - 1) + word + " "
 
 
-def count_ngrams(df: DataFrame, group: str, text: str = "text", order: int = 4, max_types: int = 1_000_000) -> pd.DataFrame:
+def count_ngrams(df: DataFrame, group: str, text: str = "text", order: int = 4) -> DataFrame:
     """(grp, ngram, n) over the words of all rows: lower-case runs of letters with blank padding.
 
     Words are counted in each task, n-grams are summed there and then by a shuffle, so what moves is types, not text.
-    The model is kept to the max_types most frequent n-grams of all groups together, a bound on what the driver holds
-    and sends out. Null groups or texts take no part.
+    All types are kept, as a shared table; `of_group` reads one group's. Null groups or texts take no part.
     """
 
     def run(batches):
@@ -57,7 +57,21 @@ def count_ngrams(df: DataFrame, group: str, text: str = "text", order: int = 4,
     ensure_on_workers(df.sparkSession)
     rows = df.select(F.col(group).cast("string").alias("grp"), F.col(text).alias("t")).where("grp is not null and t is not null")
     summed = rows.mapInArrow(run, "grp string, ngram string, n bigint").groupBy("grp", "ngram").agg(F.sum("n").alias("n"))
-    return summed.orderBy(F.desc("n"), "grp", "ngram").limit(max_types).toPandas()
+    return materialize(summed)
+
+
+def groups_of(counts: DataFrame) -> list[str]:
+    return sorted(r.grp for r in counts.select("grp").distinct().collect())
+
+
+def of_group(counts: DataFrame, group: str) -> pd.DataFrame:
+    """All (ngram, n) of one group, the most frequent first."""
+    return counts.where(F.col("grp") == group).select("ngram", "n").orderBy(F.desc("n"), "ngram").toPandas()
+
+
+def alphabet_size(counts: DataFrame) -> int:
+    """Different characters in the n-grams of all groups, and two."""
+    return 2 + counts.select(F.explode(F.regexp_extract_all("ngram", F.lit("(?s)(.)"), F.lit(1)))).distinct().count()
 
 
 class KneserNey:

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from grovespark.llm.charlm import LETTERS, KneserNey, count_ngrams, score_words
+from grovespark.llm.charlm import LETTERS, KneserNey, alphabet_size, count_ngrams, groups_of, of_group, score_words
 from grovespark.llm.pieces import blocks, small, sums
 from grovespark.session import ensure_on_workers
 
@@ -36,9 +36,10 @@ class _Words(dict):
 class LanguageModels:
     def __init__(self, counts, order: int = ORDER):
         self.order = order
-        self.languages = sorted(counts["grp"].unique())
-        alphabet = 2 + len(set("".join(counts["ngram"])))
-        self.models = [KneserNey(own["ngram"].tolist(), own["n"].to_numpy(), order, alphabet) for _, own in ((g, counts[counts["grp"] == g]) for g in self.languages)]
+        self.languages = groups_of(counts)
+        alphabet = alphabet_size(counts)
+        # one language's n-grams at a time are held as strings
+        self.models = [KneserNey(own["ngram"].tolist(), own["n"].to_numpy(), order, alphabet) for own in (of_group(counts, g) for g in self.languages)]
         self.limits = np.full(len(self.languages), np.inf)
 
     def entropies(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:

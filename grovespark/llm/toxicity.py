@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from grovespark.llm.charlm import LETTERS, KneserNey, count_ngrams, window_hashes
+from grovespark.llm.charlm import LETTERS, KneserNey, alphabet_size, count_ngrams, of_group, window_hashes
 from grovespark.llm.language import training_fold
 from grovespark.llm.pieces import small
 from grovespark.llm.scratch import materialize
@@ -141,9 +141,10 @@ class ToxicModel:
 def train(df: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "toxic", buckets: int = 3, held_out: int = 1, sample_rows: int = 20_000) -> ToxicModel:
     """The character model is counted over all texts; sample_rows bounds the labelled rows that teach the words."""
     counts = count_ngrams(df.withColumn("__all", F.lit("")), "__all", text, ORDER)
-    if not len(counts):
-        counts.loc[0] = ["", " " * ORDER, 1]
-    decoder = Decoder(KneserNey(counts["ngram"].tolist(), counts["n"].to_numpy(), ORDER, 2 + len(set("".join(counts["ngram"])))))
+    if counts.isEmpty():
+        counts = df.sparkSession.createDataFrame([("", " " * ORDER, 1)], counts.schema)
+    own = of_group(counts, "")
+    decoder = Decoder(KneserNey(own["ngram"].tolist(), own["n"].to_numpy(), ORDER, alphabet_size(counts)))
     judged = labels.where(training_fold(F.col(key), buckets, held_out) & F.col(label).isNotNull())
     chosen = judged.groupBy(key).agg(F.max(label).cast("int").alias("__toxic")).orderBy(F.xxhash64(key), key).limit(sample_rows)
     sample = df.where(F.col(text).isNotNull()).join(F.broadcast(chosen), key).select("__toxic", text)
