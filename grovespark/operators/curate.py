@@ -24,10 +24,6 @@ def reject_cutoff(df: DataFrame, group: str, order: str, rejected: Column, most:
     return df.withColumn("__before", F.coalesce(before, F.lit(0))).where((F.col("__before") < most) & ~F.coalesce(rejected, F.lit(False))).drop("__before")
 
 
-def sample_per_group(df: DataFrame, group: str, order: list, k: int) -> DataFrame:
-    return df.withColumn("__rank", F.row_number().over(Window.partitionBy(group).orderBy(*order))).where(F.col("__rank") <= k).drop("__rank")
-
-
 def review_sample(df: DataFrame, key: str, preferred: Column, n: int, seed: str = "0") -> DataFrame:
     """n rows, preferred ones first, in an order that a seed fixes."""
     return df.orderBy(F.when(preferred, 0).otherwise(1), F.md5(F.concat(F.col(key).cast("string"), F.lit(seed))), key).limit(n)
@@ -47,3 +43,10 @@ def cache_lookup(requests: DataFrame, cache: DataFrame, key: str) -> DataFrame:
     asked = requests.groupBy(key).agg(F.count("*").alias("n_requests"))
     known = cache.select(key).distinct().withColumn("__hit", F.lit(True))
     return asked.join(known, key, "left").select(key, "n_requests", F.coalesce("__hit", F.lit(False)).alias("hit"))
+
+
+def union_batches(first: DataFrame, *more: DataFrame) -> DataFrame:
+    """All rows of all batches by column name; columns that a batch lacks are null."""
+    for batch in more:
+        first = first.unionByName(batch, allowMissingColumns=True)
+    return first

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from grovespark.scratch import materialize
+
 
 def rebuild_children(nodes: DataFrame, order: str = "id") -> DataFrame:
     """Adds children_ids, ordered; empty for leaves. One parent's list is as long as its children."""
@@ -29,37 +31,58 @@ def path_ancestors(nodes: DataFrame) -> DataFrame:
     return nodes.select("id", F.explode(F.transform(steps, lambda k: F.struct(F.array_join(F.slice(parts, 1, F.size(parts) - k), "/").alias("ancestor_id"), k.alias("distance")))).alias("s")).select("id", "s.ancestor_id", "s.distance")
 
 
-def descendants(nodes: DataFrame, roots: DataFrame, max_depth: int = 64) -> DataFrame:
-    """Ids below the roots by parent_id: one join per level over the frontier; stops when a level is empty."""
+def _below(nodes: DataFrame, hits: DataFrame) -> DataFrame:
+    """Ids of the nodes that have one of hits(id) among the proper prefixes of their path.
+
+    Hits lie on few depths (at most as many as the tree has), so each depth is one equi-join on the prefix of that length.
+    """
+    depths = [r.d for r in hits.select((F.size(F.split("id", "/"))).alias("d")).distinct().collect()]
+    out = nodes.select("id").limit(0)
+    for d in sorted(depths):
+        deeper = nodes.where(F.size(F.split("id", "/")) > d).select("id", F.substring_index("id", "/", d).alias("__up"))
+        out = out.unionByName(deeper.join(hits.select(F.col("id").alias("__up")), "__up", "left_semi").select("id"))
+    return out.distinct()
+
+
+def descendants(nodes: DataFrame, roots: DataFrame, by: str = "path", max_depth: int = 64) -> DataFrame:
+    """Ids below roots(id): by path prefixes, or (by 'parent') along parent_id, one join for each level.
+
+    The second way writes each level down, so its jobs run when it is called; a forest deeper than max_depth is an error.
+    """
+    if by == "path":
+        return _below(nodes, roots.select("id").distinct())
     edges = nodes.where("parent_id is not null").select("id", "parent_id")
     frontier, found = roots.select(F.col("id").alias("up")).distinct(), None
     for _ in range(max_depth):
-        below = edges.join(frontier, F.col("parent_id") == F.col("up"), "left_semi").select("id")
-        below = below.checkpoint() if nodes.sparkSession.sparkContext.getCheckpointDir() else below.persist()
+        below = materialize(edges.join(frontier, F.col("parent_id") == F.col("up"), "left_semi").select("id"))
         if below.isEmpty():
-            break
+            return found if found is not None else roots.select("id").limit(0)
         found = below if found is None else found.unionByName(below)
         frontier = below.select(F.col("id").alias("up"))
-    return found if found is not None else roots.select("id").limit(0)
-
+    raise ValueError(f"the forest is deeper than {max_depth} levels, or its parents form a ring")
 
-def prune(nodes: DataFrame, bad: Column, cascade: str = "parent") -> DataFrame:
-    """Nodes left after the bad ones go; cascade 'none' keeps their descendants, 'parent' takes them too.
 
-    With materialised paths a descendant has a bad id among its path's prefixes, so the cascade is one equi-join.
-    """
-    hit = nodes.where(F.coalesce(bad, F.lit(False))).select("id")
-    left = nodes.join(hit, "id", "left_anti")
+def prune(nodes: DataFrame, bad: Column, cascade: str = "parent", dry_run: bool = False) -> DataFrame:
+    """Nodes left after the bad ones go, with children_ids repaired; cascade 'none' keeps their descendants, 'parent' takes
+    them too, 'children' takes those that the children lists name. dry_run: the ids that would go instead."""
+    hit = materialize(nodes.where(F.coalesce(bad, F.lit(False))).select("id"))
     if cascade == "none":
-        return left
-    below = path_ancestors(nodes).join(hit.select(F.col("id").alias("ancestor_id")), "ancestor_id", "left_semi").select("id")
-    return left.join(below, "id", "left_anti")
+        gone = hit
+    elif cascade == "parent":
+        gone = hit.unionByName(_below(nodes, hit)).distinct()
+    elif cascade == "children":
+        listed = nodes.select(F.explode("children_ids").alias("id"), F.col("id").alias("parent_id"))
+        gone = hit.unionByName(descendants(listed, hit, by="parent")).distinct()
+    else:
+        raise ValueError(f"no cascade {cascade}")
+    return gone if dry_run else rebuild_children(nodes.join(gone, "id", "left_anti"))
 
 
 def fix_depth(nodes: DataFrame, limit: int) -> DataFrame:
-    """Nodes deeper than limit go; those at the limit become atomic."""
+    """Nodes deeper than limit go; those at the limit become atomic; children_ids are repaired, so atomic ones have none."""
     deep = F.size(F.split("id", "/")) - 1
-    return nodes.where(deep <= limit).withColumn("node_type", F.when(deep == limit, "atomic").otherwise(F.col("node_type")))
+    kept = nodes.where(deep <= limit).withColumn("node_type", F.when(deep == limit, "atomic").otherwise(F.col("node_type")))
+    return rebuild_children(kept)
 
 
 def child_counts(nodes: DataFrame) -> DataFrame:
@@ -98,3 +121,64 @@ def publish_rows(nodes: DataFrame) -> DataFrame:
     """(id, depth from 1, description without nulls, is_leaf, is_atomic)."""
     parents = nodes.where("parent_id is not null").select(F.col("parent_id").alias("__p")).distinct()
     return nodes.join(parents, F.col("id") == F.col("__p"), "left").select("id", F.size(F.split("id", "/")).alias("depth"), F.coalesce("description", F.lit("")).alias("description"), F.col("__p").isNull().alias("is_leaf"), (F.col("node_type") == "atomic").alias("is_atomic"))
+
+
+def paths(nodes: DataFrame) -> DataFrame:
+    """(id, depth, root, path): path holds the segments, so that ordering by it is pre-order with siblings by segment."""
+    parts = F.split("id", "/")
+    return nodes.select("id", (F.size(parts) - 1).alias("depth"), F.substring_index("id", "/", 1).alias("root"), parts.alias("path"))
+
+
+def bfs_order(nodes: DataFrame, limit: int | None = None) -> DataFrame:
+    """Shallowest first, then by id; with a limit only so many rows move to one place."""
+    ordered = nodes.orderBy(F.size(F.split("id", "/")), "id")
+    return ordered if limit is None else ordered.limit(limit)
+
+
+def dfs_order(nodes: DataFrame, stem: int = 3) -> DataFrame:
+    """(id, position): the place of each node in a pre-order walk from 0, domains and siblings by segment.
+
+    Places are counted within subtrees of `stem` segments, these within domains, and domains among each other, so no
+    window runs over the whole forest. Nodes above the stem are subtrees of their own.
+    """
+    rows = nodes.select("id", F.split("id", "/").alias("path"))
+    rows = rows.select("id", "path", F.slice("path", 1, stem).alias("stem"), F.col("path")[0].alias("top"))
+    stems = rows.groupBy("top", "stem").agg(F.count("*").alias("n"))
+    tops = rows.groupBy("top").agg(F.count("*").alias("n"))
+    before = lambda w: F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    stems = stems.select("top", "stem", before(Window.partitionBy("top").orderBy("stem")).alias("s"))
+    tops = tops.select("top", before(Window.partitionBy(F.lit(0)).orderBy("top")).alias("t"))
+    within = rows.withColumn("w", F.row_number().over(Window.partitionBy("stem").orderBy("path")) - 1)
+    return within.join(stems.join(tops, "top"), ["top", "stem"]).select("id", (F.col("w") + F.col("s") + F.col("t")).cast("long").alias("position"))
+
+
+def tree_lines(nodes: DataFrame, max_depth: int = 3) -> DataFrame:
+    """(path, line): the tree as text down to a depth, roots and siblings by id; order by path to read it.
+
+    The last sibling is a pre-aggregated maximum; a line is put together from at most max_depth + 1 ancestors.
+    """
+    shown = nodes.where(F.size(F.split("id", "/")) - 1 <= max_depth)
+    last = shown.groupBy(F.coalesce("parent_id", F.lit("")).alias("__p")).agg(F.max("id").alias("__last"))
+    flagged = shown.select("id", "name", "node_type", F.coalesce("parent_id", F.lit("")).alias("__p")).join(last, "__p").select("id", "name", "node_type", (F.col("id") == F.col("__last")).alias("is_last"))
+    steps = path_ancestors(shown).join(flagged.select(F.col("id").alias("ancestor_id"), "is_last"), "ancestor_id")
+    bars = steps.groupBy("id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct((-F.col("distance")).alias("d"), F.when(F.col("is_last"), "    ").otherwise("│   ").alias("bar")))), lambda x: x["bar"]), "").alias("bars"))
+    line = F.concat(F.coalesce("bars", F.lit("")), F.when(F.col("is_last"), "└── ").otherwise("├── "), "name", F.lit(" ["), "node_type", F.lit("]"))
+    return flagged.join(bars, "id", "left").select(F.split("id", "/").alias("path"), line.alias("line"))
+
+
+def nested_json(nodes: DataFrame, root_depth: int, max_depth: int) -> DataFrame:
+    """(id, json): the subtree of each node at root_depth as one nested JSON text, children by id, folded level by level
+    from the deepest. A text is as long as its subtree; a forest of large trees is exported from a deeper level."""
+    rows = nodes.select("id", "parent_id", "name", "node_type", (F.size(F.split("id", "/")) - 1).alias("d"))
+    text = lambda c: F.substring(F.to_json(F.array(c)), F.lit(2), F.length(F.to_json(F.array(c))) - 2)
+    own = F.concat(F.lit('{"id":'), text("id"), F.lit(',"name":'), text("name"), F.lit(',"node_type":'), text("node_type"), F.lit(',"children":['))
+    level = None
+    for d in range(max_depth, root_depth - 1, -1):
+        here = rows.where(F.col("d") == d).withColumn("head", own)
+        if level is not None:
+            kids = level.groupBy("parent_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("id", "json"))), lambda x: x["json"]), ",").alias("kids")).withColumnRenamed("parent_id", "__p")
+            here = here.join(kids, F.col("id") == F.col("__p"), "left")
+            level = here.select("id", "parent_id", F.concat("head", F.coalesce("kids", F.lit("")), F.lit("]}")).alias("json"))
+        else:
+            level = here.select("id", "parent_id", F.concat("head", F.lit("]}")).alias("json"))
+    return level.select("id", "json")

@@ -6,11 +6,30 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from grovespark.functions.text import slug
+from grovespark.scratch import materialize
 
 VERBS = ["pick up", "inspect", "calibrate", "pour", "handle", "move", "test", "grasp", "plan", "spray", "wash", "paint"]
 
 
+_STORED: dict[tuple[str, str], DataFrame] = {}
+
+
 def nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The projected forest as a written table, made once an application: a forest is stored data, and queries that use
+    it several times should scan it and not derive it anew."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _STORED:
+        _STORED[key] = materialize(project(spark, sf_dir))
+        _STORED[key]._of = sf_dir
+    return _STORED[key]
+
+
+def directory_of(forest: DataFrame) -> str:
+    """Where the tables of a forest that nodes() gave are."""
+    return forest._of
+
+
+def project(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(id, parent_id, name, node_type, description, sources): domain, task, two levels of subtask, atomic."""
     read = lambda t: spark.read.parquet(f"{sf_dir}/{t}.parquet")
     onet = F.array(F.lit("onet"))
@@ -47,7 +66,7 @@ atm AS (SELECT ord.id||'/l_'||l_linenumber id, ord.id pid,
   {VERBS}[(m.p%12)::INT+1]||' '||CASE p_type WHEN 'SMALL' THEN 'materials' WHEN 'LARGE' THEN 'equipment' WHEN 'PROMO' THEN 'dishes' ELSE p_name END nm,
   CASE WHEN m.f='R' THEN ['onet'] ELSE ['llm_generated'] END src, l_orderkey, l_linenumber
   FROM li JOIN ord ON k=l_orderkey JOIN part ON p_partkey=m.p),
-n AS (SELECT id, NULL::VARCHAR parent_id, nm AS name, 'domain' node_type, NULL::VARCHAR description, ['onet'] sources FROM dom
+n AS MATERIALIZED (SELECT id, NULL::VARCHAR parent_id, nm AS name, 'domain' node_type, NULL::VARCHAR description, ['onet'] sources FROM dom
   UNION ALL SELECT id, pid, nm, 'task', NULL, ['onet'] FROM tsk UNION ALL SELECT id, pid, nm, 'subtask', NULL, ['onet'] FROM cus
   UNION ALL SELECT id, pid, nm, 'subtask', ds, ['onet'] FROM ord
   UNION ALL SELECT id, pid, nm, 'atomic', CASE WHEN l_orderkey%11=0 THEN 'Step '||l_linenumber||': '||nm WHEN l_orderkey%13=0 THEN '' ELSE nm||' for order '||l_orderkey END, src FROM atm)"""

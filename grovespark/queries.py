@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from grovespark.functions import rules as R
 from grovespark.functions import text as T
-from grovespark.operators import curate, tree
+from grovespark.operators import curate, judging, tree
 from grovespark.plans.forest import NODES_SQL, nodes
 
 QUERIES, ORACLES = {}, {}
@@ -56,7 +56,7 @@ def by_source(n):
     return n.where(F.array_contains("sources", "llm_generated")).select("id", "name")
 
 
-@query("SELECT id, node_type FROM n WHERE id NOT IN (SELECT parent_id FROM n WHERE parent_id IS NOT NULL)")
+@query("SELECT id, node_type FROM n WHERE NOT EXISTS (SELECT 1 FROM n c WHERE c.parent_id = n.id)")
 def leaves(n):
     return n.join(n.select(F.col("parent_id").alias("__p")).where("__p is not null").distinct(), F.col("id") == F.col("__p"), "left_anti").select("id", "node_type")
 
@@ -101,18 +101,12 @@ def generic_template(n):
     return n.select("id", R.generic_template(F.col("name"), F.col("description")).alias("check_no")).where("check_no is not null")
 
 
-@query(f"SELECT id, action, total, CASE WHEN total >= 80 THEN 'PREMIUM' WHEN total >= 60 THEN 'HIGH' WHEN total >= 40 THEN 'MEDIUM' WHEN total >= 20 THEN 'LOW' ELSE 'TRASH' END AS tier FROM (SELECT id, action, CASE action WHEN 'trash' THEN 0 WHEN 'premium' THEN 74 WHEN 'demo' THEN 81 ELSE 50 END AS total FROM (SELECT id, {_ACTION} AS action FROM n WHERE node_type <> 'domain'))")
-def score_value(n):
-    acted = n.where("node_type <> 'domain'").select("id", F.lower("name").alias("low")).select("id", R.value_action(F.col("low")).alias("action"))
-    return acted.withColumn("total", R.value_total(F.col("action"))).withColumn("tier", R.tier_of(F.col("total")))
-
-
 @query(f"SELECT tier, count(t) AS n_nodes, round(100.0 * count(t) / greatest(1, sum(count(t)) OVER ()), 2) AS pct FROM (VALUES ('PREMIUM'),('HIGH'),('MEDIUM'),('LOW'),('TRASH')) d(tier) LEFT JOIN (SELECT CASE {_ACTION} WHEN 'trash' THEN 'TRASH' WHEN 'premium' THEN 'HIGH' WHEN 'demo' THEN 'PREMIUM' ELSE 'MEDIUM' END AS t FROM n WHERE node_type <> 'domain') ON t = tier GROUP BY tier")
 def tier_report(n):
     tiers = F.explode(F.array(*[F.struct(F.lit(t).alias("tier"), F.lit(0).cast("long").alias("k")) for t, _ in R.TIERS])).alias("t")
     # one zero row per tier makes the counts complete without a join
     zeros = n.sparkSession.range(1).select(tiers).select("t.tier", "t.k")
-    counts = score_value(n).select("tier", F.lit(1).cast("long").alias("k")).unionByName(zeros).groupBy("tier").agg(F.sum("k").alias("n_nodes"))
+    counts = judging.value_scores(n.where("node_type <> 'domain'")).select("tier", F.lit(1).cast("long").alias("k")).unionByName(zeros).groupBy("tier").agg(F.sum("k").alias("n_nodes"))
     total = F.sum("n_nodes").over(Window.partitionBy(F.lit(1)))
     return counts.select("tier", "n_nodes", F.round(100.0 * F.col("n_nodes") / F.greatest(F.lit(1), total), 2).alias("pct"))
 
@@ -123,41 +117,30 @@ def count_by_type(n):
     return kinds.join(n.groupBy("node_type").agg(F.count("*").alias("c")), "node_type", "left").select("node_type", F.coalesce("c", F.lit(0)).cast("long").alias("n_nodes"))
 
 
-@query("SELECT count(*) AS total, count(*) FILTER (WHERE node_type='domain') AS domains, max(len(string_split(id,'/'))-1)::INT AS max_depth, round(avg(len(string_split(id,'/'))-1),4) AS avg_depth, count(*) FILTER (WHERE id NOT IN (SELECT parent_id FROM n WHERE parent_id IS NOT NULL)) AS n_leaves FROM n")
+@query("SELECT count(*) AS total, count(*) FILTER (WHERE node_type='domain') AS domains, max(len(string_split(id,'/'))-1)::INT AS max_depth, round(avg(len(string_split(id,'/'))-1),4) AS avg_depth, count(*) FILTER (WHERE p IS NULL) AS n_leaves FROM n LEFT JOIN (SELECT DISTINCT parent_id AS p FROM n) ON p = id")
 def graph_stats(n):
     d = T.depth(F.col("id"))
     marked = n.join(n.select(F.col("parent_id").alias("__p")).where("__p is not null").distinct(), F.col("id") == F.col("__p"), "left")
     return marked.agg(F.count("*").alias("total"), F.count_if(F.col("node_type") == "domain").alias("domains"), F.max(d).alias("max_depth"), F.round(F.avg(d), 4).alias("avg_depth"), F.count_if(F.col("__p").isNull()).alias("n_leaves"))
 
 
-@query("SELECT s AS source, count(*) AS n_nodes FROM (SELECT unnest(sources) s FROM n) GROUP BY s")
-def source_counts(n):
-    return n.select(F.explode("sources").alias("source")).groupBy("source").agg(F.count("*").alias("n_nodes"))
-
-
 @query(f"SELECT string_split(id,'/')[1] AS domain, count(*) AS total, count(*) FILTER (WHERE list_contains(sources,'llm_generated')) AS generated, count(*) FILTER (WHERE regexp_matches(lower(trim(description)), '^step\\s+\\d+\\s*:')) AS step, count(*) FILTER (WHERE ({_GENERIC}) IS NOT NULL) AS template, count(*) FILTER (WHERE coalesce(description,'')='') AS empty FROM (SELECT *, {_WORDS} AS w FROM n) GROUP BY 1")
 def quality_summary(n):
     judged = n.withColumn("domain", T.domain_of(F.col("id"))).withColumn("check_no", R.generic_template(F.col("name"), F.col("description")))
     return judged.groupBy("domain").agg(F.count("*").alias("total"), F.count_if(F.array_contains("sources", "llm_generated")).alias("generated"), F.count_if(R.step_description(F.col("description"))).alias("step"), F.count_if(F.col("check_no").isNotNull()).alias("template"), F.count_if(F.coalesce("description", F.lit("")) == "").alias("empty"))
 
 
-@query("SELECT v AS verb, count(*) AS n_nodes FROM (SELECT regexp_replace(regexp_split_to_array(lower(name), '[\\s,.(]')[1], '[^a-z_]', '', 'g') v FROM n WHERE node_type='atomic') WHERE length(v) > 1 GROUP BY v ORDER BY n_nodes DESC, verb LIMIT 20")
-def verb_groups(n):
-    return n.where("node_type = 'atomic'").select(T.first_verb(F.col("name")).alias("verb")).where("verb is not null").groupBy("verb").agg(F.count("*").alias("n_nodes")).orderBy(F.desc("n_nodes"), "verb").limit(20)
-
-
 @query("SELECT a.id, coalesce(b.name,'unknown') AS parent_name, coalesce(b.node_type,'unknown') AS parent_type FROM n a LEFT JOIN n b ON a.parent_id = b.id")
 def parent_lookup(n):
     return tree.parent_lookup(n).select("id", "parent_name", "parent_type")
 
 
-@query("SELECT parent_id AS id, count(*) AS n_children, string_agg(id, ',' ORDER BY id) AS children FROM n WHERE parent_id IS NOT NULL AND node_type <> 'atomic' GROUP BY parent_id")
+@query("SELECT parent_id AS id, count(*) AS n_children, string_agg(id, ',' ORDER BY id) AS children FROM n WHERE parent_id IS NOT NULL GROUP BY parent_id")
 def rebuild_children(n):
-    upper = n.where("node_type <> 'atomic'")
-    return tree.rebuild_children(upper).where(F.size("children_ids") > 0).select("id", F.size("children_ids").cast("long").alias("n_children"), F.array_join("children_ids", ",").alias("children"))
+    return tree.rebuild_children(n).where(F.size("children_ids") > 0).select("id", F.size("children_ids").cast("long").alias("n_children"), F.array_join("children_ids", ",").alias("children"))
 
 
-@query("SELECT id FROM n WHERE parent_id IS NOT NULL AND parent_id NOT IN (SELECT id FROM n)")
+@query("SELECT id FROM n WHERE parent_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM n p WHERE p.id = n.parent_id)")
 def orphans(n):
     return tree.orphans(n).select("id")
 
@@ -172,16 +155,6 @@ def descendants(n):
     return tree.descendants(n, n.where("id = 'europe'"))
 
 
-@query("SELECT id FROM n WHERE NOT EXISTS (SELECT 1 FROM n b WHERE contains(lower(b.name), 'building') AND (n.id = b.id OR starts_with(n.id, b.id || '/')) AND b.node_type = 'subtask')")
-def prune(n):
-    return tree.prune(n, (F.col("node_type") == "subtask") & F.lower("name").contains("building")).select("id")
-
-
-@query("SELECT id, CASE WHEN len(string_split(id,'/'))-1 = 3 THEN 'atomic' ELSE node_type END AS node_type FROM n WHERE len(string_split(id,'/'))-1 <= 3")
-def fix_depth(n):
-    return tree.fix_depth(n, 3).select("id", "node_type")
-
-
 @query("SELECT min(id) AS id, lower(trim(name)) AS norm FROM n GROUP BY 2")
 def first_wins_dedup(n):
     return curate.first_wins(n.select("id", T.norm_name(F.col("name")).alias("norm")), F.col("norm"), "id")

@@ -26,13 +26,13 @@ def high_level(n):
     return tree.child_counts(n).where(F.col("node_type").isin("task", "subtask") & (F.col("n_children") >= 5)).select("id", "n_children")
 
 
-@query(f"SELECT id, {_DEPTH} AS depth FROM n WHERE node_type NOT IN ('domain','atomic') AND {_DEPTH} < 4 AND id NOT IN (SELECT p FROM {_KIDS}) ORDER BY depth, id LIMIT 500")
+@query(f"SELECT id, {_DEPTH} AS depth FROM n WHERE node_type NOT IN ('domain','atomic') AND {_DEPTH} < 4 AND NOT EXISTS (SELECT 1 FROM {_KIDS} WHERE p = id) ORDER BY depth, id LIMIT 500")
 def frontier(n):
     open_ = n.where(~F.col("node_type").isin("domain", "atomic") & (T.depth(F.col("id")) < 4))
     return tree.childless(open_, n).select("id", T.depth(F.col("id")).alias("depth")).orderBy("depth", "id").limit(500)
 
 
-@query(f"SELECT id FROM n WHERE node_type = 'subtask' AND id NOT IN (SELECT p FROM {_KIDS})")
+@query(f"SELECT id FROM n WHERE node_type = 'subtask' AND NOT EXISTS (SELECT 1 FROM {_KIDS} WHERE p = id)")
 def childless_of_type(n):
     return tree.childless(n.where("node_type = 'subtask'"), n).select("id")
 
@@ -42,17 +42,15 @@ def sparse_branches(n):
     return tree.child_counts(n).where("n_children between 1 and 4").select("id", "n_children")
 
 
-@query("SELECT parent_id AS id, CAST(row_number() OVER (PARTITION BY parent_id ORDER BY id) - 1 AS INTEGER) AS pos, id AS child_id FROM n WHERE parent_id IS NOT NULL AND node_type <> 'atomic'")
+@query("SELECT parent_id AS id, CAST(row_number() OVER (PARTITION BY parent_id ORDER BY id) - 1 AS INTEGER) AS pos, id AS child_id FROM n WHERE parent_id IS NOT NULL")
 def children_of(n):
-    upper = n.where("node_type <> 'atomic'")
-    return tree.children_of(tree.rebuild_children(upper), upper).select("id", "pos", "child_id")
+    return tree.children_of(tree.rebuild_children(n), n).select("id", "pos", "child_id")
 
 
-@query("SELECT parent_id AS id, string_agg(id, ',' ORDER BY id) AS children FROM n WHERE parent_id IS NOT NULL AND node_type <> 'atomic' AND NOT contains(lower(name), 'building') GROUP BY parent_id")
+@query("SELECT parent_id AS id, string_agg(id, ',' ORDER BY id) AS children FROM n WHERE parent_id IS NOT NULL AND NOT contains(lower(name), 'building') GROUP BY parent_id")
 def dangling_refs(n):
-    upper = n.where("node_type <> 'atomic'")
-    gone = upper.where(F.lower("name").contains("building")).select("id")
-    return tree.drop_references(tree.rebuild_children(upper), gone).where(F.size("children_ids") > 0).select("id", F.array_join("children_ids", ",").alias("children"))
+    gone = n.where(F.lower("name").contains("building")).select("id")
+    return tree.drop_references(tree.rebuild_children(n), gone).where(F.size("children_ids") > 0).select("id", F.array_join("children_ids", ",").alias("children"))
 
 
 @query("SELECT n.id, concat_ws(' > ', d.name, c.name, b.name, a.name, n.name) AS breadcrumb FROM n LEFT JOIN n a ON a.id = n.parent_id LEFT JOIN n b ON b.id = a.parent_id LEFT JOIN n c ON c.id = b.parent_id LEFT JOIN n d ON d.id = c.parent_id")
@@ -60,17 +58,11 @@ def breadcrumb(n):
     return tree.breadcrumb(n)
 
 
-@query(f"SELECT id, {_DEPTH} + 1 AS depth, coalesce(description, '') AS description, id NOT IN (SELECT p FROM {_KIDS}) AS is_leaf, node_type = 'atomic' AS is_atomic FROM n")
+@query(f"SELECT id, {_DEPTH} + 1 AS depth, coalesce(description, '') AS description, NOT EXISTS (SELECT 1 FROM {_KIDS} WHERE p = id) AS is_leaf, node_type = 'atomic' AS is_atomic FROM n")
 def export_publish(n):
     return tree.publish_rows(n)
 
 
-@query("SELECT string_split(id,'/')[1] AS id, count(*) FILTER (WHERE len(string_split(id,'/')) = 2) AS n_children, count(*) FILTER (WHERE len(string_split(id,'/')) = 3) AS n_grandchildren FROM n GROUP BY 1")
-def domain_card(n):
-    d = T.depth(F.col("id"))
-    return n.groupBy(T.domain_of(F.col("id")).alias("id")).agg(F.count_if(d == 1).alias("n_children"), F.count_if(d == 2).alias("n_grandchildren"))
-
-
 @query(f"SELECT bucket, node_type, count(*) AS n_nodes FROM (SELECT CASE WHEN {_TRASH_FIRST} IS NULL THEN 'trainable' ELSE 'archived' END AS bucket, node_type FROM n) GROUP BY GROUPING SETS ((bucket), (bucket, node_type))")
 def bucket_stats(n):
     bucket = F.when(R.match_rules(F.lower("name"), R.TRASH_PATTERNS).isNull(), "trainable").otherwise("archived")
@@ -82,52 +74,12 @@ def category_breakdown(n):
     return n.select(T.domain_of(F.col("id")).alias("domain"), "node_type").rollup("domain", "node_type").agg(F.count("*").alias("n_nodes"))
 
 
-@query(f"SELECT id, CASE WHEN {_TRASH_FIRST} IS NOT NULL THEN 'robot_internal:' || ({_TRASH_FIRST}) WHEN ({_GENERIC}) IS NOT NULL THEN 'generic_template' ELSE 'ok' END AS verdict FROM (SELECT *, {_WORDS} AS w FROM n) WHERE node_type = 'atomic'")
-def validate_name(n):
-    return n.where("node_type = 'atomic'").select("id", lexicon.verdict(F.col("name"), F.col("description"), R.TRASH_PATTERNS).alias("verdict"))
-
-
-@query("SELECT verdict, count(*) AS n_nodes, CAST(floor(100.0 * count(*) / sum(count(*)) OVER ()) AS BIGINT) AS pct FROM (SELECT CASE WHEN " + _TRASH_FIRST + " IS NOT NULL THEN 'BAD' ELSE 'GOOD' END AS verdict FROM n WHERE node_type = 'atomic') GROUP BY verdict")
-def label_report(n):
-    label = F.when(R.match_rules(F.lower("name"), R.TRASH_PATTERNS).isNotNull(), "BAD").otherwise("GOOD")
-    return reports.shares(n.where("node_type = 'atomic'").select(label.alias("verdict")), "verdict", "n_nodes")
-
-
 @query(f"SELECT id, arg_max(phrase, length(phrase)) AS phrase FROM n JOIN (VALUES {_VALUES}) v(phrase) ON lower(trim(name)) = phrase OR starts_with(lower(trim(name)), phrase || ' ') GROUP BY id")
 def phrase_prefix_match(n):
     phrases = n.sparkSession.createDataFrame([(v,) for v in VERBS], "phrase string")
     return lexicon.prefix_match(n, phrases, most_words=max(len(v.split()) for v in VERBS)).select("id", "phrase")
 
 
-@query(f"SELECT id FROM n WHERE node_type = 'atomic' AND NOT ({' OR '.join(f'contains(lower(name), {v!r})' for v in R.GENERIC_VERBS)})")
-def lacks_good_verb(n):
-    return n.where("node_type = 'atomic'").where(~R.contains_any(F.lower("name"), R.GENERIC_VERBS)).select("id")
-
-
-@query("SELECT stem, count(DISTINCT v) AS n_variants, min(v) AS first_variant, max(v) AS last_variant FROM (SELECT string_split(v, '_')[1] AS stem, v FROM (SELECT string_split(id,'/')[-1] AS v FROM n)) GROUP BY stem HAVING count(DISTINCT v) >= 3")
-def verb_stems(n):
-    last = n.select(F.element_at(F.split("id", "/"), -1).alias("v"))
-    return lexicon.stems(last, "v", least=3)
-
-
-@query("SELECT lower(trim(name)) AS phrase, count(*) AS n_listed FROM n GROUP BY 1 HAVING count(*) > 1")
-def verb_duplicates(n):
-    return n.groupBy(T.norm_name(F.col("name")).alias("phrase")).agg(F.count("*").alias("n_listed")).where("n_listed > 1")
-
-
-@query("SELECT issue, count(*) AS n_phrases FROM (SELECT DISTINCT lower(trim(name)) AS p FROM n) JOIN (VALUES ('long'), ('space'), ('digit')) i(issue) ON (issue = 'long' AND length(p) > 20) OR (issue = 'space' AND contains(p, ' ')) OR (issue = 'digit' AND regexp_matches(p, '[0-9]')) GROUP BY issue")
-def verb_problems(n):
-    phrases = n.select(T.norm_name(F.col("name")).alias("p")).distinct()
-    p = F.col("p")
-    return lexicon.problems(phrases, {"long": F.length(p) > 20, "space": p.contains(" "), "digit": p.rlike("[0-9]")}).groupBy("issue").agg(F.count("*").alias("n_phrases"))
-
-
-@query(f"SELECT DISTINCT {_WORD} AS word FROM n WHERE node_type = 'atomic' EXCEPT SELECT DISTINCT {_WORD} FROM n WHERE node_type = 'subtask'")
-def missing_verbs(n):
-    word = F.split(F.lower("name"), " ")[0].alias("word")
-    return n.where("node_type = 'atomic'").select(word).subtract(n.where("node_type = 'subtask'").select(word))
-
-
 @query("SELECT word, count(*) AS n_words FROM (SELECT unnest(regexp_split_to_array(lower(name), '\\s+')) AS word FROM n WHERE regexp_matches(lower(trim(description)), '^step\\s+\\d+\\s*:')) WHERE length(word) > 3 GROUP BY word ORDER BY n_words DESC, word LIMIT 10")
 def feedback_keywords(n):
     words = n.where(R.step_description(F.col("description"))).select(F.explode(F.split(F.lower("name"), r"\s+")).alias("word"))
@@ -151,41 +103,9 @@ def approval_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "labels").agg(F.count("*").alias("total"), yes.alias("approved"), F.count_if(F.col("quality") == 0).alias("rejected"), F.round(100.0 * yes / F.greatest(F.count("*"), F.lit(1)), 2).alias("rate"))
 
 
-@query("SELECT event_type, count(*) AS n_last, round(avg(value), 4) AS mean, min(value) AS least, max(value) AS most FROM (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DESC) AS r FROM events) WHERE r <= 1000 GROUP BY 1", forest=False)
-def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    last = curate.first_per_group(_table(spark, sf_dir, "events"), "event_type", [F.desc("ts"), F.desc("event_id")], 1000)
-    return last.groupBy("event_type").agg(F.count("*").alias("n_last"), F.round(F.avg("value"), 4).alias("mean"), F.min("value").alias("least"), F.max("value").alias("most"))
-
-
-@query("SELECT minute, n_events, CAST(sum(n_events) OVER (ORDER BY minute) AS BIGINT) AS done FROM (SELECT time_bucket(INTERVAL '1 minute', ts) AS minute, count(*) AS n_events FROM events GROUP BY 1)", forest=False)
-def progress_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.progress(_table(spark, sf_dir, "events"), "ts").select("minute", "n_events", "done")
-
-
 @query("""SELECT user_id, min(ts) AS session_start, count(*) AS n_events FROM (SELECT user_id, ts, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS s FROM
  (SELECT *, CASE WHEN ts <= lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) + INTERVAL '30 minutes' THEN 0 ELSE 1 END AS fresh FROM events)) GROUP BY user_id, s""", forest=False)
 def review_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.sessions(_table(spark, sf_dir, "events"), "user_id", "ts", "30 minutes").select("user_id", "session_start", "n_events")
 
 
-@query("""SELECT key, count(*) FILTER (WHERE asked) AS n_requests, bool_or(NOT asked) AS hit FROM (SELECT sha256(text) AS key, conv_id % 2 = 1 AS asked FROM conversations WHERE text IS NOT NULL) GROUP BY key HAVING bool_or(asked)""", forest=False)
-def response_cache_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    turns = _table(spark, sf_dir, "conversations").where("text is not null").withColumn("key", F.sha2("text", 256))
-    return curate.cache_lookup(turns.where("conv_id % 2 = 1"), turns.where("conv_id % 2 = 0"), "key")
-
-
-@query(f"""SELECT d.id AS domain, count(a.phrase) AS n_found, coalesce(string_agg(CASE WHEN a.phrase IS NULL THEN e.phrase END, ',' ORDER BY e.phrase), '') AS missing, count(a.phrase) >= 10 AS passed
- FROM n d JOIN (VALUES {_VALUES}) e(phrase) ON d.node_type = 'domain' LEFT JOIN (SELECT DISTINCT string_split(id,'/')[1] AS dom, phrase FROM n JOIN (VALUES {_VALUES}) v(phrase) ON starts_with(lower(name), phrase || ' ') WHERE node_type = 'atomic') a ON a.dom = d.id AND a.phrase = e.phrase GROUP BY 1""")
-def coverage_report(n):
-    phrases = n.sparkSession.createDataFrame([(v,) for v in VERBS], "phrase string")
-    found = lexicon.prefix_match(n.where("node_type = 'atomic'"), phrases, most_words=max(len(v.split()) for v in VERBS))
-    return reports.coverage(n.where("node_type = 'domain'").select(F.col("id").alias("domain")), found.select(T.domain_of(F.col("id")).alias("domain"), "phrase"), VERBS, 10)
-
-
-@query(f"""SELECT check_name, pct, CASE WHEN pct <= ok THEN 'PASS' WHEN pct <= warn THEN 'WARN' ELSE 'FAIL' END AS status FROM (
- SELECT 'step' AS check_name, 5 AS ok, 15 AS warn, round(100.0 * count(*) FILTER (WHERE regexp_matches(lower(trim(description)), '^step\\s+\\d+\\s*:')) / greatest(count(*), 1), 2) AS pct FROM n
- UNION ALL SELECT 'empty', 10, 20, round(100.0 * count(*) FILTER (WHERE coalesce(description, '') = '') / greatest(count(*), 1), 2) FROM n
- UNION ALL SELECT 'template', 10, 20, round(100.0 * count(*) FILTER (WHERE ({_GENERIC}) IS NOT NULL) / greatest(count(*), 1), 2) FROM (SELECT *, {_WORDS} AS w FROM n))""")
-def qa_suite(n):
-    checks = [("step", R.step_description(F.col("description")), 5, 15), ("empty", F.coalesce("description", F.lit("")) == "", 10, 20), ("template", R.generic_template(F.col("name"), F.col("description")).isNotNull(), 10, 20)]
-    return reports.qa_suite(n, checks)

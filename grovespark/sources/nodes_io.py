@@ -5,16 +5,26 @@ Readers give lazy DataFrames; writers are single Spark jobs whose commit protoco
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from grovespark.operators.tree import nested_json, rebuild_children
+from grovespark.scratch import materialize
+
+MOST_MANIFEST = 1 << 30
 COMPLETION = "struct<preconditions:string,postconditions:string,invariants:string>"
 NODE = f"id string, name string, node_type string, description string, parent_id string, children_ids array<string>, sources array<string>, tags array<string>, completion {COMPLETION}"
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """Nodes of manifest files, {..., "nodes": {id: node}} or {id: node}. One file is one task: convert it once."""
+    """Nodes of manifest files, {..., "nodes": {id: node}} or {id: node}. One file is one task: convert it once.
+
+    A file of MOST_MANIFEST bytes or more does not fit one string and is an error; write such forests as record lines.
+    """
+    sizes = spark.read.format("binaryFile").load(path).select("path", "length").where(F.col("length") >= MOST_MANIFEST)
+    if large := sizes.first():
+        raise ValueError(f"{large.path} has {large.length} bytes; a manifest is read as one string")
     whole = spark.read.text(path, wholetext=True)
     fields = ", ".join(f"{f.name}: {f.dataType.simpleString()}" for f in spark.createDataFrame([], NODE).schema)
     inner, bare = F.get_json_object("value", "$.nodes"), F.col("value")
@@ -32,8 +42,10 @@ def read_jsonl(spark: SparkSession, path: str, schema: StructType | str) -> Data
 
 
 def read_yaml_tree(spark: SparkSession, path: str) -> DataFrame:
-    """(file, id, name, node_type, parent_id, description, corrupt) of all *.yaml below path; broken files are marked."""
-    fields = ["id", "name", "node_type", "parent_id", "description"]
+    """(file, id, name, node_type, parent_id, description, language, typical_duration, confidence, sources, tags, corrupt)
+    of all *.yaml below path; broken files are marked. rebuild_children of the sound rows gives the index anew."""
+    fields = ["id", "name", "node_type", "parent_id", "description", "language", "typical_duration", "confidence"]
+    lists = ["sources", "tags"]
 
     def run(batches):
         import pandas as pd
@@ -47,11 +59,12 @@ def read_yaml_tree(spark: SparkSession, path: str) -> DataFrame:
                 except yaml.YAMLError:
                     node = None
                 sound = isinstance(node, dict) and bool(node.get("id"))
-                rows.append((file, *[None if not sound or node.get(f) is None else str(node[f]) for f in fields], not sound))
-            yield pd.DataFrame(rows, columns=["file", *fields, "corrupt"])
+                own = node if sound else {}
+                rows.append((file, *[None if own.get(f) is None else str(own[f]) for f in fields], *[[str(x) for x in own.get(f) or []] for f in lists], not sound))
+            yield pd.DataFrame(rows, columns=["file", *fields, *lists, "corrupt"])
 
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.yaml").load(path)
-    return files.select("path", "content").mapInPandas(run, "file string, id string, name string, node_type string, parent_id string, description string, corrupt boolean")
+    return files.select("path", "content").mapInPandas(run, ", ".join(["file string", *[f"{f} string" for f in fields], *[f"{f} array<string>" for f in lists], "corrupt boolean"]))
 
 
 def major_group(code: Column) -> Column:
@@ -76,6 +89,21 @@ def flat_rows(nodes: DataFrame) -> DataFrame:
     return nodes.withColumns({c: F.when(acts, F.col(c)) for c in own})
 
 
+def export_flat(nodes: DataFrame, path: str) -> None:
+    """One JSON line for each node; null fields are left out."""
+    flat_rows(nodes).write.mode("overwrite").option("ignoreNullFields", "true").json(path)
+
+
+def light_rows(nodes: DataFrame) -> DataFrame:
+    """The five columns that a browser of a large forest needs; children_ids by id."""
+    return rebuild_children(nodes.select("id", "name", "node_type", "parent_id"))
+
+
+def export_nested(nodes: DataFrame, path: str, root_depth: int, max_depth: int) -> None:
+    """One line of nested JSON for the subtree of each node at root_depth."""
+    nested_json(nodes, root_depth, max_depth).select(F.col("json").alias("value")).write.mode("overwrite").text(path)
+
+
 def to_published(nodes: DataFrame) -> DataFrame:
     """Completion flattened, nulls as empty strings, depth from 1, is_leaf and is_atomic."""
     part = lambda f: F.coalesce(F.col(f"completion.{f}"), F.lit("")).alias(f)
@@ -97,12 +125,23 @@ def export_tiered(nodes: DataFrame, path: str, tier: str = "tier") -> None:
 
 
 def upsert_nodes(nodes: DataFrame, changes: DataFrame, order: str) -> tuple[DataFrame, DataFrame]:
-    """(nodes, rejected): the change with the greatest order wins for each id; a change whose parent is unknown is rejected."""
-    last = changes.withColumn("__r", F.row_number().over(Window.partitionBy("id").orderBy(F.desc(order)))).where("__r = 1").drop("__r", order)
-    known = nodes.select(F.col("id").alias("__p")).unionByName(last.select(F.col("id").alias("__p")))
-    placed = last.join(known, F.col("parent_id") == F.col("__p"), "left_semi").unionByName(last.where("parent_id is null"))
-    rejected = last.where("parent_id is not null").join(known, F.col("parent_id") == F.col("__p"), "left_anti")
-    return nodes.join(placed.select("id"), "id", "left_anti").unionByName(placed, allowMissingColumns=True), rejected
+    """(nodes, rejected): the change with the greatest order wins for each id; a change is rejected where a node of its
+    chain of parents is neither there nor among the changes that stay. children_ids, if nodes has them, are rebuilt.
+
+    Changes hang from each other as deep as they go, so the parents are asked for level by level until none is rejected.
+    """
+    last = materialize(changes.groupBy("id").agg(F.max(F.struct(order, *[c for c in changes.columns if c not in ("id", order)])).alias("m")).select("id", "m.*").drop(order))
+    there = nodes.select(F.col("id").alias("__p"))
+    placed = last
+    while True:
+        known = there.unionByName(placed.select(F.col("id").alias("__p")))
+        kept = materialize(placed.where("parent_id is null").unionByName(placed.where("parent_id is not null").join(known, F.col("parent_id") == F.col("__p"), "left_semi")))
+        if kept.count() == placed.count():
+            break
+        placed = kept
+    rejected = last.join(placed.select("id"), "id", "left_anti")
+    out = nodes.join(placed.select("id"), "id", "left_anti").unionByName(placed, allowMissingColumns=True)
+    return rebuild_children(out) if "children_ids" in nodes.columns else out, rejected
 
 
 def commit_snapshot(df: DataFrame, path: str, version: int) -> DataFrame:
