@@ -1,34 +1,5 @@
-"""Shared working storage: tables written to the folder that the cluster names in spark.checkpoint.dir."""
+"""Shared working storage, as the rest of the library has it."""
 
-from __future__ import annotations
+from grovespark.scratch import discard, materialize, shared_folder
 
-import gc
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; only where none is set (as in tests), an own one."""
-    conf = spark.sparkContext.getConf()
-    folder = conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="grovespark-")
-        spark.sparkContext.setCheckpointDir(folder)
-        folder = spark.sparkContext.getCheckpointDir() or folder
-    return folder
-
-
-def materialize(df: DataFrame, release: bool = False) -> DataFrame:
-    """Write df once as a shared table and read it back: cuts the lineage, survives lost executors.
-
-    release: the step shuffled much, so let the context cleaner drop the shuffle files of plans that are gone.
-    """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark).rstrip('/')}/grovespark-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    if release:
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(df.schema).parquet(path)
+__all__ = ["discard", "materialize", "shared_folder"]
