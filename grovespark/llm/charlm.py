@@ -24,6 +24,39 @@ def padded(word: str, order: int) -> str:
     return " " * (order - 1) + word + " "
 
 
+def ngrams_of(words: list[str], weights: np.ndarray | None, order: int) -> Counter:
+    """Counts of the n-grams of blank-padded words, each word as often as its weight says (None: once)."""
+    if not words:
+        return Counter()
+    codes = np.frombuffer((" " * (order - 1) + (" " * order).join(words) + " ").encode("utf-32-le"), np.uint32)
+    size = np.array([len(w) for w in words], np.int64)
+    # a word's n-grams end at its letters and at the blank behind it
+    own = np.repeat(np.arange(len(words)), size + 1)
+    ends = np.arange(len(own)) + (order - 1) * (own + 1)
+    windows = np.lib.stride_tricks.sliding_window_view(codes, order)[ends - (order - 1)]
+    bits = 64 // order
+    wide = np.flatnonzero((windows >> np.uint32(min(31, bits))).any(axis=1)) if int(codes.max()) >> bits else np.zeros(0, np.int64)
+    packed = np.zeros(len(windows), np.uint64)
+    for k in range(order):
+        packed = packed << np.uint64(bits) | windows[:, k].astype(np.uint64)
+    out = Counter()
+    for i in wide.tolist():  # rare: characters that don't fit
+        out["".join(map(chr, windows[i]))] += 1 if weights is None else int(weights[own[i]])
+    kept = np.delete(packed, wide) if len(wide) else packed
+    if weights is None:
+        values, sums = np.unique(kept, return_counts=True)
+    else:
+        by = np.argsort(kept, kind="stable")
+        values, first = np.unique(kept[by], return_index=True)
+        sums = np.add.reduceat(np.delete(weights[own], wide)[by], first) if len(first) else first
+    low = np.uint64((1 << bits) - 1)
+    letters = np.stack([values >> np.uint64(bits * (order - 1 - k)) & low for k in range(order)], axis=1).astype("<u4")
+    names = letters.tobytes().decode("utf-32-le")
+    for i, n in enumerate(sums.tolist()):
+        out[names[i * order : (i + 1) * order]] += n
+    return out
+
+
 def count_ngrams(df: DataFrame, group: str, text: str = "text", order: int = 4) -> DataFrame:
     """(grp, ngram, n) over the words of all rows: lower-case runs of letters with blank padding.
 
@@ -36,12 +69,10 @@ def count_ngrams(df: DataFrame, group: str, text: str = "text", order: int = 4)
 
         def grams():
             for g, counted in words.items():
-                found = Counter()
-                for piece, n in counted.items():
-                    for word in LETTERS(piece):
-                        s = padded(word, order)
-                        for i in range(len(s) - order + 1):
-                            found[s[i : i + order]] += n
+                once = [w for w, n in counted.items() if n == 1]
+                often = [(w, n) for piece, n in counted.items() if n > 1 for w in LETTERS(piece)]
+                found = ngrams_of(LETTERS(" ".join(once)), None, order)
+                found.update(ngrams_of([w for w, _ in often], np.array([n for _, n in often], np.int64), order))
                 if found:
                     yield pa.RecordBatch.from_arrays([pa.array([g] * len(found), pa.string()), pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], names=["grp", "ngram", "n"])
             words.clear()

@@ -27,7 +27,7 @@ ORDER = 3
 #: What signs may stand for in disguised words.
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e", "£": "l", "¢": "c", "(": "c", "<": "c", "v": "u", "*": "aeiou", "#": "h"}
 #: Costs in nats: another letter for a sign, a vowel for a star, leaving out a separator, a sign, a digit, a repeat.
-SWAP_COST, VOWEL_COST, REPEAT_COST, BEAM = 1.0, 3.0, 0.3, 24
+SWAP_COST, VOWEL_COST, REPEAT_COST = 1.0, 3.0, 0.3
 SEPARATORS, SEPARATOR_COST, SIGN_COST, DIGIT_COST = " .-_~^'", 0.5, 3.0, 12.0
 HEADS, TAILS = ".,;:?\"'()[]{}<>*#%&-_=~^`/\\", ".,;:!?\"'()[]{}<>|*#%&$@+-_=~^`/\\"
 PREFIXES = (4, 5, 6)
@@ -39,11 +39,13 @@ BASE = 0.02
 _MIXED = re.compile(r"[^\W\d_][\d@$!|+€£¢(<*#.\-_~^]+[^\W\d_]|[\d@$!|+€£¢(<]+[^\W\d_]|[^\W\d_][\d@$€£¢]").search
 _REPEATED = re.compile(r"([^\W\d_])\1\1").search
 _SAID_AGAIN = re.compile(r"(.)\1+").sub
+SINGLE = frozenset(map(chr, range(33, 127)))
 _SPACED = re.compile(r"(?<!\S)(?:[^\s%&=~] ){3,}[^\s%&=~](?!\S)")
 
 
 class Decoder:
-    """Viterbi over the lattice of a token, states being the last letters under the character model."""
+    """Exact Viterbi over the lattice of a token. States are the last ORDER - 1 letters, of which a place of the lattice
+    reaches few, so none is left out."""
 
     def __init__(self, model: KneserNey):
         self.model, self.known = model, {}
@@ -71,7 +73,7 @@ class Decoder:
                     total, to = cost + extra - self._log_prob(context, letter), context[1:] + letter
                     if to not in new or new[to][0] > total:
                         new[to] = total, said + letter
-            states = dict(sorted(new.items(), key=lambda s: s[1])[:BEAM]) if len(new) > BEAM else new
+            states = new
         return min((cost - self._log_prob(context, " "), said) for context, (cost, said) in states.items())[1]
 
 
@@ -95,19 +97,25 @@ class Reader:
     def words(self, piece: str) -> list[str]:
         """Lower-case words of a piece, read as written and, if it looks disguised, as decoded."""
         core = piece.lower().lstrip(HEADS).rstrip(TAILS)
+        if core.isalpha() and not _REPEATED(core):
+            return [core]
         words = LETTERS(core)
-        if not core or core.isalpha() and not _REPEATED(core):
-            return words
         if _REPEATED(core) or _MIXED(core):
             words = [*words, *LETTERS(self.decoder.decode(core))]
         return words
 
     def pieces(self, text: str) -> set[str]:
         found = set(text.split())
-        for m in _SPACED.finditer(text):
-            found.add(m.group().replace(" ", "."))  # letters parted by spaces are decoded like those parted by points
+        found.update(self.spaced(text, found))
         return found
 
+    @staticmethod
+    def spaced(text: str, pieces: set[str]) -> list[str]:
+        """Letters parted by spaces, as if parted by points. The pattern runs where there are single characters enough."""
+        if len(pieces & SINGLE) + sum(len(p) == 1 and p not in SINGLE for p in pieces if not p.isascii()) < 3:
+            return []
+        return [m.group().replace(" ", ".") for m in _SPACED.finditer(text)]
+
 
 def features(word: str) -> list[str]:
     """A word is a feature whole (=word) and by its beginnings (word-), letters said twice or more taken as one."""
@@ -118,11 +126,17 @@ def features(word: str) -> list[str]:
 class ToxicModel:
     def __init__(self, decoder: Decoder, weights: dict[str, float], base: float):
         self.decoder, self.weights, self.base = decoder, weights, base
+        self.heads = {f.lstrip("=")[:2] for f in weights}
+
+    def _known(self, piece: str) -> tuple[str, ...]:
+        """The features of a piece that have a weight. Words begin like none of them, as a rule."""
+        words = [w for w in self._reader.words(piece) if w[:2] in self.heads or w[:1] == w[1:2]]
+        return tuple(sorted({f for w in words for f in features(w) if f in self.weights}))
 
     def scores(self, texts: list[str]) -> list[float]:
         if "_reader" not in self.__dict__:
             self._reader = Reader(self.decoder)
-            self._seen = _Pieces(lambda piece: tuple(sorted({f for w in self._reader.words(piece) for f in features(w) if f in self.weights})))
+            self._seen = _Pieces(self._known)
         if len(self._seen) > 200_000:
             self._seen.clear()
         out, look = [], self._seen.__getitem__
@@ -152,21 +166,23 @@ def train(df: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
 
     def run(batches):
         reader = Reader(shared.value)
+        known = _Pieces(lambda piece: tuple(f for w in reader.words(piece) for f in features(w)))
         for batch in small(batches):
             toxic, texts = (c.to_pylist() for c in batch.columns)
+            if len(known) > 200_000:
+                known.clear()
             for y, t in zip(toxic, texts, strict=True):
                 own: dict[str, int] = {}
-                spaced = [m.group().replace(" ", ".") for m in _SPACED.finditer(t)]
-                before = ""
-                for p in [*t.split(), *spaced]:
-                    for w in reader.words(p):
-                        for f in features(w):
-                            own.setdefault(f, crc32(before.encode()))
+                pieces, before = t.split(), ""
+                for p in [*pieces, *reader.spaced(t, set(pieces))]:
+                    for f in known[p]:
+                        if f not in own:
+                            own[f] = crc32(before.encode())
                     before = p
                 yield pa.RecordBatch.from_arrays([pa.array([y] * len(own), pa.int32()), pa.array(list(own), pa.string()), pa.array(list(own.values()), pa.int64())], names=["toxic", "feature", "place"])
 
     ensure_on_workers(df.sparkSession)
-    found = sample.mapInArrow(run, "toxic int, feature string, place bigint")
+    found = materialize(sample.mapInArrow(run, "toxic int, feature string, place bigint"))
     counted = found.groupBy("feature").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c")).where(F.col("t") >= F.greatest(F.lit(LEAST_ROWS), ROWS_FOR_CLEAN * F.col("c")))
     sound = materialize(counted)
     places = found.where("toxic = 1").join(sound, "feature", "left_semi").groupBy("feature", "place").count().groupBy("feature").agg(F.count("*").alias("places"))
