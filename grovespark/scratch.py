@@ -5,10 +5,13 @@ from __future__ import annotations
 import gc
 import re
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Seconds for the context cleaner to have shuffle files deleted before the next step writes its own.
+RELEASE_S = 0.6
 _FOLDERS: dict[str, str] = {}
 
 
@@ -43,6 +46,7 @@ def materialize(df: DataFrame, release: bool = False) -> DataFrame:
     if release:
         gc.collect()
         spark.sparkContext._jvm.System.gc()
+        time.sleep(RELEASE_S)
     out = spark.read.schema(df.schema).parquet(path)
     out._scratch = path
     return out
