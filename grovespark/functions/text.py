@@ -53,9 +53,31 @@ def truncate(text: Column, n: int) -> Column:
     return F.when(F.length(text) > n, F.concat(F.substring(text, 1, n), F.lit("..."))).otherwise(text)
 
 
-def title_case(name: Column) -> Column:
-    return F.initcap(F.translate(name, "_", " "))
+def title_case(name: Column, suffix: str = "") -> Column:
+    """Words of a snake name with capitals, and a suffix in parentheses, if there is one."""
+    words = F.initcap(F.translate(name, "_", " "))
+    return F.concat(words, F.lit(f" ({suffix})")) if suffix else words
 
 
 def percent(part: Column, total: Column, digits: int = 2) -> Column:
     return F.round(F.try_divide(part * 100.0, total), digits)
+
+
+def per_minute(count: Column, seconds: Column) -> Column:
+    """Null where no time has passed."""
+    return F.try_divide(count * 60.0, seconds)
+
+
+def eta_seconds(done: Column, goal: Column, seconds: Column) -> Column:
+    """Seconds until the goal at the pace so far; null before anything is done."""
+    return F.try_divide((goal - done) * seconds, done.cast("double"))
+
+
+def iso_time(text: Column) -> Column:
+    """The time of an ISO text; null where it is none."""
+    return F.try_to_timestamp(text)
+
+
+def json_counts(keys: Column, values: Column) -> Column:
+    """JSON text of two arrays as an object."""
+    return F.to_json(F.map_from_arrays(keys, values))

@@ -25,6 +25,46 @@ def parse(text: Column, schema: str = RESPONSE) -> Column:
     return F.coalesce(sound(read(body)), sound(read(cut)))
 
 
+def read_responses(responses: DataFrame, text: str = "response") -> DataFrame:
+    """responses with r, the struct, and status: ok as it stands, salvaged after the cut, regex where only names could be
+    found, failed. A struct found by pattern has the names alone."""
+    body = unfenced(F.col(text))
+    whole = F.from_json(body, f"{RESPONSE[:-1]}, _bad: string>", {"columnNameOfCorruptRecord": "_bad"})
+    names = F.regexp_extract_all(body, F.lit(r'"(?:task|name)"\s*:\s*"([^"]+)"'), F.lit(1))
+    found = F.struct(F.lit(None).cast("boolean").alias("is_atomic"), F.transform(names, lambda n: F.struct(n.alias("name"), F.lit(None).cast("string").alias("description"), F.lit(None).cast("boolean").alias("is_atomic"))).alias("subtasks"))
+    read = responses.withColumn("__r", parse(F.col(text))).withColumn("__ok", whole["_bad"].isNull() & whole.isNotNull())
+    status = F.when(F.col("__r").isNull(), F.when(F.size(names) > 0, "regex").otherwise("failed")).when(F.col("__ok"), "ok").otherwise("salvaged")
+    kept = F.struct(F.col("__r.is_atomic").alias("is_atomic"), F.transform("__r.subtasks", lambda x: F.struct(x["name"].alias("name"), x["description"].alias("description"), x["is_atomic"].alias("is_atomic"))).alias("subtasks"))
+    out = read.withColumn("status", status)
+    return out.withColumn("r", F.when(F.col("status") == "regex", found).when(F.col("__r").isNotNull(), kept)).drop("__r", "__ok")
+
+
+def merge_subtrees(nodes: DataFrame, batch: DataFrame, source: str = "llm_generated") -> DataFrame:
+    """New nodes (id, parent_id, name, node_type, sources) of batch(domain, category, name, ordinal).
+
+    A domain that is there, by its normalised name, is used; another is made. A category is made only where it brings a
+    task whose normalised name the forest does not have; of names that the batch repeats the first counts; ids that are
+    there already stay as they are.
+    """
+    known = nodes.select(norm_name(F.col("name")).alias("__n")).distinct()
+    fresh = batch.withColumn("__n", norm_name(F.col("name"))).where("__n <> ''").join(known, "__n", "left_anti")
+    first = fresh.groupBy("__n").agg(F.min(F.struct("ordinal", "domain", "category", "name")).alias("m")).select("m.*")
+    there = nodes.where("node_type = 'domain'").select(norm_name(F.col("name")).alias("__d"), F.col("id").alias("__id")).groupBy("__d").agg(F.min("__id").alias("__id"))
+    placed = first.withColumn("__d", norm_name(F.col("domain"))).join(there, "__d", "left").withColumn("did", F.coalesce("__id", slug(F.col("domain"))))
+    placed = placed.withColumn("cid", F.concat_ws("/", "did", slug(F.col("category")))).withColumn("tid", F.concat_ws("/", "cid", slug(F.col("name"))))
+    level = lambda df, id_, up, name, kind: df.select(F.col(id_).alias("id"), up.cast("string").alias("parent_id"), F.col(name).alias("name"), F.lit(kind).alias("node_type"), "ordinal")
+    rows = level(placed, "did", F.lit(None), "domain", "domain").unionByName(level(placed, "cid", F.col("did"), "category", "task")).unionByName(level(placed, "tid", F.col("cid"), "name", "subtask"))
+    once = rows.groupBy("id").agg(F.min(F.struct("ordinal", "parent_id", "name", "node_type")).alias("m")).select("id", "m.parent_id", "m.name", "m.node_type")
+    return once.join(nodes.select("id"), "id", "left_anti").withColumn("sources", F.array(F.lit(source)))
+
+
+def gap_fill(nodes: DataFrame, batch: DataFrame, most: int = 15, tags: tuple[str, ...] = ("gap_fill",)) -> DataFrame:
+    """merge_batch among siblings, at most so many new nodes for each parent, the first by ordinal, with tags."""
+    made = merge_batch(nodes, batch, "siblings").join(batch.groupBy("parent_id", "name").agg(F.min("ordinal").alias("ordinal")), ["parent_id", "name"])
+    ranked = made.withColumn("__r", F.row_number().over(Window.partitionBy("parent_id").orderBy("ordinal"))).where(F.col("__r") <= most)
+    return ranked.select("id", "parent_id", "name", F.array(*map(F.lit, tags)).alias("tags"))
+
+
 def attach_children(parents: DataFrame, responses: DataFrame, valid_atomic: Column, text: str = "response", source: str = "llm_generated") -> DataFrame:
     """New child nodes (id, parent_id, pos, name, node_type, description, sources) of parents(id, node_type).
 

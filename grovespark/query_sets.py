@@ -9,6 +9,7 @@ from grovespark.functions import rules as R
 from grovespark.functions import text as T
 from grovespark.operators import curate, lexicon, reports, tree
 from grovespark.plans.forest import VERBS
+from grovespark.sources import nodes_io
 from grovespark.queries import _GENERIC, _TRASH_FIRST, _WORDS, query
 
 _DEPTH = "(len(string_split(id,'/'))-1)"
@@ -26,10 +27,11 @@ def high_level(n):
     return tree.child_counts(n).where(F.col("node_type").isin("task", "subtask") & (F.col("n_children") >= 5)).select("id", "n_children")
 
 
-@query(f"SELECT id, {_DEPTH} AS depth FROM n WHERE node_type NOT IN ('domain','atomic') AND {_DEPTH} < 4 AND NOT EXISTS (SELECT 1 FROM {_KIDS} WHERE p = id) ORDER BY depth, id LIMIT 500")
+@query(f"SELECT id, {_DEPTH} AS depth FROM n WHERE node_type NOT IN ('domain','atomic') AND {_DEPTH} < 4 AND coalesce(description, '') <> 'F' AND NOT EXISTS (SELECT 1 FROM {_KIDS} WHERE p = id) ORDER BY depth, id LIMIT 500")
 def frontier(n):
     open_ = n.where(~F.col("node_type").isin("domain", "atomic") & (T.depth(F.col("id")) < 4))
-    return tree.childless(open_, n).select("id", T.depth(F.col("id")).alias("depth")).orderBy("depth", "id").limit(500)
+    processed = n.where("description = 'F'").select("id")
+    return curate.exclude_seen(tree.childless(open_, n), processed, "id").select("id", T.depth(F.col("id")).alias("depth")).orderBy("depth", "id").limit(500)
 
 
 @query(f"SELECT id FROM n WHERE node_type = 'subtask' AND NOT EXISTS (SELECT 1 FROM {_KIDS} WHERE p = id)")
@@ -58,9 +60,10 @@ def breadcrumb(n):
     return tree.breadcrumb(n)
 
 
-@query(f"SELECT id, {_DEPTH} + 1 AS depth, coalesce(description, '') AS description, NOT EXISTS (SELECT 1 FROM {_KIDS} WHERE p = id) AS is_leaf, node_type = 'atomic' AS is_atomic FROM n")
+@query(f"SELECT id, name, node_type, coalesce(description, '') AS description, coalesce(parent_id, '') AS parent_id, coalesce(k, '') AS children, '' AS preconditions, '' AS postconditions, '' AS invariants, {_DEPTH} + 1 AS depth, k IS NULL AS is_leaf, node_type = 'atomic' AS is_atomic FROM n LEFT JOIN (SELECT parent_id AS p, string_agg(id, ',' ORDER BY id) AS k FROM n WHERE parent_id IS NOT NULL GROUP BY 1) ON p = id")
 def export_publish(n):
-    return tree.publish_rows(n)
+    whole = tree.rebuild_children(n).withColumn("completion", F.lit(None).cast(nodes_io.COMPLETION))
+    return nodes_io.to_published(whole).withColumn("children", F.array_join("children_ids", ",")).drop("children_ids")
 
 
 @query(f"SELECT bucket, node_type, count(*) AS n_nodes FROM (SELECT CASE WHEN {_TRASH_FIRST} IS NULL THEN 'trainable' ELSE 'archived' END AS bucket, node_type FROM n) GROUP BY GROUPING SETS ((bucket), (bucket, node_type))")

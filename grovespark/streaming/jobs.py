@@ -72,3 +72,24 @@ def reject_cutoff(stream: DataFrame, parent: str, order: str, rejected: str, lim
 
     kinds = f"{parent} {stream.schema[parent].dataType.simpleString()}, {order} {stream.schema[order].dataType.simpleString()}"
     return stream.select(parent, order, F.col(rejected).cast("boolean").alias(rejected)).groupBy(parent).applyInPandasWithState(step, kinds, "n bigint", "append", "NoTimeout")
+
+
+def rating_moves(stream: DataFrame, key: str, ts: str, value: str) -> DataFrame:
+    """(value, delta): what each new rating does to the counters, one more for its value and one less for the value that
+    the key had; for append mode. Sums of delta by value are the live counters. Ratings older than the last one of their
+    key change nothing. State is one rating per key.
+    """
+    import pandas as pd
+
+    def step(key_, batches, state):
+        had, last = state.get if state.exists else (None, None)
+        rows = pd.concat(list(batches)).sort_values(ts, kind="stable")
+        newest = rows.iloc[-1]
+        if last is None or newest[ts].value > last:
+            state.update((newest[value], newest[ts].value))
+            if newest[value] != had:
+                moves = [(newest[value], 1)] + ([(had, -1)] if had is not None else [])
+                yield pd.DataFrame(moves, columns=[value, "delta"])
+
+    kind = stream.schema[value].dataType.simpleString()
+    return stream.select(key, ts, value).groupBy(key).applyInPandasWithState(step, f"{value} {kind}, delta int", f"had {kind}, at bigint", "append", "NoTimeout")
