@@ -2,7 +2,7 @@
 
 Each language's model is counted over all its training documents; a text goes to the language with the lowest
 length-normalised cross-entropy. Texts whose best cross-entropy lies far above what the models give their own
-language are rejected; the limit is calibrated on a bounded sample of the training rows.
+language are rejected; each language's limit is calibrated on a sample of its own training rows.
 """
 
 from __future__ import annotations
@@ -74,14 +74,17 @@ def training_fold(key: Column, buckets: int, held_out: int) -> Column:
 
 
 def train(df: DataFrame, learn: Column, text: str = "text", lang: str = "lang", key: str = "doc_id", sample_rows: int = 2000, deviations: float = 12.0) -> LanguageModels:
-    """Models of every language among the rows to learn from. sample_rows bounds the rows that set the limits."""
+    """Models of every language among the rows to learn from. sample_rows is how many rows of each language set its limit,
+    about: rows are drawn by a hash of the key at the rate that gives so many, all of a language that has fewer."""
     rows = df.where(learn & F.col(lang).isNotNull() & F.col(text).isNotNull())
     models = LanguageModels(count_ngrams(rows, lang, text, ORDER))
     if not models.languages:
         return models
-    chosen = rows.select(key).distinct().orderBy(F.xxhash64(key), key).limit(sample_rows)
-    sample = rows.join(F.broadcast(chosen), key, "left_semi")
-    own = entropy_table(sample.select(key, text, lang), models, text, [key, lang]).where("letters >= 20 and best = lang").groupBy("lang").agg(F.avg("entropy"), F.coalesce(F.stddev("entropy"), F.lit(0.0)), F.max("entropy"))
+    counts = rows.groupBy(F.col(lang).alias("__lang")).agg(F.count("*").alias("__n"))
+    rate = F.least(F.lit(1.0), sample_rows / F.col("__n"))
+    drawn = F.pmod(F.xxhash64(key, F.lit(7)), F.lit(1 << 20)) < F.ceil(rate * (1 << 20))
+    sample = rows.join(F.broadcast(counts), F.col(lang) == F.col("__lang")).where(drawn)
+    own = entropy_table(sample.select(key, text, lang), models, text, [key, lang]).where((F.col("letters") >= 20) & (F.col("best") == F.col(lang))).groupBy(lang).agg(F.avg("entropy"), F.coalesce(F.stddev("entropy"), F.lit(0.0)), F.max("entropy"))
     for name, mean, deviation, most in own.collect():
         models.limits[models.languages.index(name)] = max(mean + deviations * deviation, most + 1.0)
     return models
