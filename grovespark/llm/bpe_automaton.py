@@ -4,7 +4,12 @@ The merges are compiled one after another as gadgets. A gadget for (x, z) takes
 that follows x and adds the arc xz instead; a state is known by the token that leads to it, and starts as a copy
 of the state of that token's right part. So the arc t leaves the state of a unless some gadget (x, z) took it, or
 took a part of it, while x still ended a and z still began t. The arcs are worked out from the gadgets when first
-used and kept in the transition table. Each word has exactly one path; decoding emits the labels of its arcs.
+used and kept in the transition table.
+
+Over bytes the automaton is stepped by a second table, whose states are the longest ends of what was read that begin a
+token (as in Aho and Corasick's machine): it names the tokens that may end at a place, and exactly one of them is an arc
+from the state of the place where it begins. So a word is read once, from left to right, without going back, and has
+exactly one path; decoding emits the labels of its arcs.
 """
 
 from __future__ import annotations
@@ -50,6 +55,7 @@ class MergeAutomaton:
         ids, merges, special = load_merges(path)
         self.special_id = special[BYTE_SPECIAL]
         self.arcs: dict[int, bool] = {}
+        self.known: dict[str, list[int]] = {}
         size = max([*ids.values(), *special.values()]) + 1
         self.label = [b""] * size
         for b, i in ids.items():
@@ -68,11 +74,7 @@ class MergeAutomaton:
             self.ends[whole] = [(whole, NEVER), (right, rank), *self.ends[right][1:]]
             self.begins[whole] = [(whole, NEVER), (left, rank), *self.begins[left][1:]]
         self.ids = {b: i for b, i in ids.items() if i in made}
-        #: longest arc by its first three bytes; shorter arcs need no entry
-        self.reach: dict[bytes, int] = {}
-        for b in self.ids:
-            if len(b) > 2:
-                self.reach[b[:3]] = max(self.reach.get(b[:3], 3), len(b))
+        self._compile_steps()
         self.label_bytes = np.frombuffer(b"".join(self.label), np.uint8)
         self.label_length = np.array([len(b) for b in self.label], np.int64)
         self.label_start = np.cumsum(self.label_length) - self.label_length
@@ -96,40 +98,77 @@ class MergeAutomaton:
             known = self.arcs[key] = self._passes(a, t)
         return known
 
+    def _compile_steps(self) -> None:
+        """The byte table: `step` of state << 8 | byte along tokens, the state that the longest proper end leads to, and
+        the tokens that end in a state, longest first, as (token, length)."""
+        self.step: dict[int, int] = {}
+        ending, size = [0], 1
+        for word, token in self.ids.items():
+            at = 0
+            for byte in word:
+                to = self.step.get(at << 8 | byte)
+                if to is None:
+                    to = self.step[at << 8 | byte] = size
+                    ending.append(-1)
+                    size += 1
+                at = to
+            ending[at] = token
+        ending[0] = -1
+        below: list[list[tuple[int, int]]] = [[] for _ in range(size)]
+        for key, to in self.step.items():
+            below[key >> 8].append((key & 255, to))
+        self.back, self.found = [0] * size, [()] * size
+        level = [0]
+        while level:
+            after = []
+            for at in level:
+                for byte, to in below[at]:
+                    self.back[to] = self._next(self.back[at], byte) if at else 0
+                    own = ((ending[to], len(self.label[ending[to]])),) if ending[to] >= 0 else ()
+                    self.found[to] = own + self.found[self.back[to]]
+                    after.append(to)
+            level = after
+
+    def _next(self, at: int, byte: int) -> int:
+        get = self.step.get
+        while (to := get(at << 8 | byte)) is None:
+            if not at:
+                return 0
+            at = self.back[at]
+        return to
+
     def encode(self, word: bytes) -> list[int]:
-        """The one path that spells the word: longest arcs first, leaving positions that lead nowhere."""
+        """The path of the word: at each place the one token that is an arc from where it begins."""
         if (whole := self.ids.get(word)) is not None:
             return [whole]
-        ids, known, reach, n = self.ids.get, self.arcs.get, self.reach.get, len(word)
-        path, dead, at, most, last = [], set(), 0, n, -1
-        while at < n:
-            size = reach(word[at : at + 3], 2)
-            size = size if size < most else most
-            while size:
-                t = ids(word[at : at + size])
-                if t is not None and at + size not in dead:
-                    if last < 0:
-                        break
-                    if (open_arc := known(last << 20 | t)) is None:
-                        open_arc = self.arc(last, t)
-                    if open_arc:
-                        break
-                size -= 1
-            if size:
-                path.append(t)
-                last = t
-                at += size
-                most = n - at
-            else:
-                dead.add(at)
-                most = len(self.label[path.pop()]) - 1
-                at -= most + 1
-                last = path[-1] if path else -1
-        return path
+        step, known, found, at = self.step.get, self.arcs.get, self.found, 0
+        last, sizes = [-1], [0]
+        for i, byte in enumerate(word, 1):
+            to = step(at << 8 | byte)
+            if to is None:  # worked out once, then in the table
+                to = self.step[at << 8 | byte] = self._next(at, byte)
+            at = to
+            for token, size in found[at]:
+                before = last[i - size]
+                if before < 0:
+                    break
+                if (open_arc := known(before << 20 | token)) is None:
+                    open_arc = self.arc(before, token)
+                if open_arc:
+                    break
+            last.append(token)
+            sizes.append(size)
+        path, i = [], len(word)
+        while i:
+            path.append(last[i])
+            i -= sizes[i]
+        return path[::-1]
 
     def encode_many(self, queue) -> tuple[np.ndarray, np.ndarray]:
         tokens, counts = pretokens(queue)
-        known: dict[str, list[int]] = {}
+        known = self.known
+        if len(known) > 300_000:
+            known.clear()
         ids, sizes, at = [], [], 0
         for n in counts.tolist():
             before = len(ids)
