@@ -3,7 +3,7 @@
 Documents become pieces of at most `capacity` tokens. Pieces are dealt by a hash into groups of bounded size; each
 group is packed by best fit, longest first, and then improved: the emptiest bins give their pieces to other underfull
 bins by moves, one-for-one and two-for-one exchanges that raise the sum of squared fills, until no bin empties.
-What stays in underfull bins of all groups is dealt and packed again.
+What stays in underfull bins of all groups is dealt and packed again, as long as that lowers the number of bins.
 """
 
 from __future__ import annotations
@@ -29,6 +29,9 @@ from grovespark.session import ensure_on_workers
 WORD_SPECIALS = ("<|startoftext|>", "<|endoftext|>")
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+"
 
+#: Times that underfull bins are opened and packed again at most; sequence numbers have room for it.
+MOST_LEVELS = 32
+
 _WORDS = regex.compile(WORD_PATTERN).findall
 _READY: dict[str, tuple] = {}
 
@@ -110,15 +113,33 @@ def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
     return bins
 
 
-def local_search(bins: list[list[int]], lengths: list[int], capacity: int, rounds: int = 3) -> list[list[int]]:
-    """Exchanges between underfull bins that raise the sum of squared fills; bins that empty go.
+def _offers(own: list[int], lengths: list[int]):
+    """What a bin can give: nothing, one of its items or two. Items of one length are alike, so each length is offered
+    once; as lengths add up to the fill, a bin has few different ones."""
+    by: dict[int, list[int]] = {}
+    for i in own:
+        by.setdefault(lengths[i], []).append(i)
+    yield (), 0
+    kinds = sorted(by)
+    for x in kinds:
+        yield (by[x][0],), x
+    for n, x in enumerate(kinds):
+        if len(by[x]) > 1:
+            yield (by[x][0], by[x][1]), 2 * x
+        for y in kinds[n + 1 :]:
+            yield (by[x][0], by[y][0]), x + y
+
+
+def local_search(bins: list[list[int]], lengths: list[int], capacity: int) -> list[list[int]]:
+    """Exchanges between underfull bins that raise the sum of squared fills; bins that empty go. Ends with the first
+    round that empties none.
 
     One-for-one, two-for-one and moves: a bin takes one longer piece for one or two of its own whose lengths sum to
     less, or a piece for nothing, if that fills it better. The fuller bin always gains, so squared fill rises.
     """
     fill = [sum(lengths[i] for i in b) for b in bins]
-    for _ in range(rounds):
-        changed = False
+    while True:
+        held = sum(map(bool, bins))
         under = sorted((b for b in range(len(bins)) if bins[b] and fill[b] < capacity), key=lambda b: (fill[b], b))
         if len(under) < 2:
             break
@@ -133,8 +154,7 @@ def local_search(bins: list[list[int]], lengths: list[int], capacity: int, round
             while pool and fill[b] < capacity:
                 gap, own = capacity - fill[b], bins[b]
                 best = (0, None, ())
-                offers = [((), 0)] + [((i,), lengths[i]) for i in own] + [((i, j), lengths[i] + lengths[j]) for x, i in enumerate(own[:12]) for j in own[x + 1 : 12]]
-                for given, size in offers:
+                for given, size in _offers(own, lengths):
                     at = bisect_left(pool, (size + gap + 1, -1)) - 1
                     if at >= 0 and (gain := pool[at][0] - size) > best[0]:
                         best = (gain, pool[at][1], given)
@@ -158,35 +178,34 @@ def local_search(bins: list[list[int]], lengths: list[int], capacity: int, round
                     home[i] = d
                 fill[b] += gain
                 fill[d] -= gain
-                changed = True
         # the donors' pieces, packed anew, may need fewer bins
         loose = [i for d in donors for i in bins[d]]
         again = best_fit([lengths[i] for i in loose], capacity)
         filled = [d for d in donors if bins[d]]
         if len(again) < len(filled):
-            changed = True
             for d in donors:
                 bins[d], fill[d] = [], 0
             for d, members in zip(donors, again, strict=False):
                 bins[d] = [loose[i] for i in members]
                 fill[d] = sum(lengths[i] for i in bins[d])
-        if not changed:
+        if sum(map(bool, bins)) == held:
             break
     return [b for b in bins if b]
 
 
 def _pack_groups(items: DataFrame, key: str, capacity: int, group_size: int, level: int) -> DataFrame:
-    """Adds (sequence_id, offset, filled): bins are numbered within a group, groups within a level."""
+    """Adds (sequence_id, offset, filled): bins are numbered within a group, groups within a level. Items are dealt by
+    their row number, so that equal rows don't meet more than others."""
     groups = max(1, math.ceil(items.count() / group_size))
-    spread = items.withColumn("__group", F.pmod(F.xxhash64(key, "piece", "start", "ids_crc32", F.lit(level)), F.lit(groups)).cast("long"))
-    schema = f"{key} {items.schema[key].dataType.simpleString()}, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint, filled bigint"
+    spread = items.withColumn("__group", F.pmod(F.xxhash64("__row", F.lit(level)), F.lit(groups)).cast("long"))
+    schema = f"{key} {items.schema[key].dataType.simpleString()}, piece int, start bigint, length bigint, ids_crc32 bigint, __row bigint, sequence_id bigint, offset bigint, filled bigint"
 
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["length", key, "piece", "ids_crc32"], ascending=[False, True, True, True], kind="stable").reset_index(drop=True)
+        pdf = pdf.sort_values(["length", key, "piece", "ids_crc32", "__row"], ascending=[False, True, True, True, True], kind="stable").reset_index(drop=True)
         lengths = pdf["length"].tolist()
         bins = local_search(best_fit(lengths, capacity), lengths, capacity)
         sequence, offset, filled = np.zeros(len(pdf), np.int64), np.zeros(len(pdf), np.int64), np.zeros(len(pdf), np.int64)
-        base = (int(pdf["__group"].iloc[0]) * 8 + level) << 24
+        base = (int(pdf["__group"].iloc[0]) * MOST_LEVELS + level) << 24
         for n, members in enumerate(bins):
             at = 0
             for i in members:
@@ -204,22 +223,24 @@ def pack_documents(df: DataFrame, path: str, capacity: int = 4096, end_id: int =
     """(key, piece, start, length, ids_crc32, sequence_id, offset): every piece in one sequence of at most capacity.
 
     Null text counts as empty (its piece is the end id alone). Equal rows are packed as rows of their own. An empty
-    table gives an empty result. Bins filled less than `full` of the capacity are opened and packed again twice, in
-    groups dealt anew, so that what the groups leave behind is shared.
+    table gives an empty result. Bins filled less than `full` of the capacity are opened and packed again in groups dealt
+    anew, so that what the groups leave behind is shared, until that needs no fewer bins (MOST_LEVELS times at most).
     """
-    pieces = materialize(cut_documents(df, path, capacity, end_id, text, key))
+    pieces = materialize(cut_documents(df, path, capacity, end_id, text, key).withColumn("__row", F.monotonically_increasing_id()))
     names = [key, "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
-    whole = pieces.where(F.col("length") == capacity).select("*", F.xxhash64(key, "start", "ids_crc32").alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     # whole pieces need no packing: their bins are numbered by row, below zero
-    done = [whole.withColumn("sequence_id", -1 - F.monotonically_increasing_id())]
-    rest = pieces.where(F.col("length") < capacity)
-    for level in range(3):
+    whole = pieces.where(F.col("length") == capacity).withColumn("sequence_id", -1 - F.col("__row")).withColumn("offset", F.lit(0).cast("long"))
+    done, rest, bins = [whole], pieces.where(F.col("length") < capacity), None
+    for level in range(MOST_LEVELS):
         packed = _pack_groups(rest, key, capacity, group_size, level)
-        if level == 2:
+        loose = packed.where(F.col("filled") < full * capacity)
+        before, bins = bins, packed.select("sequence_id").distinct().count()
+        left = loose.select("sequence_id").distinct().count()
+        if before is not None and bins >= before or left <= 1 or level == MOST_LEVELS - 1:
             done.append(packed)
-        else:
-            done.append(packed.where(F.col("filled") >= full * capacity))
-            rest = packed.where(F.col("filled") < full * capacity).drop("sequence_id", "offset", "filled")
+            break
+        done.append(packed.where(F.col("filled") >= full * capacity))
+        rest, bins = loose.drop("sequence_id", "offset", "filled"), left
     out = done[0].select(names)
     for d in done[1:]:
         out = out.unionByName(d.select(names))
