@@ -2,8 +2,8 @@
 
 A text is cut into paragraphs, and those at sentence ends. Each unit is hashed to a wide vector of zeros and ones; the
 fingerprint is the sum of its units' vectors, lane by lane modulo 2^16, with the count of units and two sums of whole
-hashes modulo 2^64. So it does not depend on the order of units, and units are put in or taken out by adding or
-subtracting their fingerprint. As lanes are independent signs, the scalar product of two fingerprints estimates how
+hashes modulo 2^64. So it does not depend on the order of units, and `combine` puts units in or takes them out by adding
+or subtracting their fingerprint; the result equals the fingerprint of the changed text. As lanes are independent signs, the scalar product of two fingerprints estimates how
 many units two texts share.
 """
 
@@ -34,19 +34,23 @@ def _pair_sums(hashes: str) -> Column:
 
 
 def _unpacked(pairs: str) -> list[Column]:
-    return [F.transform(pairs, lambda p: p.bitwiseAND(F.lit(LOW))), F.transform(pairs, lambda p: F.shiftrightunsigned(p, 32))]
+    return [F.transform(pairs, lambda p: p.bitwiseAND(F.lit(LANE_MOD - 1))), F.transform(pairs, lambda p: F.shiftrightunsigned(p, 32).bitwiseAND(F.lit(LANE_MOD - 1)))]
 
 
-def _whole_sum(hashes: Column) -> Column:
-    """Sum of 64-bit hashes modulo 2^64 as 16 hex digits, without overflow: the halves are summed apart."""
+def _carried(low: Column, high: Column) -> list[Column]:
+    """Halves of 32 bits of a sum modulo 2^64 whose halves were added apart."""
+    return [low.bitwiseAND(F.lit(LOW)), (high + F.shiftright(low, 32)).bitwiseAND(F.lit(LOW))]
+
+
+def _whole_sum(hashes: Column) -> list[Column]:
+    """Low and high half of the sum of 64-bit hashes modulo 2^64, without overflow: the halves are summed apart."""
     part = lambda f: F.aggregate(hashes, F.lit(0).cast("long"), lambda a, h: a + f(h))
-    low, high = part(lambda h: h.bitwiseAND(F.lit(LOW))), part(lambda h: F.shiftrightunsigned(h, 32))
-    eight = lambda x: F.lpad(F.lower(F.hex(x.bitwiseAND(F.lit(LOW)))), 8, "0")
-    return F.concat(eight(high + F.shiftrightunsigned(low, 32)), eight(low))
+    return _carried(part(lambda h: h.bitwiseAND(F.lit(LOW))), part(lambda h: F.shiftrightunsigned(h, 32)))
 
 
 def with_fingerprint(df: DataFrame, text: str, name: str) -> DataFrame:
-    """Adds struct `name`: lanes (LANES counts), n (units), sums (hex of the whole sums) of a text; null is empty.
+    """Adds struct `name`: lanes (LANES counts modulo LANE_MOD), n (units), sums (halves of the whole sums, low half first)
+    of a text; null is empty.
 
     Step by step, so that each array is made once and not inside the functions that go over it.
     """
@@ -56,24 +60,35 @@ def with_fingerprint(df: DataFrame, text: str, name: str) -> DataFrame:
     df = df.withColumns({f"__h{s}": hashed(s) for s in seeds})
     df = df.withColumns({f"__p{s}": _pair_sums(f"__h{s}") for s in seeds})
     lanes = F.concat(*[c for s in seeds for c in _unpacked(f"__p{s}")])
-    made = F.struct(lanes.alias("lanes"), F.size("__units").cast("long").alias("n"), F.concat(*[_whole_sum(F.col(f"__h{s}")) for s in seeds]).alias("sums"))
+    made = F.struct(lanes.alias("lanes"), F.size("__units").cast("long").alias("n"), F.array(*[x for s in seeds for x in _whole_sum(F.col(f"__h{s}"))]).alias("sums"))
     return df.withColumn(name, made).drop("__units", *[f"__{k}{s}" for s in seeds for k in "hp"])
 
 
 def combine(a: Column, b: Column, sign: int = 1) -> Column:
-    """The multiset hash of the units of a with those of b put in (sign 1) or taken out (sign -1). Lanes only."""
-    return F.transform(F.zip_with(a, b, lambda x, y: x + sign * y), lambda x: F.pmod(x, F.lit(LANE_MOD)))
+    """The fingerprint of the units of a with those of b put in (sign 1) or taken out (sign -1)."""
+    lanes = F.transform(F.zip_with(a["lanes"], b["lanes"], lambda x, y: x + sign * y), lambda x: F.pmod(x, F.lit(LANE_MOD)))
+    sums = []
+    for k in range(0, 2 * (LANES // 64), 2):
+        half = [a["sums"][k + i] + sign * b["sums"][k + i] for i in range(2)]
+        sums += _carried(*half)
+    return F.struct(lanes.alias("lanes"), (a["n"] + sign * b["n"]).alias("n"), F.array(*sums).alias("sums"))
 
 
 def as_text(fp: Column) -> Column:
     """Hex: count, whole sums, lanes modulo 2^16."""
-    lanes = F.array_join(F.transform(fp["lanes"], lambda x: F.lpad(F.lower(F.hex(x.bitwiseAND(F.lit(LANE_MOD - 1)))), 4, "0")), "")
-    return F.concat(F.lpad(F.lower(F.hex(fp["n"])), 8, "0"), fp["sums"], lanes)
+    hexed = lambda x, n: F.lpad(F.lower(F.hex(x)), n, "0")
+    lanes = F.array_join(F.transform(fp["lanes"], lambda x: hexed(x, 4)), "")
+    sums = [hexed(fp["sums"][k + i], 8) for k in range(0, 2 * (LANES // 64), 2) for i in (1, 0)]
+    return F.concat(hexed(fp["n"], 8), *sums, lanes)
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """0 to 1: the estimated cosine of two multisets of units, from their fingerprints alone. Two empty ones are 1."""
-    sign = lambda c, fp: (2 * c - fp["n"]).cast("double")
+    """0 to 1: the estimated cosine of two multisets of units, from their fingerprints alone. Two empty ones are 1.
+
+    A lane says how many of n units have its bit, less how many have not, modulo 2 * LANE_MOD; it is taken for the number
+    nearest to zero, which it is unless a lane is further from even than LANE_MOD.
+    """
+    sign = lambda c, fp: (F.pmod(2 * c - fp["n"] + LANE_MOD, F.lit(2 * LANE_MOD)) - LANE_MOD).cast("double")
     dot = lambda x, y: F.aggregate(F.zip_with(x["lanes"], y["lanes"], lambda p, q: sign(p, x) * sign(q, y)), F.lit(0.0), lambda s, v: s + v)
     ab = dot(a, b)
     size = F.sqrt(dot(a, a) * dot(b, b))
