@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from grovespark.functions import families as W
 from grovespark.functions import rules as R
 from grovespark.functions import text as T
-from grovespark.operators import curate, decisions, judging, lexicon, reports, requests, seeds, tree
+from grovespark.operators import curate, decisions, judging, lexicon, reports, requests, responses, seeds, tree
 from grovespark.queries import _GENERIC, _WORDS, _any, _in, _quoted, _TRASH_FIRST, query
 from grovespark.sources import nodes_io
 
@@ -564,3 +564,57 @@ def qa_suite(n):
     domains = marked.agg(share(F.col("found")).alias("value")).select(F.lit("covered").alias("check_name"), "value")
     metrics = reports.long_form(data, data.columns).withColumnRenamed("metric", "check_name").unionByName(verbs).unionByName(domains)
     return reports.graded(metrics, _QA)
+
+
+@query("SELECT id, nullif(name, '') AS name, node_type, nullif(description, '') AS description, parent_id FROM n")
+def import_publish(n):
+    whole = tree.rebuild_children(n).withColumn("completion", F.lit(None).cast(nodes_io.COMPLETION))
+    return nodes_io.from_published(nodes_io.to_published(whole)).select("id", "name", "node_type", "description", "parent_id")
+
+
+@query("SELECT 'asia/' || replace(p, ' ', '_') AS id, 'asia' AS parent_id, p AS name FROM (SELECT DISTINCT lower(trim(p_name)) AS p FROM part) WHERE p NOT IN (SELECT lower(trim(name)) FROM n)")
+def merge_batches(n):
+    batch = _table_of(n, "part").select(F.lit("asia").alias("parent_id"), F.lower("p_name").alias("name"), F.col("p_partkey").alias("ordinal"))
+    return responses.merge_batch(n, batch)
+
+
+@query("SELECT id, parent_id, name FROM (SELECT *, row_number() OVER (PARTITION BY parent_id ORDER BY o) AS r FROM (SELECT d || '/' || replace(p, ' ', '_') AS id, d AS parent_id, p AS name, o FROM (SELECT lower(trim(p_name)) AS p, min(p_partkey) AS o FROM part GROUP BY 1) CROSS JOIN (VALUES ('asia'), ('europe')) v(d))) WHERE r <= 15")
+def gap_fill_merge(n):
+    parents = F.explode(F.array(F.lit("asia"), F.lit("europe"))).alias("parent_id")
+    batch = _table_of(n, "part").select(parents, F.lower("p_name").alias("name"), F.col("p_partkey").alias("ordinal"))
+    return responses.gap_fill(n, batch, 15).select("id", "parent_id", "name")
+
+
+def _answers(n: DataFrame) -> DataFrame:
+    """A response for each domain, that lists the nations of its region."""
+    nations, regions = _table_of(n, "nation"), _table_of(n, "region")
+    kids = F.struct(F.concat(F.lit("more "), "n_name").alias("name"), F.lit("d").alias("description"), (F.col("n_nationkey") % 2 == 0).alias("is_atomic"))
+    listed = nations.groupBy("n_regionkey").agg(F.array_sort(F.collect_list(F.struct("n_nationkey", kids.alias("k")))).alias("l"))
+    body = F.to_json(F.struct(F.lit(False).alias("is_atomic"), F.transform("l", lambda x: x["k"]).alias("subtasks")))
+    return listed.join(regions, F.col("n_regionkey") == F.col("r_regionkey")).select(T.slug(F.col("r_name")).alias("id"), F.concat(F.lit("```json\n"), body, F.lit("\n```")).alias("response"))
+
+
+@query("SELECT replace(lower(r_name), ' ', '_') || '/more_' || lower(n_name) AS id, replace(lower(r_name), ' ', '_') AS parent_id, 'more ' || n_name AS name, 'task' AS node_type FROM nation JOIN region ON r_regionkey = n_regionkey")
+def attach_children(n):
+    return responses.attach_children(n.where("node_type = 'domain'"), _answers(n), F.lit(True)).select("id", "parent_id", "name", "node_type")
+
+
+@query("SELECT id, CASE WHEN node_type = 'task' AND CAST(split_part(name, '_', 2) AS INT) % 2 = 0 THEN 'atomic' ELSE node_type END AS node_type FROM n WHERE node_type IN ('task', 'domain')")
+def mark_atomic(n):
+    said = n.where("node_type = 'task'").select("id", F.to_json(F.struct((F.substring_index("name", "_", -1).cast("int") % 2 == 0).alias("is_atomic"), F.array(F.struct(F.lit("x").alias("name"))).alias("subtasks"))).alias("response"))
+    return responses.mark_atomic(n.where("node_type in ('task', 'domain')"), said).select("id", "node_type")
+
+
+@query("SELECT id, CASE WHEN node_type = 'task' THEN name END AS pre, CASE WHEN node_type = 'task' THEN '' END AS post FROM n WHERE node_type IN ('task', 'domain')")
+def attach_completion(n):
+    said = n.where("node_type = 'task'").select("id", F.to_json(F.struct(F.col("name").alias("preconditions"))).alias("response"))
+    return responses.attach_completion(n.where("node_type in ('task', 'domain')"), said).select("id", F.col("completion.preconditions").alias("pre"), F.col("completion.postconditions").alias("post"))
+
+
+@query("SELECT id FROM n WHERE parent_id IS NOT NULL AND starts_with(id, 'asia')")
+def upsert_nodes(n):
+    # the task level of one domain comes anew, with nodes whose parents are missing beside it
+    asia = n.where("id like 'asia%'").select("id", "parent_id", "name", F.lit(1).alias("ordinal"))
+    lost = _table_of(n, "nation").select(F.concat(F.lit("nowhere/"), F.lower("n_name"), F.lit("/x")).alias("id"), F.concat(F.lit("nowhere/"), F.lower("n_name")).alias("parent_id"), F.col("n_name").alias("name"), F.lit(2).alias("ordinal"))
+    out, _ = nodes_io.upsert_nodes(n.where("id like 'asia%'").select("id", "parent_id", "name"), asia.unionByName(lost), "ordinal")
+    return out.where("parent_id is not null").select("id")
