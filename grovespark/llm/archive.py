@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from grovespark.llm.prefilter import likely
 from grovespark.llm.scratch import materialize
 from grovespark.session import ensure_on_workers
 
@@ -59,33 +60,36 @@ def write_archive(pages: DataFrame, min_revisit: int = 1000, key: str = "page_id
     # Both go by the same two keys, so that payloads are shuffled once; a null key counts as the least number.
     known_key = lambda c: F.coalesce(c, F.lit(-(1 << 63))).alias("k")
     kept = keeper.select("address", known_key(F.col("keeper")))
-    store = rows.select(F.sha2("payload", 256).alias("address"), known_key(F.col("id")), "payload").join(kept, ["address", "k"])
-    payloads = materialize(store.groupBy("address", "k").agg(F.first("payload").alias("payload")).drop("k"))
+    place = F.xxhash64("address", "k").alias("__at")
+    kept = materialize(kept.select("address", "k", place))
+    # the bitmap spares most of the copies the shuffle
+    store = likely(rows.select(F.sha2("payload", 256).alias("address"), known_key(F.col("id")), "payload").select("*", place), kept, "__at").drop("__at").join(kept.drop("__at"), ["address", "k"])
+    payloads = materialize(store.groupBy("address", "k").agg(F.first("payload").alias("payload")).drop("k"), release=True)
     return headers, payloads
 
 
 def read_archive(headers: DataFrame, payloads: DataFrame) -> DataFrame:
-    """(header, payload, sha1, bytes, verified): the records with their full payload, also those of revisits.
+    """(header, payload, record, sha1, bytes, verified): the records rebuilt, with the full payload also of revisits.
 
-    verified: the bytes have their address as SHA-256, the header's digest, and, unless revisited, its length. What is
-    said of a payload is worked out once, where it is stored, so that a reader of these columns alone moves no payloads.
+    record: the exact bytes of the WARC record; a revisit has an empty block. sha1 and bytes are those of the payload as
+    read; verified: it has its address as SHA-256, the header's digest, and the block has the header's length. A record
+    whose payload is not in the store is there with null bytes, not verified.
     """
-    checked = payloads.select("address", "payload", F.sha1("payload").alias("sha1"), (F.sha2("payload", 256) == F.col("address")).alias("sound"), F.octet_length("payload").alias("bytes"))
-    full = headers.join(checked, "address")
-    said = F.regexp_extract("header", r"\r\nContent-Length: (\d+)\r\n", 1).cast("long")
-    own = F.col("sound") & F.col("header").contains(F.concat(F.lit("sha1:"), "sha1")) & ((said == F.col("bytes")) | F.col("header").contains(REVISIT_PROFILE))
-    return full.select("header", "payload", "sha1", "bytes", own.alias("verified"))
-
-
-def record_bytes(records: DataFrame) -> DataFrame:
-    """(record): the exact bytes of each WARC record; a revisit has an empty block."""
+    full = headers.join(payloads, "address", "left")
     block = F.when(F.col("header").contains(REVISIT_PROFILE), F.lit(b"")).otherwise(F.col("payload"))
-    return records.select(F.concat(F.encode("header", "UTF-8"), block, F.lit(b"\r\n\r\n")).alias("record"))
+    read = full.select("header", "address", "payload", block.alias("block"), F.sha1("payload").alias("sha1"), F.octet_length("payload").alias("bytes"))
+    said = F.regexp_extract("header", r"\r\nContent-Length: (\d+)\r\n", 1).cast("long")
+    own = (F.sha2("payload", 256) == F.col("address")) & F.col("header").contains(F.concat(F.lit("sha1:"), "sha1")) & (said == F.octet_length("block"))
+    record = F.concat(F.encode("header", "UTF-8"), "block", F.lit(b"\r\n\r\n"))
+    return read.select("header", "payload", record.alias("record"), "sha1", "bytes", F.coalesce(own, F.lit(False)).alias("verified"))
 
 
 def export_warc(records: DataFrame, path: str, compression: str = "none") -> None:
-    """Writes .warc part files: text rows that end with the record separator are records one after another."""
-    text = record_bytes(records).select(F.decode(F.expr("substring(record, 1, length(record) - 4)"), "UTF-8").alias("value"))
+    """Writes .warc part files: text rows that end with the record separator are records one after another.
+
+    Payloads are text in UTF-8, as page_records makes them; maxRecordsPerFile of the session bounds the files.
+    """
+    text = records.select(F.decode(F.expr("substring(record, 1, length(record) - 4)"), "UTF-8").alias("value"))
     text.write.option("lineSep", CRLF * 2).option("compression", compression).text(path)
 
 
@@ -111,9 +115,10 @@ def import_warc(spark: SparkSession, path: str) -> DataFrame:
 
 
 def page_records(pages: DataFrame, min_revisit: int = 1000, key: str = "page_id") -> DataFrame:
-    """(key, payload_bytes, payload_digest, record_type, refers_to, verified), all read back from the archive.
+    """(key, payload_bytes, payload_digest, record_type, refers_to, record_sha1, verified), all read back from the archive.
 
-    payload_digest is the SHA-1 of the stored bytes; verified flags a record whose stored bytes are not what it says.
+    payload_digest is the SHA-1 of the payload as read back, record_sha1 that of the rebuilt record; verified is false
+    where the bytes are not what the record says.
     """
     records = read_archive(*write_archive(pages, min_revisit, key))
     field = lambda name, pattern: F.nullif(F.regexp_extract("header", rf"\r\n{name}: {pattern}\r\n", 1), F.lit(""))
@@ -123,11 +128,6 @@ def page_records(pages: DataFrame, min_revisit: int = 1000, key: str = "page_id"
         F.col("sha1").alias("payload_digest"),
         field("WARC-Type", r"(\w+)").alias("record_type"),
         field("WARC-Refers-To", r"<urn:page:(-?\d+)>").cast("long").alias("refers_to"),
+        F.sha1("record").alias("record_sha1"),
         "verified",
     )
-
-
-def sound(records: DataFrame, key: str = "page_id") -> DataFrame:
-    """Records of page_records without the flag; a record that does not verify fails the query that reads its digest."""
-    damaged = F.raise_error(F.concat(F.lit("the archived record does not verify: "), F.coalesce(F.col(key).cast("string"), F.lit("null"))))
-    return records.withColumn("payload_digest", F.when(F.col("verified"), F.col("payload_digest")).otherwise(damaged)).drop("verified")

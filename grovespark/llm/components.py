@@ -1,7 +1,8 @@
 """Connected components by alternating large and small stars (distributed union-find).
 
 Every step is a pre-aggregated minimum per node and an equi-join whose two sides are plain scans of
-written tables, so that a hub with a third of all edges is split by the adaptive skew join.
+written tables, so that a hub with a third of all edges is split by the adaptive skew join. Minima that a count shows to
+be few are broadcast instead.
 """
 
 from __future__ import annotations
@@ -9,13 +10,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from grovespark.llm.scratch import materialize
+from grovespark.llm.prefilter import light
+from grovespark.llm.scratch import discard, materialize
 
 
-def _starred(neighbours: DataFrame) -> DataFrame:
-    """(u, v, m): each neighbour pair with m, the least of u and all its neighbours."""
+def _starred(neighbours: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(u, v, m): each neighbour pair with m, the least of u and all its neighbours; and the table it reads."""
     least = materialize(neighbours.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m")))
-    return neighbours.join(least, "u")
+    return neighbours.join(light(least), "u"), least
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -34,11 +36,14 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
     for _ in range(max_rounds):
         if not before[0]:
             break
-        both = materialize(e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v"))))
-        large = materialize(_starred(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct())
+        both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        starred, least = _starred(both)
+        large = materialize(starred.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct())
         # every large edge points from the greater node to the smaller one
-        small = _starred(large)
-        e = materialize(small.select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("s")).select("s.u", "s.v").where("u <> v").distinct())
+        small, lesser = _starred(large)
+        after_small = materialize(small.select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("s")).select("s.u", "s.v").where("u <> v").distinct())
+        discard(e, least, large, lesser)
+        e = after_small
         after = _state(e)
         if after == before:
             break
@@ -46,4 +51,6 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     roots = e.select(F.col("v").alias("node")).distinct().select("node", F.col("node").alias("component"))
-    return materialize(e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots).distinct())
+    out = materialize(e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots).distinct())
+    discard(e)
+    return out

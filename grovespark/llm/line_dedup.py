@@ -1,10 +1,11 @@
 """Fuzzy line dedup by MinHash, with DataFrame functions alone.
 
-Lines are compared in normal form (lower case, white space collapsed) by their character shingles. For signatures
-those that begin at word starts are taken, or all where a line has few words; their sorted hashes fall into bands by
-their leading bits, and a band's key is made of its smallest hashes (one-permutation MinHash). Lines that share a key
-are verified by the exact Jaccard similarity of all shingles of the whole line; distributed union-find joins what is
-verified, and the first line of each component stays.
+Lines are compared in normal form (lower case, white space collapsed) by their character shingles. For signatures a
+sample of those that begin at word starts is taken, or all where a line has few of them; their distinct sorted hashes fall into
+bands by their leading bits, and a band's key is made of the hashes that follow one another from its smallest on
+(one-permutation MinHash). Lines that share a key, and whose sketches of the bands' minima allow for it, are verified
+by the exact Jaccard similarity of all shingles of the whole line; distributed union-find joins what is verified, and
+the first line of each component stays.
 """
 
 from __future__ import annotations
@@ -14,109 +15,147 @@ from pyspark.sql import functions as F
 
 from grovespark.llm.buckets import bucket_classes
 from grovespark.llm.prefilter import likely
-from grovespark.llm.scratch import materialize
+from grovespark.llm.scratch import discard, materialize
 
 #: Characters of a shingle, in signatures and where pairs are verified.
 WIDTH = 8
+#: Bands of the finest division, by the three leading bits; eight values of shiftright(hash, 61).
+BANDS = range(-4, 4)
+#: Least quotient of the signature sizes of two lines that are compared. It lies far below the 0.8 of the whole sets,
+#: as the shingles at word starts are a sample.
+RATIO = 0.6
+#: Words that begin with these are passed over in signatures: a sample of about two thirds that goes by content alone, so
+#: that equal shingles are in both samples or in none. Verification reads every shingle.
+PASSED = "s-zà-ÿ"
+#: Places of a body whose shingles are made together.
+CHUNK = 1024
 
 
 def normal_form(low: Column) -> Column:
     """Of a line in lower case. Most lines hold single spaces alone and need no pattern."""
-    odd = low.contains("  ") | low.contains("\t") | low.contains("\r") | low.contains("\u00a0")
+    odd = low.contains("  ") | low.rlike(r"[\t\r\x0b\f\u00a0]")
     return F.when(odd, F.trim(F.regexp_replace(low, r"[\s\u00a0]+", " "))).otherwise(F.trim(low))
 
 
 def _at_words(norm: Column, width: int) -> Column:
     # what is consumed ends with the word, so that the search goes on at the next word and not inside this one
-    return F.regexp_extract_all(norm, F.lit(f"(?s)(?=(.{{{width}}}))[^ ]+ ?"), F.lit(1))
+    return F.regexp_extract_all(norm, F.lit(f"(?s)(?:[{PASSED}][^ ]*+ )*+(?=([^{PASSED}].{{{width - 1}}}))[^ ]*+.?+"), F.lit(1))
 
 
 def _everywhere(norm: Column, width: int) -> Column:
     return F.regexp_extract_all(norm, F.lit(f"(?s)(?=(.{{{width}}}))"), F.lit(1))
 
 
-def _keys(bits: int, depth: int) -> Column:
-    """Keys of the bands by so many leading bits: each is made of the depth smallest hashes of a band that has any.
+def _banded(df: DataFrame, keep: list[str]) -> DataFrame:
+    """keep columns with n, sketch and keys of the sorted distinct hashes in column `hashes`.
 
-    As the hashes are sorted, a band begins where the leading bits change, and its smallest hashes follow there.
+    By the number of hashes there are keys of eight, four or two bands, of four, three or two hashes. Lines that are
+    alike may lie on both sides of a step between these, so lines up to 5/4 above a step have the keys of both sides.
+    Step by step, and over small arrays of places, so that each array is made once and generated code stays small.
     """
-    band = lambda h: F.shiftright(h, 64 - bits)
-    at = lambda i: F.get("hashes", i)
-
-    def key(h: Column, i: Column) -> Column:
-        rest = [F.when(band(at(i + k)) == band(h), at(i + k)) for k in range(1, depth)]
-        return F.when((i == 0) | (band(at(i - 1)) != band(h)), F.xxhash64(F.lit(bits), band(h), h, *rest))
-
-    return F.array_compact(F.transform("hashes", key))
-
-
-def _band_keys(n: Column) -> Column:
-    """Keys of 2, 4 or 8 bands and two or three hashes, by the number of shingles. Lines that are alike may lie on both
-    sides of a step between these, so lines up to 5/4 above a step have the keys of both sides."""
-    both = lambda x, y: F.array_distinct(F.concat(x, y))
-    two, four, eight, deep = _keys(1, 2), _keys(2, 2), _keys(3, 2), _keys(3, 3)
-    out = F.when(n > 30, deep).when(n >= 24, both(deep, eight)).when(n > 15, eight).when(n >= 12, both(eight, four))
-    return out.when(n > 7, four).when(n >= 6, both(four, two)).otherwise(two)
+    bands = df.withColumn("bands", F.transform("hashes", lambda h: F.shiftright(h, 61)))
+    placed = bands.select(*keep, "hashes", F.array(*[F.array_position("bands", F.lit(b).cast("long")).cast("int") for b in BANDS]).alias("q8"))
+    first = lambda q, k: F.when(F.get(q, F.lit(2 * k)) > 0, F.get(q, F.lit(2 * k))).otherwise(F.get(q, F.lit(2 * k + 1)))
+    placed = placed.withColumn("q4", F.array(*[first("q8", k) for k in range(4)]))
+    placed = placed.withColumn("q2", F.array(*[first("q4", k) for k in range(2)]))
+    key = lambda q, depth: F.transform(q, lambda p, k: F.when(p > 0, F.xxhash64(F.lit(f"{q}.{depth}"), k, F.slice("hashes", p, F.lit(depth)))))
+    low = lambda p: F.when(p > 0, F.get("hashes", p - 1).bitwiseAND(F.lit(255))).otherwise(F.lit(0).cast("long"))
+    sketch = F.aggregate("q8", F.lit(0).cast("long"), lambda s, p: F.shiftleft(s, 8).bitwiseOR(low(p)))
+    n, both = F.size("hashes"), F.concat
+    keys = F.when(n >= 39, key("q8", 4)).when(n >= 31, both(key("q8", 4), key("q8", 3))).when(n >= 20, key("q8", 3)).when(n >= 16, both(key("q8", 3), key("q4", 3)))
+    keys = keys.when(n >= 10, key("q4", 3)).when(n >= 8, both(key("q4", 3), key("q2", 2))).otherwise(key("q2", 2))
+    return placed.select(*keep, n.alias("n"), sketch.alias("sketch"), keys.alias("keys"))
 
 
 def line_table(df: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """(key, tx, pos, norm) of every line that is not blank; tx tells apart rows that share a key."""
-    cut = df.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(key, F.xxhash64(text).alias("tx"), F.split(text, "\n", -1).alias("lines"))
-    rows = cut.select(key, "tx", F.posexplode("lines").alias("pos", "line")).where(F.col("line").rlike(r"[^\s\u00a0]"))
-    return rows.withColumn("low", F.lower("line")).select(key, "tx", "pos", normal_form(F.col("low")).alias("norm"))
+    """(key, tx, pos, norm) of every line that is not blank; tx tells apart rows that share a key. A line of white space
+    other than spaces is there with an empty norm."""
+    cut = df.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(key, F.xxhash64(text).alias("tx"), F.split(F.lower(text), "\n", -1).alias("lines"))
+    # posexplode_outer: posexplode would have the text split thrice, for filters that Spark infers
+    rows = cut.select(key, "tx", F.posexplode_outer("lines").alias("pos", "low"))
+    return rows.where(F.trim("low") != "").select(key, "tx", "pos", normal_form(F.col("low")).alias("norm"))
 
 
 def signatures(lines: DataFrame, key: str = "doc_id", width: int = WIDTH) -> DataFrame:
-    """(key, tx, pos, id, keys): id is the hash of the normal form, equal for equal lines."""
+    """(key, tx, pos, id, norm, n, sketch, keys): id is the hash of the normal form, equal for equal lines."""
     short = F.length("norm") <= width
     first = lines.select(key, "tx", "pos", "norm", F.when(short, F.array("norm")).otherwise(_at_words(F.col("norm"), width)).alias("found"))
     found = F.when(F.size("found") * 24 < F.length("norm"), _everywhere(F.col("norm"), width)).otherwise(F.col("found"))
-    hashed = first.select(key, "tx", "pos", F.xxhash64("norm").alias("id"), F.sort_array(F.transform(found, lambda s: F.xxhash64(s))).alias("hashes"))
-    return hashed.select(key, "tx", "pos", "id", _band_keys(F.size("hashes")).alias("keys"))
+    hashed = first.select(key, "tx", "pos", F.xxhash64("norm").alias("id"), "norm", F.sort_array(F.array_distinct(F.transform(found, lambda s: F.xxhash64(s)))).alias("hashes"))
+    return _banded(hashed, [key, "tx", "pos", "id", "norm"])
+
 
+def body_of(norm: Column) -> Column:
+    """A normal form as UTF-16, in which a shingle can be cut out without reading what lies before it."""
+    return F.encode(norm, "UTF-16BE")
 
-def shingles(norm: Column, width: int) -> Column:
-    """Distinct hashes of all character shingles of a line; a line no longer than one shingle is its own."""
-    found = F.when(F.length(norm) <= width, F.array(norm)).otherwise(_everywhere(norm, width))
-    return F.array_distinct(F.transform(found, lambda s: F.xxhash64(s)))
+
+def shingles(body: Column, width: int) -> Column:
+    """Distinct hashes of all character shingles (of UTF-16 units) of a body; one no longer than a shingle is its own.
+
+    Bodies are gone through in chunks that overlap, so that the work grows with the length and not with its square.
+    """
+    half = lambda x: (F.length(x) / 2).cast("int")
+    n, cut = half(body), lambda x, at, size: F.substring(x, 2 * at + 1, F.lit(2 * size))
+    chunks = F.transform(F.sequence(F.lit(0), n - width, F.lit(CHUNK)), lambda at: cut(body, at, CHUNK + width - 1))
+    each = F.transform(chunks, lambda x: F.transform(F.sequence(F.lit(0), half(x) - width), lambda at: F.xxhash64(cut(x, at, width))))
+    return F.when(n <= width, F.array(F.xxhash64(body))).otherwise(F.array_distinct(F.flatten(each)))
 
 
 def _texts(ids: DataFrame, lines: DataFrame) -> DataFrame:
-    """(id, body): the normal forms of the lines with these ids."""
-    return likely(lines, ids, "id").distinct().join(ids, "id").select("id", F.col("norm").alias("body"))
+    """(id, body): the bodies of the lines with these ids."""
+    return likely(lines, ids, "id").distinct().join(ids, "id").select("id", body_of(F.col("norm")).alias("body"))
 
 
 def line_classes(df: DataFrame, width: int = WIDTH, threshold: float = 0.8, text: str = "text", key: str = "doc_id") -> tuple[DataFrame, DataFrame]:
     """(occurrences, classes): every line's (key, tx, pos, id), and (id, class) of the ids in components of several.
 
-    The components are those of all pairs of lines that share a bucket and reach the threshold (see `buckets`).
+    The components are those of all pairs of lines that share a bucket, fit and reach the threshold (see `buckets`).
     """
     lines = line_table(df, text, key)
-    occurrences = materialize(signatures(lines, key, width))
-    keyed = occurrences.select(F.explode("keys").alias("key"), "id")
-    named = lines.select(F.xxhash64("norm").alias("id"), "norm")
-    found = bucket_classes(keyed, lambda ids: _texts(ids, named), lambda norm: shingles(norm, width), threshold)
-    return occurrences.drop("keys"), found.select(F.col("node").alias("id"), F.col("component").alias("class"))
+    written = materialize(signatures(lines, key, width))
+    occurrences = written.where("norm <> ''")
+    keyed = occurrences.select(F.explode("keys").alias("key"), "id", "sketch", "n").where("key is not null")
+    # the normal forms are kept beside the keys: reading the column again costs less than cutting all texts again
+    found = bucket_classes(keyed, lambda ids: _texts(ids, occurrences.select("id", "norm")), lambda body: shingles(body, width), threshold, RATIO)
+    seen = occurrences.select(key, "tx", "pos", "id")
+    seen._scratch = written._scratch
+    return seen, found.select(F.col("node").alias("id"), F.col("component").alias("class"))
+
+
+def _dropped(seen: DataFrame, classes: DataFrame, key: str) -> DataFrame:
+    """(key, tx, pos) of every line that is not the first of its class. Only lines whose class has several move twice."""
+    place = F.struct(key, "pos", "tx")
+    each = materialize(seen.groupBy("id").agg(F.min(place).alias("first"), F.count("*").alias("n")).join(classes, "id", "left").where("n > 1 or class is not null").select("id", F.coalesce("class", "id").alias("class"), "first"), release=True)
+    keepers = each.groupBy("class").agg(F.min("first").alias("keeper"))
+    known = materialize(each.select("id", "class").join(keepers, "class").select("id", "keeper"))
+    discard(each)
+    return likely(seen, known, "id").join(known, "id").where(place != F.col("keeper")).select(key, "tx", "pos")
 
 
-def dedup_lines(df: DataFrame, width: int = WIDTH, threshold: float = 0.8, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """df with every line dropped that is not the first, by (key, position), of its class; adds n_lines and n_kept.
+def dedup_lines(df: DataFrame, width: int = WIDTH, threshold: float = 0.8, text: str = "text", key: str = "doc_id", counts: tuple[str, str] | None = ("n_lines", "n_kept")) -> DataFrame:
+    """df with every line dropped that is not the first, by (key, position), of its class; adds the counts of lines.
 
-    Blank lines always stay and are not counted. A null text or key leaves the row as it is (n_lines and n_kept zero).
-    Rows with equal key and text keep the same lines; rows with equal key and other texts are told apart by the text.
-    A document may be left with an empty text, but no row goes. Other columns pass unchanged.
+    Blank lines always stay and are not counted. A null text or key leaves the row as it is (both counts zero). Rows
+    with equal key and text keep the same lines, and each counts its own; rows with equal key and other texts are told
+    apart by the text. A document may be left with an empty text, but no row goes. Other columns pass unchanged; counts
+    names the two columns that are added (None: none); a column of df with such a name is replaced.
     """
     seen, classes = line_classes(df, width, threshold, text, key)
-    classed = materialize(seen.join(classes, "id", "left").select(key, "tx", "pos", F.coalesce("class", "id").alias("class")), release=True)
-    place = F.struct(key, "pos", "tx")
-    keepers = materialize(classed.groupBy("class").agg(F.min(place).alias("keeper"), F.count("*").alias("n")))
-    judged = classed.join(keepers, "class").select(key, "tx", "pos", (place == F.col("keeper")).alias("stays"))
-    dropped = judged.groupBy(key, "tx").agg(F.collect_list(F.when(~F.col("stays"), F.col("pos"))).alias("drop"), F.count("*").alias("n_lines"))
-    lists = materialize(dropped.select(F.col(key).alias("__key"), F.col("tx").alias("__tx"), F.array_distinct("drop").alias("__drop"), F.col("n_lines").alias("__n")), release=True)
+    gone = _dropped(seen, classes, key).groupBy(key, "tx").agg(F.collect_set("pos").alias("__drop"))
+    lists = materialize(gone.select(F.col(key).alias("__key"), F.col("tx").alias("__tx"), "__drop"), release=True)
+    discard(seen)
     marked = df.withColumn("__tx", F.xxhash64(text)).withColumn("__key", F.col(key))
-    joined = marked.join(lists, ["__key", "__tx"], "left")
-    cut = joined.withColumn("__parts", F.when(F.size("__drop") > 0, F.split(text, "\n", -1)))
-    stay = F.array_except(F.sequence(F.lit(0), F.size("__parts") - 1), F.col("__drop"))
-    rebuilt = F.when(F.size("__drop") > 0, F.array_join(F.transform(stay, lambda i: F.get(F.col("__parts"), i)), "\n")).otherwise(F.col(text))
-    n, gone = F.coalesce("__n", F.lit(0)).cast("long"), F.coalesce(F.size("__drop"), F.lit(0))
-    return cut.withColumn(text, rebuilt).withColumn("n_lines", n).withColumn("n_kept", (n - F.greatest(gone, F.lit(0))).cast("long")).drop("__tx", "__key", "__drop", "__n", "__parts")
+    at = F.xxhash64("__key", "__tx").alias("__at")
+    hit = marked.select("*", at)
+    # texts that lose no line are not shuffled: the bitmap parts them from those that may
+    maybe, sure = likely(hit, lists.select(at), "__at", split=True)
+    joined = maybe.drop("__at").join(lists, ["__key", "__tx"], "left").unionByName(sure.drop("__at").withColumn("__drop", F.lit(None).cast("array<int>")))
+    cut = joined.withColumn("__parts", F.split(text, "\n", -1))
+    stay = F.filter("__parts", lambda line, i: ~F.array_contains("__drop", i))
+    rebuilt = F.when(F.size("__drop") > 0, F.array_join(stay, "\n")).otherwise(F.col(text))
+    n = F.when(F.col(key).isNotNull() & F.col(text).isNotNull(), F.size(F.filter("__parts", lambda line: line.rlike(r"[^\s\u00a0]")))).otherwise(0).cast("long")
+    out = cut.withColumn(text, rebuilt)
+    if counts:
+        out = out.withColumns({counts[0]: n, counts[1]: n - F.when(F.size("__drop") > 0, F.size("__drop")).otherwise(0)})
+    return out.select(*[c for c in df.columns if c not in (counts or ())], *(counts or ()))

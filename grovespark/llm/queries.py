@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from grovespark.llm.archive import page_records, sound
+from grovespark.llm.archive import page_records
 from grovespark.llm.bpe_automaton import encode_texts
 from grovespark.llm.bpe_counts import count_tokens
 from grovespark.llm.language import predict_language
@@ -53,7 +53,7 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sound(page_records(table(spark, sf_dir, "pages")))
+    return page_records(table(spark, sf_dir, "pages"))
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,13 +81,25 @@ ORACLES = {
         SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20""",
     "op8_warc_archive": """
         WITH p AS (
-            SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+            SELECT page_id, url, encode(coalesce(html, '')) AS b, chr(13) || chr(10) AS crlf FROM pages),
         d AS (
-            SELECT page_id, octet_length(b) AS payload_bytes, sha1(b) AS payload_digest, max(page_id) OVER (PARTITION BY b) AS last FROM p)
-        SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
-               CASE WHEN payload_bytes >= 1000 AND page_id < last THEN 'revisit' ELSE 'response' END AS record_type,
-               CASE WHEN payload_bytes >= 1000 AND page_id < last THEN last END AS refers_to
-        FROM d""",
+            SELECT *, CAST(octet_length(b) AS BIGINT) AS payload_bytes, sha1(b) AS payload_digest, max(page_id) OVER (PARTITION BY b) AS last FROM p),
+        t AS (
+            SELECT *, CASE WHEN payload_bytes >= 1000 AND page_id < last THEN last END AS refers_to FROM d),
+        r AS (
+            SELECT *, CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type FROM t),
+        h AS (
+            SELECT *, 'WARC/1.1' || crlf || 'WARC-Type: ' || record_type || crlf || 'WARC-Record-ID: <urn:page:' || page_id || '>' || crlf
+                || 'WARC-Date: 1970-01-01T00:00:00Z' || crlf
+                || coalesce('WARC-Target-URI: ' || regexp_replace(url, '[\\r\\n]', '', 'g') || crlf, '')
+                || 'WARC-Payload-Digest: sha1:' || payload_digest || crlf
+                || coalesce('WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest' || crlf || 'WARC-Refers-To: <urn:page:' || refers_to || '>' || crlf, '')
+                || 'Content-Type: text/html' || crlf
+                || 'Content-Length: ' || CASE WHEN refers_to IS NULL THEN payload_bytes ELSE 0 END || crlf || crlf AS header
+            FROM r)
+        SELECT page_id, payload_bytes, payload_digest, record_type, refers_to,
+               sha1(encode(header) || CASE WHEN refers_to IS NULL THEN b ELSE encode('') END || encode(crlf || crlf)) AS record_sha1, true AS verified
+        FROM h""",
 }
 
 

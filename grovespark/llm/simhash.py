@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from grovespark.llm.buckets import bucket_classes
+from grovespark.llm.buckets import SLOTS, bucket_classes
 from grovespark.llm.components import connected_components
 from grovespark.llm.pieces import small
 from grovespark.llm.prefilter import likely
@@ -139,19 +139,21 @@ class Cover:
         kept = np.array([[m >> i & 1 for i in range(size)] for m in covering_masks(radius, size)], np.uint64)
         self.tables = np.kron(np.eye(subs, dtype=np.uint64), kept) * _constants("table", (subs * size, subs * size))
 
-    def keys(self, hashes: np.ndarray) -> list[int]:
+    def keys(self, hashes: np.ndarray) -> tuple[list[int], int]:
+        """The keys of all tables, and a sketch: eight bits of each of the first eight positions."""
         least = None
         for lo in range(0, len(hashes), 20_000):
             own = ((hashes[lo : lo + 20_000] ^ self.turn) * self.spread).min(axis=1)
             least = own if least is None else np.minimum(least, own)
         if least is None:
-            return []
+            return [], 0
+        slots = (least[:SLOTS] >> np.uint64(24)).astype(np.uint8)
         # tables of unlike coefficients never share a key but by chance of 2^-64
-        return (self.tables * least).sum(axis=1, dtype=np.uint64).view(np.int64).tolist()
+        return (self.tables * least).sum(axis=1, dtype=np.uint64).view(np.int64).tolist(), int(slots.view("<i8")[0])
 
 
 def _covered(df: DataFrame, width: int, radius: int, text: str, keys: tuple[str, ...]) -> DataFrame:
-    """(keys, id, keys): id names the set of shingles, equal for equal sets, zero without words; no shuffle."""
+    """(keys, id, n, sketch, keys): id names the set of n shingles, equal for equal sets, zero without words; no shuffle."""
     kinds = ", ".join(f"{k} {df.schema[k].dataType.simpleString()}" for k in keys)
 
     def run(batches):
@@ -159,10 +161,11 @@ def _covered(df: DataFrame, width: int, radius: int, text: str, keys: tuple[str,
         for batch in small(batches):
             sets = [shingle_hashes((t or "").encode().lower().split(), width) for t in batch.column(len(keys)).to_pylist()]
             ids = [signed(xxhash.xxh64_intdigest(h.tobytes())) if len(h) else 0 for h in sets]
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keys)], pa.array(ids, pa.int64()), pa.array([cover.keys(h) for h in sets], pa.list_(pa.int64()))], names=[*keys, "id", "keys"])
+            found = [cover.keys(h) for h in sets]
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keys)], pa.array(ids, pa.int64()), pa.array(map(len, sets), pa.int32()), pa.array([s for _, s in found], pa.int64()), pa.array([k for k, _ in found], pa.list_(pa.int64()))], names=[*keys, "id", "n", "sketch", "keys"])
 
     ensure_on_workers(df.sparkSession)
-    return df.select(*keys, F.col(text).alias("__text")).mapInArrow(run, f"{kinds}, id bigint, keys array<bigint>")
+    return df.select(*keys, F.col(text).alias("__text")).mapInArrow(run, f"{kinds}, id bigint, n int, sketch bigint, keys array<bigint>")
 
 
 def _shingle_sets(df: DataFrame, width: int, text: str) -> DataFrame:
@@ -193,7 +196,8 @@ def near_dedup(df: DataFrame, width: int = 5, radius: int = 2, text: str = "text
         chosen = materialize(nodes.join(ids, "id").select("id", f"at.{key}", "at.__tx"))
         return _shingle_sets(likely(known.select(key, "__tx", text), chosen, "__tx").join(chosen, [key, "__tx"]), width, text)
 
-    found = bucket_classes(prints.select("id", F.explode("keys").alias("key")), bodies_of, lambda body: body, threshold)
+    # the sizes are those of the whole sets, so this ratio loses no pair
+    found = bucket_classes(prints.select("id", "sketch", "n", F.explode("keys").alias("key")), bodies_of, lambda body: body, threshold, ratio=threshold - 1e-9)
     placed = nodes.join(found, nodes["id"] == found["node"], "left").select("at", F.coalesce("component", "id").alias("component"))
     keepers = placed.groupBy("component").agg(F.min("at").alias("at")).select(f"at.{key}", "at.__tx")
     kept = known.join(materialize(keepers), [key, "__tx"]).dropDuplicates([key, "__tx"])

@@ -42,7 +42,7 @@ def test_template_lines_meet_all_of_their_buckets(spark):
     df = spark.createDataFrame(list(enumerate(template_lines())), "doc_id long, text string")
     seen, classes = line_dedup.line_classes(df)
     lines = line_dedup.line_table(df)
-    sets = {r.id: set(r.x) for r in lines.select(F.xxhash64("norm").alias("id"), line_dedup.shingles(F.col("norm"), 8).alias("x")).collect()}
+    sets = {r.id: set(r.x) for r in lines.select(F.xxhash64("norm").alias("id"), line_dedup.shingles(line_dedup.body_of(F.col("norm")), 8).alias("x")).collect()}
     met = defaultdict(set)
     for r in line_dedup.signatures(lines).collect():
         for k in r["keys"]:
@@ -63,12 +63,13 @@ def test_blocks_give_the_components_of_all_pairs(spark):
             sets[g * 3 + k] = (base - set(rng.sample(sorted(base), 4 * k))) | {10**7 + g * 3 + k}
     wide = {k: [x * 0x9E3779B97F4A7C15 % 2**63 for x in v] for k, v in sets.items()}
     table = spark.createDataFrame(list(wide.items()), "id long, body array<long>")
-    keyed = spark.createDataFrame([(7, k) for k in sets] + [(9, 0), (11, 4), (11, 8)], "key long, id long")
+    sketch = {k: sum((min((x ^ m) * m % 2**61 for x in v) & 255) << 8 * i for i, m in enumerate((3, 5, 7, 11, 13, 17, 19))) for k, v in wide.items()}
+    keyed = spark.createDataFrame([(c, k, sketch[k], len(sets[k])) for c, ks in ((7, sets), (9, [0]), (11, [4, 8])) for k in ks], "key long, id long, sketch long, n int")
     want = components(sets, [p for p in combinations(sets, 2) if jaccard(sets[p[0]], sets[p[1]]) >= 0.8])
     for block in (16, 512):
-        got = {r.node: r.component for r in buckets.bucket_classes(keyed, lambda ids: table.join(ids, "id"), lambda x: x, 0.8, block).collect()}
+        got = {r.node: r.component for r in buckets.bucket_classes(keyed, lambda ids: table.join(ids, "id"), lambda x: x, 0.8, 0.8, block).collect()}
         assert {k: got.get(k, k) for k in sets} == want
-    assert buckets.bucket_classes(keyed.limit(0), lambda ids: table.join(ids, "id"), lambda x: x, 0.8).count() == 0
+    assert buckets.bucket_classes(keyed.limit(0), lambda ids: table.join(ids, "id"), lambda x: x, 0.8, 0.8).count() == 0
 
 
 def test_lines_that_differ_in_a_tail_or_inside_a_long_word_stay(spark):
