@@ -11,7 +11,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 #: Seconds for the context cleaner to have shuffle files deleted before the next step writes its own.
-RELEASE_S = 0.6
+RELEASE_S = 0.4
 _FOLDERS: dict[str, str] = {}
 
 
@@ -44,9 +44,10 @@ def materialize(df: DataFrame, release: bool = False) -> DataFrame:
     path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     if release:
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-        time.sleep(RELEASE_S)
+        for _ in range(2):  # the second round frees what the first one's plans still held
+            gc.collect()
+            spark.sparkContext._jvm.System.gc()
+            time.sleep(RELEASE_S)
     out = spark.read.schema(df.schema).parquet(path)
     out._scratch = path
     return out
