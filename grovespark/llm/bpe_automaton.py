@@ -167,7 +167,7 @@ class MergeAutomaton:
     def encode_many(self, queue) -> tuple[np.ndarray, np.ndarray]:
         tokens, counts = pretokens(queue)
         known = self.known
-        if len(known) > 300_000:
+        if len(known) > 150_000:
             known.clear()
         ids, sizes, at = [], [], 0
         for n in counts.tolist():

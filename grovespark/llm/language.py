@@ -45,7 +45,7 @@ class LanguageModels:
     def entropies(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Cross-entropy of each text under each language, and its letters and word ends; without letters: 0."""
         state = self.__dict__.setdefault("_state", {})
-        if not state or len(state["words"]) > 200_000:
+        if not state or len(state["words"]) > 100_000:
             state.update(words=_Words(), value=np.zeros((0, len(self.models))), size=np.zeros(0, np.int64))
         words, numbers, counts = state["words"], [], []
         for t in texts:

@@ -45,7 +45,7 @@ def _ready(path: str):
 
         def encode_many(queue):
             ids, lengths = [], []
-            if len(known) > 200_000:
+            if len(known) > 100_000:
                 known.clear()
             for _, piece in queue:
                 before = len(ids)

@@ -42,7 +42,7 @@ class PieceTable:
     special: the string that is a token of its own wherever it occurs, with its id; None if there is none.
     """
 
-    def __init__(self, encode_many, special=None, special_id=None, limit=250_000):
+    def __init__(self, encode_many, special=None, special_id=None, limit=150_000):
         self.encode_many, self.special, self.special_id, self.limit = encode_many, special, special_id, limit
         self.clear()
 

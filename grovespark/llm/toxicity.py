@@ -137,7 +137,7 @@ class ToxicModel:
         if "_reader" not in self.__dict__:
             self._reader = Reader(self.decoder)
             self._seen = _Pieces(self._known)
-        if len(self._seen) > 200_000:
+        if len(self._seen) > 100_000:
             self._seen.clear()
         out, look = [], self._seen.__getitem__
         for text in texts:
@@ -169,7 +169,7 @@ def train(df: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
         known = _Pieces(lambda piece: tuple(f for w in reader.words(piece) for f in features(w)))
         for batch in small(batches):
             toxic, texts = (c.to_pylist() for c in batch.columns)
-            if len(known) > 200_000:
+            if len(known) > 100_000:
                 known.clear()
             for y, t in zip(toxic, texts, strict=True):
                 own: dict[str, int] = {}
