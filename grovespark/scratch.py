@@ -2,16 +2,12 @@
 
 from __future__ import annotations
 
-import gc
 import re
 import tempfile
-import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Seconds for the context cleaner to have shuffle files deleted before the next step writes its own.
-RELEASE_S = 0.4
 _FOLDERS: dict[str, str] = {}
 
 
@@ -35,19 +31,22 @@ def shared_folder(spark: SparkSession) -> str:
     return _FOLDERS[sc.applicationId]
 
 
-def materialize(df: DataFrame, release: bool = False) -> DataFrame:
+def materialize(df: DataFrame, bucket_by: str | None = None) -> DataFrame:
     """Write df once as a shared table and read it back: cuts the lineage, survives lost executors.
 
-    release: the step shuffled much, so let the context cleaner drop the shuffle files of plans that are gone.
+    bucket_by: dealt into buckets by this column, as many as a shuffle has partitions, so that a join on it moves the
+    other side alone. The catalog is told of the table for no longer than it takes to read its layout.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    if bucket_by:
+        name = f"grovespark_{uuid.uuid4().hex}"
+        df.write.option("path", path).bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), bucket_by).saveAsTable(name)
+        out = spark.table(name)
+        spark.sql(f"DROP TABLE {name}")  # an external table: its files stay
+        out._scratch = path
+        return out
     df.write.parquet(path)
-    if release:
-        for _ in range(2):  # the second round frees what the first one's plans still held
-            gc.collect()
-            spark.sparkContext._jvm.System.gc()
-            time.sleep(RELEASE_S)
     out = spark.read.schema(df.schema).parquet(path)
     out._scratch = path
     return out
