@@ -1,7 +1,8 @@
 """Content-addressed web archive on Spark tables.
 
-Payload bytes are stored once under their SHA-256; the exact header of every WARC record is stored apart, with the
-address of its payload. Reading joins the two, checks length and digests, and gives the original record back.
+Payload bytes are stored once under their SHA-256, dealt into buckets by it; the exact header of every WARC record is
+stored apart, with the address of its payload. Reading joins the two, checks length and digests, and gives the original
+record back.
 """
 
 from __future__ import annotations
@@ -56,32 +57,38 @@ def write_archive(pages: DataFrame, min_revisit: int = 1000, key: str = "page_id
         F.concat(F.lit("Content-Length: "), F.when(revisit, F.lit(0)).otherwise(F.col("bytes")).cast("string"), F.lit(CRLF + CRLF)),
     )
     headers = materialize(full.select(header.alias("header"), "address"))
-    # bytes go to the store where their row is the keeper; equal rows with one key are stored once by the aggregate.
-    # Both go by the same two keys, so that payloads are shuffled once; a null key counts as the least number.
+    # bytes go to the store from the row of the keeper, and the bitmap spares most of the copies the shuffle
     known_key = lambda c: F.coalesce(c, F.lit(-(1 << 63))).alias("k")
-    kept = keeper.select("address", known_key(F.col("keeper")))
     place = F.xxhash64("address", "k").alias("__at")
-    kept = materialize(kept.select("address", "k", place))
-    # the bitmap spares most of the copies the shuffle
-    store = likely(rows.select(F.sha2("payload", 256).alias("address"), known_key(F.col("id")), "payload").select("*", place), kept, "__at").drop("__at").join(kept.drop("__at"), ["address", "k"])
-    payloads = materialize(store.groupBy("address", "k").agg(F.first("payload").alias("payload")).drop("k"), release=True)
+    kept = materialize(keeper.select("address", known_key(F.col("keeper"))).select(place))
+    store = likely(rows.select(F.sha2("payload", 256).alias("address"), known_key(F.col("id")), "payload").select("address", "payload", place), kept, "__at")
+    payloads = materialize(store.groupBy("address").agg(F.first("payload").alias("payload")), bucket_by="address")
     return headers, payloads
 
 
-def read_archive(headers: DataFrame, payloads: DataFrame) -> DataFrame:
-    """(header, payload, record, sha1, bytes, verified): the records rebuilt, with the full payload also of revisits.
+def read_archive(headers: DataFrame, payloads: DataFrame, small: int = 1000) -> DataFrame:
+    """(header, record, sha1, bytes, verified): the records rebuilt.
 
     record: the exact bytes of the WARC record; a revisit has an empty block. sha1 and bytes are those of the payload as
-    read; verified: it has its address as SHA-256, the header's digest, and the block has the header's length. A record
-    whose payload is not in the store is there with null bytes, not verified.
+    read, also of a revisit's; verified: the payload has its address as SHA-256 and the header's digest, and the block has
+    the header's length. A record whose payload is not in the store is there with null bytes, not verified.
+
+    Payloads are hashed where they are stored, once each. What is known of them goes to the headers by a join whose hot
+    addresses Spark can split, with the bytes of those below `small`; larger ones, which hold one response each, stay in
+    their buckets, and the responses go there.
     """
-    full = headers.join(payloads, "address", "left")
-    block = F.when(F.col("header").contains(REVISIT_PROFILE), F.lit(b"")).otherwise(F.col("payload"))
-    read = full.select("header", "address", "payload", block.alias("block"), F.sha1("payload").alias("sha1"), F.octet_length("payload").alias("bytes"))
+    own = F.col("payload")
+    facts = payloads.select(F.col("address").alias("__of"), F.sha1(own).alias("sha1"), F.octet_length(own).alias("bytes"), (F.sha2(own, 256) == F.col("address")).alias("sound"), F.when(F.octet_length(own) < small, own).alias("block"))
+    revisit = F.col("header").contains(f"{CRLF}WARC-Type: revisit{CRLF}")
+    known = headers.join(facts, F.col("address") == F.col("__of"), "left").drop("__of")
+    known = materialize(known.withColumn("block", F.when(revisit, F.lit(b"")).otherwise(F.col("block"))))
+    large = F.col("block").isNull() & F.col("bytes").isNotNull()
+    fetched = known.where(large).drop("block").join(payloads.select("address", F.col("payload").alias("block")), "address").select(known.columns)
+    full = known.where(~large).unionByName(fetched)
     said = F.regexp_extract("header", r"\r\nContent-Length: (\d+)\r\n", 1).cast("long")
-    own = (F.sha2("payload", 256) == F.col("address")) & F.col("header").contains(F.concat(F.lit("sha1:"), "sha1")) & (said == F.octet_length("block"))
+    fits = F.col("sound") & F.col("header").contains(F.concat(F.lit(f"{CRLF}WARC-Payload-Digest: sha1:"), "sha1", F.lit(CRLF))) & (said == F.octet_length("block"))
     record = F.concat(F.encode("header", "UTF-8"), "block", F.lit(b"\r\n\r\n"))
-    return read.select("header", "payload", record.alias("record"), "sha1", "bytes", F.coalesce(own, F.lit(False)).alias("verified"))
+    return full.select("header", record.alias("record"), "sha1", "bytes", F.coalesce(fits, F.lit(False)).alias("verified"))
 
 
 def export_warc(records: DataFrame, path: str, compression: str = "none") -> None:
@@ -118,7 +125,8 @@ def page_records(pages: DataFrame, min_revisit: int = 1000, key: str = "page_id"
     """(key, payload_bytes, payload_digest, record_type, refers_to, record_sha1, verified), all read back from the archive.
 
     payload_digest is the SHA-1 of the payload as read back, record_sha1 that of the rebuilt record; verified is false
-    where the bytes are not what the record says.
+    where the bytes are not what the record says. Rows that repeat a key have a record each; a row with a null key is read
+    back with a null key; an empty table gives an empty one, other columns are left behind.
     """
     records = read_archive(*write_archive(pages, min_revisit, key))
     field = lambda name, pattern: F.nullif(F.regexp_extract("header", rf"\r\n{name}: {pattern}\r\n", 1), F.lit(""))

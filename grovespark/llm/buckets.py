@@ -30,21 +30,21 @@ MANY = 32
 SLOTS = 8
 #: Words of 64 bits of a parity bitmap.
 WORDS = 16
-#: Slots that must agree. At Jaccard 0.8 two or fewer of eight agree with a chance of 0.0012.
+#: Slots that must agree. At Jaccard 0.8 two or fewer of eight agree with a chance of 0.0012; with 0 no pair is left out.
 LEAST_SAME = 3
 
 
-def _fits(a: str, b: str, ratio: float) -> Column:
+def _fits(a: str, b: str, ratio: float, least_same: int) -> Column:
     """Whether the sketches and sizes of two members, by their column prefixes, allow for the threshold."""
     x = F.col(f"{a}sketch").bitwiseXOR(F.col(f"{b}sketch"))
     same = reduce(lambda s, k: s + F.when(F.shiftright(x, 8 * k).bitwiseAND(F.lit(255)) == 0, 1).otherwise(0), range(SLOTS), F.lit(0))
-    return (same >= LEAST_SAME) & (F.least(f"{a}n", f"{b}n") >= ratio * F.greatest(f"{a}n", f"{b}n"))
+    return (same >= least_same) & (F.least(f"{a}n", f"{b}n") >= ratio * F.greatest(f"{a}n", f"{b}n"))
 
 
 def shared_members(keyed: DataFrame) -> DataFrame:
     """(key, id, sketch, n, lo, hi): the distinct members of buckets that hold two and more, with the bucket's ends."""
-    ends = materialize(keyed.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo <> hi"), release=True)
-    out = materialize(likely(keyed, ends, "key").join(ends, "key").select("key", "id", "sketch", "n", "lo", "hi").distinct(), release=True)
+    ends = materialize(keyed.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo <> hi"))
+    out = materialize(likely(keyed, ends, "key").join(ends, "key").select("key", "id", "sketch", "n", "lo", "hi").distinct())
     discard(ends)
     return out
 
@@ -56,7 +56,7 @@ def verified(pairs: DataFrame, bodies: DataFrame, elements: Callable[[Column], C
     full = both.select("a", "b", elements(F.col("v")).alias("x"), elements(F.col("w")).alias("y"))
     shared = full.select("a", "b", F.size("x").alias("nx"), F.size("y").alias("ny"), F.size(F.array_intersect("x", "y")).alias("both"))
     near = F.col("both") >= threshold * F.greatest(F.lit(1), F.col("nx") + F.col("ny") - F.col("both"))
-    return materialize(shared.where(near).select("a", "b"), release=True)
+    return materialize(shared.where(near).select("a", "b"))
 
 
 def _marks(ids: DataFrame, bodies: DataFrame, elements: Callable[[Column], Column]) -> DataFrame:
@@ -64,7 +64,7 @@ def _marks(ids: DataFrame, bodies: DataFrame, elements: Callable[[Column], Colum
     rows = bodies.join(ids, "id").select("id", F.explode(elements(F.col("body"))).alias("h"))
     rows = rows.select("id", F.shiftright("h", 6).bitwiseAND(F.lit(WORDS - 1)).alias("w"), F.expr("shiftleft(1L, cast(h & 63 as int))").alias("bit"))
     words = [F.coalesce(F.bit_xor(F.when(F.col("w") == k, F.col("bit"))), F.lit(0).cast("long")).alias(f"w{k}") for k in range(WORDS)]
-    return materialize(rows.groupBy("id").agg(F.count("*").alias("m"), *words), release=True)
+    return materialize(rows.groupBy("id").agg(F.count("*").alias("m"), *words))
 
 
 def _may_reach(a: str, b: str, threshold: float) -> Column:
@@ -103,7 +103,7 @@ def _block_pairs(members: DataFrame, fits: Callable[[str, str], Column], block:
     two = own.select("key", F.explode(F.sequence(F.lit(0), F.col("own"))).alias("i"), F.col("own").alias("j"), *[F.col(c).alias(f"b_{c}") for c in columns])
     once = (F.col("i") < F.col("j")) | (F.col("a_id") > F.col("b_id"))
     met = one.join(two, ["key", "i", "j"]).where((F.col("a_part") != F.col("b_part")) & once & fits("a_", "b_"))
-    return materialize(met.select(F.greatest("a_id", "b_id").alias("a"), F.least("a_id", "b_id").alias("b")).distinct(), release=True)
+    return materialize(met.select(F.greatest("a_id", "b_id").alias("a"), F.least("a_id", "b_id").alias("b")).distinct())
 
 
 def _merged(found: DataFrame, edges: DataFrame) -> DataFrame:
@@ -116,23 +116,24 @@ def _merged(found: DataFrame, edges: DataFrame) -> DataFrame:
     return materialize(moved.unionByName(new))
 
 
-def bucket_classes(keyed: DataFrame, bodies_of: Callable[[DataFrame], DataFrame], elements: Callable[[Column], Column], threshold: float, ratio: float, block: int = BLOCK, draws: int = 2) -> DataFrame:
+def bucket_classes(keyed: DataFrame, bodies_of: Callable[[DataFrame], DataFrame], elements: Callable[[Column], Column], threshold: float, ratio: float, block: int = BLOCK, draws: int = 2, least_same: int = LEAST_SAME) -> DataFrame:
     """(node, component) over all pairs that share a bucket of keyed (key, id, sketch, n), fit and reach the threshold.
 
     bodies_of gives (id, body) for a table of ids, and elements the array of distinct hashes that a body stands for; it
-    is worked out after bodies have moved. ratio is the least quotient of the sizes n of two members that are compared.
+    is worked out after bodies have moved. ratio is the least quotient of the sizes n of two members that are compared,
+    least_same the least number of sketch slots that agree (0 and 0: every two of a bucket are compared).
     Two members of a bucket are left uncompared only where they do not fit or are in one component already.
     """
     members = shared_members(keyed)
     heads = members.where("id = lo").select("key", F.col("sketch").alias("h_sketch"), F.col("n").alias("h_n"))
-    stars = materialize(members.where("id <> lo").join(heads, "key").where(_fits("", "h_", ratio)).select(F.col("id").alias("a"), F.col("lo").alias("b")).distinct(), release=True)
+    stars = materialize(members.where("id <> lo").join(heads, "key").where(_fits("", "h_", ratio, least_same)).select(F.col("id").alias("a"), F.col("lo").alias("b")).distinct())
     # only in buckets of three and more are there pairs without the least member
     many = materialize(members.where("id <> lo and id <> hi").select("key").distinct())
     rest = materialize(likely(members, many, "key").join(many, "key").select("key", "id", "sketch", "n"))
     discard(members, many)
     ids = stars.select(F.explode(F.array("a", "b")).alias("id")).unionByName(rest.select("id")).distinct()
     ids = materialize(ids)
-    bodies = materialize(bodies_of(ids), release=True)
+    bodies = materialize(bodies_of(ids))
     near = verified(stars, bodies, elements, threshold)
     discard(stars, ids)
     found = connected_components(near)
@@ -140,7 +141,7 @@ def bucket_classes(keyed: DataFrame, bodies_of: Callable[[DataFrame], DataFrame]
     if open_.isEmpty():
         return found
     marks = _marks(open_.select("id").distinct(), bodies, elements)
-    fits = lambda a, b: _fits(a, b, ratio) & _may_reach(a, b, threshold)
+    fits = lambda a, b: _fits(a, b, ratio, least_same) & _may_reach(a, b, threshold)
     for pairs_of in (lambda m: _drawn_pairs(m, fits, draws), lambda m: _block_pairs(m, fits, block)):
         marked = materialize(open_.join(marks, "id"))
         pairs = pairs_of(marked)

@@ -97,12 +97,13 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def successors(ids: DataFrame, key: str = "id", fan: int = 7) -> DataFrame:
-    """(key, next): each distinct id with the next greater one, null for the greatest.
+    """(key, next): each distinct id with the next greater one, null for the greatest. Ids are not negative.
 
     Ids are grouped by their leading bits and ordered within groups of at most 2^fan; the first of each next group
-    comes from the groups' own successors, level by level, so no step orders more than 2^fan ids in one place.
+    comes from the groups' own successors, level by level, so no step orders more than 2^fan ids in one place. Each level
+    takes fan bits away, so there are at most 63 / fan levels. Negative ids would never meet the others: an error.
     """
-    low = ids.select(F.col(key).alias("id")).distinct()
+    low = ids.select(F.when(F.col(key) < 0, F.raise_error(F.lit("successors take ids from 0 on"))).otherwise(F.col(key)).alias("id")).distinct()
     grouped = materialize(low.groupBy(F.shiftright("id", fan).alias("g")).agg(F.sort_array(F.collect_list("id")).alias("all")))
     pairs = F.transform("all", lambda x, i: F.struct(x.alias("id"), F.get("all", i + 1).alias("next")))
     inner = grouped.select("g", F.explode(pairs).alias("p")).select("g", "p.id", "p.next")
@@ -119,11 +120,12 @@ def document_fingerprints(df: DataFrame, text: str = "text", key: str = "doc_id"
     """(key, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next) of every row.
 
     Null text counts as empty. The next document is the row after it by (key, text), after the last the first; a null
-    key sorts first. One row is its own next. Texts are shuffled once, by the leading bits of the key, so that
+    key sorts first, then negative ones. One row is its own next. Texts are shuffled once, by the leading bits of the key, so that
     neighbours meet in groups of 2^fan keys; only the last row of each group gets its neighbour by a join.
     """
     rows = df.select(F.col(key).cast("long").alias(key), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    rows = rows.withColumn("g", F.coalesce(F.shiftright(key, fan), F.lit(-(1 << 62))))
+    # leading bits of the key with its sign bit turned, so that groups count from 1 in the order of keys; 0 has no key
+    rows = rows.withColumn("g", F.coalesce(F.shiftrightunsigned(F.col(key).bitwiseXOR(F.lit(-(1 << 63))), fan) + 1, F.lit(0).cast("long")))
     heads = rows.groupBy("g").agg(F.min(F.struct(F.coalesce(key, F.lit(-(1 << 63))).alias("k"), "text")).alias("head"))
     heads = materialize(heads.select("g", F.col("head.text").alias("head")))
     groups = heads.select("g")

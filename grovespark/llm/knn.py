@@ -22,8 +22,10 @@ from grovespark.llm.scratch import materialize
 from grovespark.session import ensure_on_workers
 
 FAN = 64
-#: Quantised components lie below this, so that the scores of up to 128 dimensions fit a long.
-LARGEST = 1 << 28
+#: Quantised components lie below this, so that they fit a long.
+LARGEST = 1 << 62
+#: Scores below the first are exact in doubles, below the second in longs; others are worked out as Python's numbers.
+IN_DOUBLES, IN_LONGS = 1 << 52, 1 << 62
 
 
 def least_k(df: DataFrame, keys: list[str], values: str, part: str, parts: int, k: int) -> DataFrame:
@@ -42,14 +44,14 @@ def least_k(df: DataFrame, keys: list[str], values: str, part: str, parts: int,
 
 def quantized(embedding: Column, scale: int = 64) -> Column:
     """floor(scale * x) of each component; null for vectors that are null, hold null or non-finite components, or such
-    as reach LARGEST, whose scores a long can't be sure to hold."""
+    as reach LARGEST, which no long can hold."""
     wide = F.transform(embedding, lambda x: x.cast("double"))
     finite = F.forall(wide, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) * scale < LARGEST))
     return F.when(finite, F.transform(wide, lambda x: F.floor(x * scale).cast("long")))
 
 
-def _matrix(column: pd.Series, width: int) -> np.ndarray:
-    out = np.zeros((len(column), width))
+def _matrix(column: pd.Series, width: int, kind: type = float) -> np.ndarray:
+    out = np.zeros((len(column), width), kind)
     for i, v in enumerate(column):
         out[i, : len(v)] = v
     return out
@@ -59,7 +61,8 @@ def voronoi_top_k(df: DataFrame, k: int = 20, every: int = 20, scale: int = 64,
     """(query_id, rank, vec_id, score): for each row whose key is divisible by `every`, its k best other rows.
 
     Ties go to the smaller id; fewer rows than k give what there is. Rows with a null key, and vectors that are null,
-    hold null or non-finite components or are too large (see `quantized`), take no part. Shorter vectors count as padded
+    hold null or non-finite components or such as no long can hold (see `quantized`), take no part; a pair whose score no
+    long can hold is left out. Shorter vectors count as padded
     with zeros. Rows that repeat an id are candidates for no query with that id, and for others as often as they occur;
     a repeated query is answered once for each of its vectors. max_pivots bounds what the driver holds: pivots, k + 1
     distances of each cell, and a bound for every two cells; below it their number grows as the root of the rows.
@@ -83,6 +86,7 @@ def voronoi_top_k(df: DataFrame, k: int = 20, every: int = 20, scale: int = 64,
     pivots = np.c_[pivots, np.sqrt(np.maximum(far - (pivots**2).sum(1), 0))]
 
     ensure_on_workers(df.sparkSession)
+    kind = float if far < IN_DOUBLES else np.int64 if far < IN_LONGS else object
 
     def place(frames):
         for pdf in frames:
@@ -133,15 +137,19 @@ def voronoi_top_k(df: DataFrame, k: int = 20, every: int = 20, scale: int = 64,
         out = {"cls": [], "part": [], "best": []}
         if len(q) and len(c):
             c = c.sort_values("cls", kind="stable")
-            y, ids, at = _matrix(c["vec"], width), c["ids"].tolist(), int(c["part"].iloc[0])
-            x, owners = _matrix(q["qvec"], width), q["qcls"].tolist()
-            if far > 2**52:  # whole numbers beyond what a double holds
-                x, y = x.astype(np.int64), y.astype(np.int64)
+            y, ids, at = _matrix(c["vec"], width, kind), c["ids"].tolist(), int(c["part"].iloc[0])
+            x, owners = _matrix(q["qvec"], width, kind), q["qcls"].tolist()
             for lo in range(0, len(x), 128):
                 scores = x[lo : lo + 128] @ y.T  # by Cauchy and Schwarz at most `far`
                 for i, row in enumerate(scores):
-                    floor = np.partition(row, len(row) - keep)[len(row) - keep] if len(row) > keep else row.min()
-                    found = np.flatnonzero(row >= floor)
+                    if kind is object:
+                        row = np.array([s if abs(s) < 1 << 63 else None for s in row], object)
+                        fit = np.flatnonzero(row != None)  # noqa: E711  element by element
+                        found = fit[np.argsort(-row[fit], kind="stable")][:keep]
+                        found = np.flatnonzero([s is not None and s >= row[found[-1]] for s in row]) if len(found) else found
+                    else:
+                        floor = np.partition(row, len(row) - keep)[len(row) - keep] if len(row) > keep else row.min()
+                        found = np.flatnonzero(row >= floor)
                     found = found[np.argsort(-row[found], kind="stable")][:keep]
                     best = sorted((-int(row[j]), int(v["id"]), int(v["times"])) for j in found for v in ids[j])[:keep]
                     out["cls"].append(owners[lo + i])

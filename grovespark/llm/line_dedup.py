@@ -1,9 +1,9 @@
 """Fuzzy line dedup by MinHash, with DataFrame functions alone.
 
-Lines are compared in normal form (lower case, white space collapsed) by their character shingles. For signatures a
-sample of those that begin at word starts is taken, or all where a line has few of them; their distinct sorted hashes fall into
-bands by their leading bits, and a band's key is made of the hashes that follow one another from its smallest on
-(one-permutation MinHash). Lines that share a key, and whose sketches of the bands' minima allow for it, are verified
+Lines are compared in normal form (lower case, white space collapsed) by their character shingles. Every line has a
+signature of those that begin at word starts, and a line of few words for its length a second one of all of them; their
+distinct sorted hashes fall into bands by their leading bits, and a band's key is made of the hashes that follow one
+another from its smallest on (one-permutation MinHash). Lines that share a key, and whose sketches of the bands' minima allow for it, are verified
 by the exact Jaccard similarity of all shingles of the whole line; distributed union-find joins what is verified, and
 the first line of each component stays.
 """
@@ -24,9 +24,9 @@ BANDS = range(-4, 4)
 #: Least quotient of the signature sizes of two lines that are compared. It lies far below the 0.8 of the whole sets,
 #: as the shingles at word starts are a sample.
 RATIO = 0.6
-#: Words that begin with these are passed over in signatures: a sample of about two thirds that goes by content alone, so
-#: that equal shingles are in both samples or in none. Verification reads every shingle.
-PASSED = "s-zà-ÿ"
+#: A line with fewer word starts than one for so many characters has a signature of all its shingles too. All lines have
+#: the other signature, so two lines on both sides of this step share that one.
+FEW = 16
 #: Places of a body whose shingles are made together.
 CHUNK = 1024
 
@@ -39,15 +39,15 @@ def normal_form(low: Column) -> Column:
 
 def _at_words(norm: Column, width: int) -> Column:
     # what is consumed ends with the word, so that the search goes on at the next word and not inside this one
-    return F.regexp_extract_all(norm, F.lit(f"(?s)(?:[{PASSED}][^ ]*+ )*+(?=([^{PASSED}].{{{width - 1}}}))[^ ]*+.?+"), F.lit(1))
+    return F.regexp_extract_all(norm, F.lit(f"(?s)(?=(.{{{width}}}))[^ ]*+.?+"), F.lit(1))
 
 
 def _everywhere(norm: Column, width: int) -> Column:
     return F.regexp_extract_all(norm, F.lit(f"(?s)(?=(.{{{width}}}))"), F.lit(1))
 
 
-def _banded(df: DataFrame, keep: list[str]) -> DataFrame:
-    """keep columns with n, sketch and keys of the sorted distinct hashes in column `hashes`.
+def _banded(df: DataFrame, keep: list[str], kind: str = "") -> DataFrame:
+    """keep columns with n, sketch and keys of the sorted distinct hashes in column `hashes`; keys of two kinds don't meet.
 
     By the number of hashes there are keys of eight, four or two bands, of four, three or two hashes. Lines that are
     alike may lie on both sides of a step between these, so lines up to 5/4 above a step have the keys of both sides.
@@ -58,7 +58,7 @@ def _banded(df: DataFrame, keep: list[str]) -> DataFrame:
     first = lambda q, k: F.when(F.get(q, F.lit(2 * k)) > 0, F.get(q, F.lit(2 * k))).otherwise(F.get(q, F.lit(2 * k + 1)))
     placed = placed.withColumn("q4", F.array(*[first("q8", k) for k in range(4)]))
     placed = placed.withColumn("q2", F.array(*[first("q4", k) for k in range(2)]))
-    key = lambda q, depth: F.transform(q, lambda p, k: F.when(p > 0, F.xxhash64(F.lit(f"{q}.{depth}"), k, F.slice("hashes", p, F.lit(depth)))))
+    key = lambda q, depth: F.transform(q, lambda p, k: F.when(p > 0, F.xxhash64(F.lit(f"{kind}{q}.{depth}"), k, F.slice("hashes", p, F.lit(depth)))))
     low = lambda p: F.when(p > 0, F.get("hashes", p - 1).bitwiseAND(F.lit(255))).otherwise(F.lit(0).cast("long"))
     sketch = F.aggregate("q8", F.lit(0).cast("long"), lambda s, p: F.shiftleft(s, 8).bitwiseOR(low(p)))
     n, both = F.size("hashes"), F.concat
@@ -77,12 +77,22 @@ def line_table(df: DataFrame, text: str = "text", key: str = "doc_id") -> DataFr
 
 
 def signatures(lines: DataFrame, key: str = "doc_id", width: int = WIDTH) -> DataFrame:
-    """(key, tx, pos, id, norm, n, sketch, keys): id is the hash of the normal form, equal for equal lines."""
+    """(key, tx, pos, id, norm, few, n, sketch, keys) from word starts: id is the hash of the normal form, equal for equal
+    lines; few: the line has few words for its length."""
     short = F.length("norm") <= width
     first = lines.select(key, "tx", "pos", "norm", F.when(short, F.array("norm")).otherwise(_at_words(F.col("norm"), width)).alias("found"))
-    found = F.when(F.size("found") * 24 < F.length("norm"), _everywhere(F.col("norm"), width)).otherwise(F.col("found"))
-    hashed = first.select(key, "tx", "pos", F.xxhash64("norm").alias("id"), "norm", F.sort_array(F.array_distinct(F.transform(found, lambda s: F.xxhash64(s)))).alias("hashes"))
-    return _banded(hashed, [key, "tx", "pos", "id", "norm"])
+    few = F.size("found") * FEW < F.length("norm")
+    hashed = first.select(key, "tx", "pos", F.xxhash64("norm").alias("id"), "norm", few.alias("few"), _hashes(F.col("found")).alias("hashes"))
+    return _banded(hashed, [key, "tx", "pos", "id", "norm", "few"])
+
+
+def _hashes(found: Column) -> Column:
+    return F.sort_array(F.array_distinct(F.transform(found, lambda s: F.xxhash64(s))))
+
+
+def full_signatures(lines: DataFrame, width: int = WIDTH) -> DataFrame:
+    """(id, n, sketch, keys) from all shingles, of the lines (id, norm) that have few words for their length."""
+    return _banded(lines.select("id", _hashes(_everywhere(F.col("norm"), width)).alias("hashes")), ["id"], "all.")
 
 
 def body_of(norm: Column) -> Column:
@@ -115,7 +125,8 @@ def line_classes(df: DataFrame, width: int = WIDTH, threshold: float = 0.8, text
     lines = line_table(df, text, key)
     written = materialize(signatures(lines, key, width))
     occurrences = written.where("norm <> ''")
-    keyed = occurrences.select(F.explode("keys").alias("key"), "id", "sketch", "n").where("key is not null")
+    exploded = lambda rows: rows.select(F.explode("keys").alias("key"), "id", "sketch", "n").where("key is not null")
+    keyed = exploded(occurrences).unionByName(exploded(full_signatures(occurrences.where("few").select("id", "norm"), width)))
     # the normal forms are kept beside the keys: reading the column again costs less than cutting all texts again
     found = bucket_classes(keyed, lambda ids: _texts(ids, occurrences.select("id", "norm")), lambda body: shingles(body, width), threshold, RATIO)
     seen = occurrences.select(key, "tx", "pos", "id")
@@ -126,7 +137,7 @@ def line_classes(df: DataFrame, width: int = WIDTH, threshold: float = 0.8, text
 def _dropped(seen: DataFrame, classes: DataFrame, key: str) -> DataFrame:
     """(key, tx, pos) of every line that is not the first of its class. Only lines whose class has several move twice."""
     place = F.struct(key, "pos", "tx")
-    each = materialize(seen.groupBy("id").agg(F.min(place).alias("first"), F.count("*").alias("n")).join(classes, "id", "left").where("n > 1 or class is not null").select("id", F.coalesce("class", "id").alias("class"), "first"), release=True)
+    each = materialize(seen.groupBy("id").agg(F.min(place).alias("first"), F.count("*").alias("n")).join(classes, "id", "left").where("n > 1 or class is not null").select("id", F.coalesce("class", "id").alias("class"), "first"))
     keepers = each.groupBy("class").agg(F.min("first").alias("keeper"))
     known = materialize(each.select("id", "class").join(keepers, "class").select("id", "keeper"))
     discard(each)
@@ -143,7 +154,7 @@ def dedup_lines(df: DataFrame, width: int = WIDTH, threshold: float = 0.8, text:
     """
     seen, classes = line_classes(df, width, threshold, text, key)
     gone = _dropped(seen, classes, key).groupBy(key, "tx").agg(F.collect_set("pos").alias("__drop"))
-    lists = materialize(gone.select(F.col(key).alias("__key"), F.col("tx").alias("__tx"), "__drop"), release=True)
+    lists = materialize(gone.select(F.col(key).alias("__key"), F.col("tx").alias("__tx"), "__drop"))
     discard(seen)
     marked = df.withColumn("__tx", F.xxhash64(text)).withColumn("__key", F.col(key))
     at = F.xxhash64("__key", "__tx").alias("__at")

@@ -1,5 +1,7 @@
 """Every operator on empty tables, very long and null texts, repeated rows, null keys and clashing columns."""
 
+import hashlib
+
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -78,3 +80,25 @@ def test_top_k_with_repeated_rows_and_large_values(spark):
     out = knn.voronoi_top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), k=4).collect()
     got = [(r.rank, r.vec_id, r.score) for r in sorted(out, key=lambda r: r.rank) if r.query_id == 0]
     assert got == [(1, 4, 64 * 64 * 70000), (2, 1, 4096), (3, 1, 4096), (4, 2, 2048)]
+
+
+def test_top_k_beyond_longs(spark):
+    """Scores that no double or long holds: exact where a long does, left out where none can."""
+    rows = [(0, [2.0**52, 3.0]), (1, [-(2.0**52), 5.0]), (2, [2.0, 2.0**55]), (3, [2.0**-6, 1.0]), (4, [-(2.0**-6), -1.0]), (20, [1.0, 1.0])]
+    out = knn.voronoi_top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), k=9).collect()
+    whole = {k: [int(x * 64) for x in v] for k, v in rows}
+    for q in (0, 20):
+        scores = {k: sum(a * b for a, b in zip(whole[q], v)) for k, v in whole.items() if k != q}
+        want = sorted(((-s, k) for k, s in scores.items() if abs(s) < 1 << 63))
+        assert [(-r.score, r.vec_id) for r in sorted(out, key=lambda r: r["rank"]) if r.query_id == q] == want
+
+
+@pytest.mark.parametrize("keys", [[-3, 5], [None, 5], [None, -3], [None, -(2**62), -1, 0, 1, 2**62], [None, None], [7]])
+def test_next_documents_of_negative_and_null_keys(spark, keys):
+    df = spark.createDataFrame([(k, f"text {k}. One more.") for k in keys], "doc_id long, text string")
+    got = {r.doc_id: r for r in fingerprints.document_fingerprints(df).collect()}
+    order = sorted(keys, key=lambda k: (k is not None, k or 0))
+    for i, k in enumerate(order):
+        text, following = f"text {k}. One more.", f"text {order[(i + 1) % len(order)]}. One more."
+        edited = text[: len(text) - len(text) // 2] + following[: len(text) // 2]
+        assert got[k].edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()

@@ -1,7 +1,9 @@
 import math
+import random
 import re
 from collections import Counter, defaultdict
 
+import pytest
 from pyspark.sql import functions as F
 
 from grovespark.llm import line_dedup
@@ -62,3 +64,37 @@ def test_repeated_rows_count_their_own_lines_and_clashing_names_are_replaced(spa
     assert out.columns == ["doc_id", "text", "n_lines", "n_kept"]
     got = sorted(((r.doc_id, r.n_lines, r.n_kept) for r in out.collect()), key=str)
     assert got == sorted([(1, 2, 2), (1, 2, 2), (2, 1, 0), (3, 2, 1), (4, 0, 0), (None, 0, 0)], key=str)
+
+
+def found_share(spark, pairs):
+    """Share of pairs of lines whose two documents lose one line together."""
+    rows = [(2 * i + k, line) for i, pair in enumerate(pairs) for k, line in enumerate(pair)]
+    left = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).where("n_kept > 0").count()
+    return (len(rows) - left) / len(pairs)
+
+
+def words(rng, n, letters, first="abcdefghijklmnopqrstuvwxyz"):
+    return [rng.choice(first) + "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(letters - 1)) for _ in range(n)]
+
+
+def test_pairs_on_both_sides_of_the_step_between_signatures(spark):
+    rng = random.Random(4)
+    pairs = []
+    for starts, letters in ((6, 22), (8, 17), (9, 16), (7, 19), (5, 31)):
+        for _ in range(60):
+            line = words(rng, starts, letters)
+            pairs.append((" ".join(line), " ".join(line) + "".join(words(rng, 1, 8))))
+            pairs.append((" ".join(line), " ".join(line + words(rng, 2, 3))))
+    near = [p for p in pairs if len(shingles(p[0]) & shingles(p[1])) >= 0.8 * len(shingles(p[0]) | shingles(p[1]))]
+    assert len(near) > 400 and found_share(spark, near) >= 0.98
+
+
+@pytest.mark.parametrize("first", ["stuvwxyzàéü", "abcdefghijklmnopqr"])
+def test_first_letters_make_no_difference(spark, first):
+    rng = random.Random(6)
+    pairs = []
+    for _ in range(400):
+        line = words(rng, 16, 6, first)
+        k = rng.randrange(16)
+        pairs.append((" ".join(line), " ".join(line[:k] + [line[k][:3] + "0" + line[k][4:]] + line[k + 1 :])))
+    assert found_share(spark, pairs) >= 0.98
