@@ -1,14 +1,15 @@
 """Ordered rule lists and the columns that judge names by them.
 
-A rule list is matched with one short-circuiting expression on text that was lowered once; a pattern that starts with
-a literal is guarded by a substring test, so that most rows run no pattern at all.
+From every pattern the literal that all its matches hold is drawn out. One expression, a trie of these literals, is
+tried first, and only text that holds one of them is given to the patterns, in order, each behind its own literal.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from grovespark.functions.text import norm_name, words_of
@@ -56,31 +57,79 @@ WEIGHTS = (3, 3, 2, 1, 1)
 TIERS = [("PREMIUM", 80), ("HIGH", 60), ("MEDIUM", 40), ("LOW", 20), ("TRASH", 0)]
 
 
-def literal_head(pattern: str) -> str:
-    """The literal characters that every match of the pattern starts with; empty if there are none."""
-    if "|" in pattern:
+def needed_literal(pattern: str) -> str:
+    """The longest literal that every match of the pattern holds; empty if the pattern's form doesn't show one.
+
+    Look-aheads are dropped, a character that may be missing is no part of a literal, and alternatives, groups and
+    character classes have none.
+    """
+    plain = re.sub(r"\(\?!.*\)", "", pattern)
+    if re.search(r"[|()\[\]{}]", plain):
         return ""
-    head = re.match(r"[A-Za-z0-9 _'-]*", pattern).group()
-    return head[:-1] if pattern[len(head) : len(head) + 1] in ("?", "*", "{") else head
+    plain = re.sub(r"\\?.[?*]", "\0", plain)
+    return max(re.split(r"\\[A-Za-z]|[\0.^$+]", plain), key=len)
+
+
+def alternation(phrases: list[str]) -> str:
+    """A pattern that finds any of the phrases: a trie, so that a place in the text is tried against each first letter
+    and not against each phrase. A phrase that holds another one adds nothing."""
+    least = [p for p in dict.fromkeys(phrases) if not any(q != p and q in p for q in phrases)]
+    tree: dict = {}
+    for p in least:
+        at = tree
+        for c in p:
+            at = at.setdefault(c, {})
+
+    def written(node: dict) -> str:
+        tail = [re.escape(c).replace("\\ ", " ").replace("\\-", "-").replace("\\'", "'") + written(child) for c, child in sorted(node.items())]
+        return "" if not tail else tail[0] if len(tail) == 1 else f"(?:{'|'.join(tail)})"
+
+    return written(tree)
+
+
+def may_match(lowered: Column, patterns: list[str]) -> Column:
+    """False only where no pattern can be found: the first test of a rule list."""
+    needed = [needed_literal(p) for p in patterns]
+    return lowered.rlike(alternation(needed)) if needed and all(needed) else F.lit(True)
 
 
 def _hit(text: Column, pattern: str) -> Column:
-    if (head := literal_head(pattern)) == pattern:
+    if (needed := needed_literal(pattern)) == pattern:
         return text.contains(pattern)
-    return (text.contains(head) & text.rlike(pattern)) if head else text.rlike(pattern)
+    return (text.contains(needed) & text.rlike(pattern)) if needed else text.rlike(pattern)
+
+
+def guarded(lowered: Column, patterns: list[str], find: Callable[[Column], Column]) -> Column:
+    """find(text) where the first test lets the text through, in lists long enough for it to pay.
+
+    The few that pass are judged inside a lambda, which Spark evaluates as it stands: in line, a hundred patterns would
+    grow the generated code of the whole stage beyond what the JVM compiles.
+    """
+    if len(patterns) <= 4:
+        return find(lowered)
+    return F.when(may_match(lowered, patterns), F.get(F.transform(F.array(lowered), find), F.lit(0)))
 
 
 def match_rules(lowered: Column, patterns: list[str]) -> Column:
     """The first pattern of the list that is found in the text; null if none is."""
-    return F.coalesce(*[F.when(_hit(lowered, p), F.lit(p)) for p in patterns]) if patterns else F.lit(None).cast("string")
+    if not patterns:
+        return F.lit(None).cast("string")
+    return guarded(lowered, patterns, lambda t: F.coalesce(*[F.when(_hit(t, p), F.lit(p)) for p in patterns]))
 
 
 def match_rules_all(lowered: Column, patterns: list[str]) -> Column:
-    return F.filter(F.array(*[F.when(_hit(lowered, p), F.lit(p)) for p in patterns]), lambda x: x.isNotNull())
+    """All patterns of the list that are found, in its order; null text has none."""
+    found = guarded(lowered, patterns, lambda t: F.filter(F.array(*[F.when(_hit(t, p), F.lit(p)) for p in patterns]), lambda x: x.isNotNull()))
+    return F.coalesce(found, F.array().cast("array<string>"))
+
+
+def first_phrase(text: Column, labels: dict[str, str]) -> Column:
+    """The label of the first phrase (letters, digits and blanks), in the order given, that the text holds; null for none."""
+    return guarded(text, list(labels), lambda t: F.coalesce(*[F.when(t.contains(p), F.lit(v)) for p, v in labels.items()]))
 
 
 def contains_any(text: Column, phrases: list[str]) -> Column:
-    return F.coalesce(*[F.when(text.contains(p), F.lit(True)) for p in phrases], F.lit(False))
+    return F.coalesce(text.rlike(alternation(phrases)), F.lit(False))
 
 
 def step_description(description: Column) -> Column:
@@ -88,13 +137,24 @@ def step_description(description: Column) -> Column:
 
 
 def generic_template(name: Column, description: Column) -> Column:
-    """Number of the first of eight checks that takes the name for a template, null for a sound name."""
-    low, said = norm_name(name), F.lower(F.btrim(F.coalesce(description, F.lit(""))))
-    words = words_of(name)
+    """Number of the first of eight checks that takes the name for a template, null for a sound name.
+
+    Over a table, with_template costs less.
+    """
+    return _checks(norm_name(name), F.lower(F.btrim(F.coalesce(description, F.lit("")))), words_of(name))
+
+
+def with_template(rows: DataFrame, column: str, name: str = "name", description: str = "description") -> DataFrame:
+    """rows with generic_template in a column; text is made ready once for each row, not once for each check."""
+    low = rows.withColumns({"__norm": norm_name(F.col(name)), "__said": F.lower(F.btrim(F.coalesce(description, F.lit("")))), "__words": words_of(F.col(name))})
+    return low.withColumn(column, _checks(F.col("__norm"), F.col("__said"), F.col("__words"))).drop("__norm", "__said", "__words")
+
+
+def _checks(low: Column, said: Column, words: Column) -> Column:
     verb, rest = F.get(words, F.lit(0)), F.array_join(F.slice(words, 2, 1_000_000), " ")
     noun, n = F.get(words, F.lit(1)), F.size(words)
     checks = [
-        said.rlike(STEP_PATTERN),
+        said.startswith("step") & said.rlike(STEP_PATTERN),
         match_rules(low, VAGUE_ACTION_PATTERNS).isNotNull(),
         match_rules(low, CONFUSING_PATTERNS).isNotNull(),
         verb.isin(NON_PHYSICAL_VERBS),

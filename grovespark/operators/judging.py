@@ -43,15 +43,25 @@ def valid_atomic(nodes: DataFrame, lexicon: DataFrame, most_words: int, key: str
     return nodes.join(hits, F.col(key) == F.col("__k"), "left_semi")
 
 
-def validate(name: Column, description: Column) -> Column:
-    """robot_internal:<pattern>, generic_template, cognitive_verb or ok: the first that applies."""
-    internal = F.concat(F.lit("robot_internal:"), R.match_rules(F.lower(name), W.ROBOT_INTERNAL))
-    return F.coalesce(internal, F.when(R.generic_template(name, description).isNotNull(), "generic_template"), F.when(cognitive_verb(name), "cognitive_verb"), F.lit("ok"))
+def validated(nodes: DataFrame, verdict: str = "verdict", name: str = "name", description: str = "description") -> DataFrame:
+    """nodes with the verdict: robot_internal:<pattern>, generic_template, cognitive_verb or ok, the first that applies.
+
+    Names are lowered in a column of their own, once for each row.
+    """
+    low = nodes.withColumn("__low", F.lower(name))
+    marked = R.with_template(low.withColumn("__internal", R.match_rules(F.col("__low"), W.ROBOT_INTERNAL)), "__check", name, description)
+    said = F.coalesce(F.concat(F.lit("robot_internal:"), "__internal"), F.when(F.col("__check").isNotNull(), "generic_template"), F.when(cognitive_verb(F.col(name)), "cognitive_verb"), F.lit("ok"))
+    return marked.withColumn(verdict, said).drop("__low", "__internal", "__check")
+
+
+def settled(rows: DataFrame, column: str) -> DataFrame:
+    """rows with the column worked out once: a filter on it stays above, where it would else repeat the expression below."""
+    return rows.withColumn(column, F.explode_outer(F.array(column)))
 
 
 def reject_records(nodes: DataFrame, parent: str = "parent_id") -> DataFrame:
     """(id, name, description, reason, pattern, parent_context) of the nodes whose name does not validate."""
-    judged = nodes.withColumn("__v", validate(F.col("name"), F.col("description"))).where("__v <> 'ok'")
+    judged = settled(validated(nodes, "__v"), "__v").where("__v <> 'ok'")
     pattern = F.when(F.col("__v").contains(":"), F.expr("substring(__v, locate(':', __v) + 1)"))
     return judged.select("id", "name", "description", F.substring_index("__v", ":", 1).alias("reason"), pattern.alias("pattern"), F.col(parent).alias("parent_context"))
 
@@ -64,8 +74,8 @@ def bad_pattern(name: Column) -> Column:
 def good_signs(name: Column) -> Column:
     """Signs of a sound name, the first of each kind: a manipulation verb, a tool phrase, a specific object."""
     low = F.lower(name)
-    verb = F.coalesce(*[F.when(low.startswith(v) | low.contains(f" {v} "), F.lit(f"verb:{v}")) for v in W.MANIPULATION_VERBS])
-    tool = F.coalesce(*[F.when(low.contains(t), F.lit(f"tool:{t}")) for t in W.TOOL_PHRASES])
+    verb = R.guarded(low, W.MANIPULATION_VERBS, lambda t: F.coalesce(*[F.when(t.startswith(v) | t.contains(f" {v} "), F.lit(f"verb:{v}")) for v in W.MANIPULATION_VERBS]))
+    tool = R.first_phrase(low, {t: f"tool:{t}" for t in W.TOOL_PHRASES})
     thing = F.when(R.match_rules(low, W.SPECIFIC_OBJECTS).isNotNull(), F.lit("object"))
     return F.filter(F.array(verb, tool, thing), lambda x: x.isNotNull())
 
@@ -114,12 +124,12 @@ def verb_groups(nodes: DataFrame, samples: int = 5) -> DataFrame:
 
 def value_scores(nodes: DataFrame) -> DataFrame:
     """(id, market, impressiveness, utility, difficulty, generality, total, tier, reasoning)."""
-    low = F.lower("name")
+    low = F.col("__low")
     premium = [(k, p) for k, phrases in R.PREMIUM_PHRASES.items() for p in phrases]
     trash = F.concat(F.lit("Trash: matches pattern '"), R.match_rules(low, R.TRASH_PATTERNS), F.lit("'"))
-    first = F.coalesce(*[F.when(low.contains(p), F.lit(f"Premium: {k} - {p}")) for k, p in premium])
-    demo = F.coalesce(*[F.when(low.contains(p), F.lit(f"Impressive demo: {p}")) for p in R.DEMONSTRATIONS])
-    said = nodes.select("id", F.coalesce(trash, first, demo, F.lit("Needs manual review")).alias("reasoning"))
+    first = R.first_phrase(low, {p: f"Premium: {k} - {p}" for k, p in premium})
+    demo = R.first_phrase(low, {p: f"Impressive demo: {p}" for p in R.DEMONSTRATIONS})
+    said = nodes.select("id", F.lower("name").alias("__low")).select("id", F.coalesce(trash, first, demo, F.lit("Needs manual review")).alias("reasoning"))
     action = F.when(F.col("reasoning").startswith("Trash"), "trash").when(F.col("reasoning").startswith("Premium"), "premium").when(F.col("reasoning").startswith("Impressive"), "demo").otherwise("default")
     acted = said.withColumn("__a", action)
     names = ("market", "impressiveness", "utility", "difficulty", "generality")

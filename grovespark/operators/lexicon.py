@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from grovespark.functions import rules as R
 from grovespark.functions.text import norm_name
+from grovespark.scratch import materialize
 
 
 def prefix_match(nodes: DataFrame, phrases: DataFrame, most_words: int, name: str = "name", key: str = "id") -> DataFrame:
@@ -21,12 +21,6 @@ def prefix_match(nodes: DataFrame, phrases: DataFrame, most_words: int, name: st
     return hits.groupBy(key).agg(F.max_by("phrase", F.length("phrase")).alias("phrase"))
 
 
-def verdict(name: Column, description: Column, patterns: list[str]) -> Column:
-    """robot_internal:<pattern>, generic_template or ok: the first that applies."""
-    internal = R.match_rules(F.lower(name), patterns)
-    return F.coalesce(F.concat(F.lit("robot_internal:"), internal), F.when(R.generic_template(name, description).isNotNull(), "generic_template"), F.lit("ok"))
-
-
 def stems(phrases: DataFrame, column: str, least: int = 3) -> DataFrame:
     """Text before the first underscore, with at least so many distinct phrases."""
     distinct = phrases.select(F.col(column).alias("v")).where("v is not null").distinct()
@@ -78,19 +72,43 @@ def statistics(rows: DataFrame, cognitive: DataFrame) -> DataFrame:
     return wide.unionByName(one(varied, "stems_with_variants")).unionByName(one(both, "overlap"))
 
 
-def covered(expected: DataFrame, actual: DataFrame, match: str = "exact", most: int = 20_000) -> DataFrame:
-    """expected(group, phrase) with found: whether an actual phrase equals it, or (match 'substring') holds it.
+#: Characters of a gram of the substring index; shorter phrases are grams of their own length.
+GRAM = 4
+
+
+def _grams(text: str, lengths: list[int]) -> Column:
+    """The distinct parts of the text of each of these lengths."""
+    each = lambda k: F.when(F.length(text) >= k, F.transform(F.sequence(F.lit(1), F.length(text) - k + 1), lambda i: F.substring(F.col(text), i, F.lit(k)))).otherwise(F.array().cast("array<string>"))
+    return F.array_distinct(F.flatten(F.array(*[each(k) for k in lengths])))
+
+
+def held_phrases(wanted: DataFrame, actual: DataFrame) -> DataFrame:
+    """The distinct wanted(phrase) that some actual(phrase) holds as a substring.
 
-    The substring test has no key. Its expected side is broadcast after a check of its size: `most` distinct phrases.
+    Actual phrases are indexed by their grams. A wanted phrase looks up its rarest gram alone, by an equi-join, and only
+    phrases that hold it are searched; one with a gram that no phrase has is gone before that. Null and empty are held by
+    none.
     """
+    wanted = wanted.select("phrase").where("phrase <> ''").distinct().select("phrase", F.least(F.length("phrase"), F.lit(GRAM)).alias("k"))
+    wanted = materialize(wanted)
+    lengths = sorted(r.k for r in wanted.select("k").distinct().collect())  # at most GRAM
+    if not lengths:
+        return wanted.select("phrase")
+    asked = wanted.select("phrase", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("phrase") - F.col("k") + 1), lambda i: F.substring(F.col("phrase"), i, F.col("k"))))).alias("gram"))
+    index = materialize(actual.select(F.col("phrase").alias("__a")).where("__a is not null").distinct().select("__a", F.explode(_grams("__a", lengths)).alias("gram")))
+    known = index.groupBy("gram").agg(F.count("*").alias("n"))
+    rated = asked.join(known, "gram", "left").groupBy("phrase").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram")).alias("m"))
+    rarest = rated.where("m.n > 0").select("phrase", F.col("m.gram").alias("gram"))
+    return rarest.join(index, "gram").where(F.col("__a").contains(F.col("phrase"))).select("phrase").distinct()
+
+
+def covered(expected: DataFrame, actual: DataFrame, match: str = "exact") -> DataFrame:
+    """expected(group, phrase) with found: whether an actual phrase equals it, or (match 'substring') holds it."""
     if match == "exact":
-        known = actual.select("phrase").distinct().withColumn("__f", F.lit(True))
-        return expected.join(known, "phrase", "left").select("group", "phrase", F.coalesce("__f", F.lit(False)).alias("found"))
-    wanted = expected.select("phrase").distinct()
-    if wanted.limit(most + 1).count() > most:
-        raise ValueError(f"more than {most} expected phrases: use exact matching")
-    held = actual.select(F.col("phrase").alias("__a")).distinct().join(F.broadcast(wanted), F.col("__a").contains(F.col("phrase"))).select("phrase").distinct().withColumn("__f", F.lit(True))
-    return expected.join(held, "phrase", "left").select("group", "phrase", F.coalesce("__f", F.lit(False)).alias("found"))
+        hits = actual.select("phrase").distinct()
+    else:
+        hits = held_phrases(expected, actual)
+    return expected.join(hits.withColumn("__f", F.lit(True)), "phrase", "left").select("group", "phrase", F.coalesce("__f", F.lit(False)).alias("found"))
 
 
 def coverage_by_group(marked: DataFrame, least: int) -> DataFrame:

@@ -27,26 +27,6 @@ def sessions(events: DataFrame, user: str, ts: str, gap: str) -> DataFrame:
     return events.groupBy(user, w.alias("w")).agg(F.count("*").alias("n_events")).select(user, F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end"), "n_events")
 
 
-def coverage(domains: DataFrame, found: DataFrame, expected: list[str], least: int) -> DataFrame:
-    """(domain, n_found, missing, passed): which of the expected phrases a domain has; found is (domain, phrase)."""
-    wanted = domains.select("domain", F.explode(F.array(*map(F.lit, expected))).alias("phrase"))
-    marked = wanted.join(found.select("domain", "phrase").distinct().withColumn("__f", F.lit(True)), ["domain", "phrase"], "left")
-    missing = F.array_join(F.array_sort(F.collect_list(F.when(F.col("__f").isNull(), F.col("phrase")))), ",")
-    return marked.groupBy("domain").agg(F.count("__f").alias("n_found"), missing.alias("missing")).withColumn("passed", F.col("n_found") >= least)
-
-
-def qa_suite(rows: DataFrame, checks: list[tuple[str, Column, float, float]]) -> DataFrame:
-    """(check_name, pct, status): each check is a condition with the percent of rows up to which it passes or warns.
-
-    All checks are counted in one pass over the rows.
-    """
-    n = F.greatest(F.count("*"), F.lit(1))
-    counted = rows.agg(*[F.round(100.0 * F.count_if(bad) / n, 2).alias(f"__{i}") for i, (_, bad, _, _) in enumerate(checks)])
-    status = lambda c, ok, warn: F.when(c <= ok, "PASS").when(c <= warn, "WARN").otherwise("FAIL")
-    each = [F.struct(F.lit(name).alias("check_name"), F.col(f"__{i}").alias("pct"), status(F.col(f"__{i}"), ok, warn).alias("status")) for i, (name, _, ok, warn) in enumerate(checks)]
-    return counted.select(F.explode(F.array(*each)).alias("c")).select("c.*")
-
-
 def long_form(row: DataFrame, names: list[str]) -> DataFrame:
     """(metric, value) rows of a one-row table of numbers."""
     return row.select(F.explode(F.array(*[F.struct(F.lit(n).alias("metric"), F.col(n).cast("double").alias("value")) for n in names])).alias("m")).select("m.*")
@@ -146,7 +126,9 @@ def progress_rates(events: DataFrame, ts: str, goal: int) -> DataFrame:
     done = progress(events, ts)
     start = done.agg(F.min("minute").alias("__s"))
     elapsed = (F.unix_timestamp("minute") - F.unix_timestamp("__s")) / 60 + 1
-    rated = done.join(F.broadcast(start)).withColumn("rate", F.round(F.col("done") / elapsed, 4))
+    # a quotient of whole numbers as a decimal: a double may lie on either side of a half
+    exact = (F.col("done").cast("decimal(18,0)") / elapsed.cast("decimal(18,0)")).cast("decimal(38,12)")
+    rated = done.join(F.broadcast(start)).withColumn("rate", F.round(exact, 4).cast("double"))
     return rated.withColumn("eta", F.when(F.col("done") < goal, F.round(F.try_divide(goal - F.col("done"), F.col("done") / elapsed), 2)).otherwise(0.0)).select("minute", "n_events", "done", "rate", "eta")
 
 

@@ -56,7 +56,7 @@ def by_source(n):
     return n.where(F.array_contains("sources", "llm_generated")).select("id", "name")
 
 
-@query("SELECT id, node_type FROM n WHERE NOT EXISTS (SELECT 1 FROM n c WHERE c.parent_id = n.id)")
+@query("SELECT id, node_type FROM n LEFT JOIN (SELECT parent_id AS p FROM n WHERE parent_id IS NOT NULL GROUP BY 1) ON p = id WHERE p IS NULL")
 def leaves(n):
     return n.join(n.select(F.col("parent_id").alias("__p")).where("__p is not null").distinct(), F.col("id") == F.col("__p"), "left_anti").select("id", "node_type")
 
@@ -98,7 +98,7 @@ def issue_histogram(n):
 
 @query(f"SELECT id, check_no FROM (SELECT id, {_GENERIC} AS check_no FROM (SELECT *, {_WORDS} AS w FROM n)) WHERE check_no IS NOT NULL")
 def generic_template(n):
-    return n.select("id", R.generic_template(F.col("name"), F.col("description")).alias("check_no")).where("check_no is not null")
+    return judging.settled(R.with_template(n.select("id", "name", "description"), "check_no"), "check_no").where("check_no is not null").select("id", "check_no")
 
 
 @query(f"SELECT tier, count(t) AS n_nodes, round(100.0 * count(t) / greatest(1, sum(count(t)) OVER ()), 2) AS pct FROM (VALUES ('PREMIUM'),('HIGH'),('MEDIUM'),('LOW'),('TRASH')) d(tier) LEFT JOIN (SELECT CASE {_ACTION} WHEN 'trash' THEN 'TRASH' WHEN 'premium' THEN 'HIGH' WHEN 'demo' THEN 'PREMIUM' ELSE 'MEDIUM' END AS t FROM n WHERE node_type <> 'domain') ON t = tier GROUP BY tier")
@@ -126,11 +126,11 @@ def graph_stats(n):
 
 @query(f"SELECT string_split(id,'/')[1] AS domain, count(*) AS total, count(*) FILTER (WHERE list_contains(sources,'llm_generated')) AS generated, count(*) FILTER (WHERE regexp_matches(lower(trim(description)), '^step\\s+\\d+\\s*:')) AS step, count(*) FILTER (WHERE ({_GENERIC}) IS NOT NULL) AS template, count(*) FILTER (WHERE coalesce(description,'')='') AS empty FROM (SELECT *, {_WORDS} AS w FROM n) GROUP BY 1")
 def quality_summary(n):
-    judged = n.withColumn("domain", T.domain_of(F.col("id"))).withColumn("check_no", R.generic_template(F.col("name"), F.col("description")))
+    judged = R.with_template(n.withColumn("domain", T.domain_of(F.col("id"))), "check_no")
     return judged.groupBy("domain").agg(F.count("*").alias("total"), F.count_if(F.array_contains("sources", "llm_generated")).alias("generated"), F.count_if(R.step_description(F.col("description"))).alias("step"), F.count_if(F.col("check_no").isNotNull()).alias("template"), F.count_if(F.coalesce("description", F.lit("")) == "").alias("empty"))
 
 
-@query("SELECT a.id, coalesce(b.name,'unknown') AS parent_name, coalesce(b.node_type,'unknown') AS parent_type FROM n a LEFT JOIN n b ON a.parent_id = b.id")
+@query("SELECT n.id, coalesce(nm,'unknown') AS parent_name, coalesce(nt,'unknown') AS parent_type FROM n LEFT JOIN (SELECT id AS i, any_value(name) AS nm, any_value(node_type) AS nt FROM n GROUP BY 1) ON i = parent_id")
 def parent_lookup(n):
     return tree.parent_lookup(n).select("id", "parent_name", "parent_type")
 
@@ -140,9 +140,11 @@ def rebuild_children(n):
     return tree.rebuild_children(n).where(F.size("children_ids") > 0).select("id", F.size("children_ids").cast("long").alias("n_children"), F.array_join("children_ids", ",").alias("children"))
 
 
-@query("SELECT id FROM n WHERE parent_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM n p WHERE p.id = n.parent_id)")
+@query("SELECT id, parent_id FROM n WHERE node_type = 'atomic' AND parent_id IN (SELECT id FROM n WHERE description = 'F' GROUP BY 1)")
 def orphans(n):
-    return tree.orphans(n).select("id")
+    # a forest from which the finished orders were taken out without their lines
+    left = n.where("node_type <> 'subtask' or coalesce(description, '') <> 'F'")
+    return tree.orphans(left).select("id", "parent_id")
 
 
 @query(", up AS (SELECT id, parent_id AS ancestor_id, 1 AS distance FROM n WHERE parent_id IS NOT NULL), u2 AS (SELECT u.id, n.parent_id AS ancestor_id, 2 AS distance FROM up u JOIN n ON n.id=u.ancestor_id WHERE n.parent_id IS NOT NULL), u3 AS (SELECT u.id, n.parent_id AS ancestor_id, 3 AS distance FROM u2 u JOIN n ON n.id=u.ancestor_id WHERE n.parent_id IS NOT NULL), u4 AS (SELECT u.id, n.parent_id AS ancestor_id, 4 AS distance FROM u3 u JOIN n ON n.id=u.ancestor_id WHERE n.parent_id IS NOT NULL) SELECT * FROM up UNION ALL SELECT * FROM u2 UNION ALL SELECT * FROM u3 UNION ALL SELECT * FROM u4")

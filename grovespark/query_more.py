@@ -41,14 +41,14 @@ _BAD = _first("lower(name)", W.ALL_BAD)
 _INTERNAL = _first("lower(name)", W.ROBOT_INTERNAL)
 _COGNITIVE = _phrase(_LOW, W.COGNITIVE_VERBS)
 _VERDICT = f"CASE WHEN ({_INTERNAL}) IS NOT NULL THEN 'robot_internal:' || ({_INTERNAL}) WHEN ({_GENERIC}) IS NOT NULL THEN 'generic_template' WHEN {_COGNITIVE} THEN 'cognitive_verb' ELSE 'ok' END"
-_LEXICON = "(SELECT string_split(id,'/')[1] AS category, CASE WHEN node_type = 'atomic' THEN regexp_replace(lower(name), ' ', '_') ELSE lower(name) END AS phrase FROM n WHERE node_type IN ('atomic','subtask') AND len(string_split(id,'/')) <> 3)"
+_LEXICON = "(SELECT string_split(id,'/')[1] AS category, CASE WHEN node_type = 'atomic' THEN regexp_replace(lower(name), ' ', '_') ELSE lower(name) END AS phrase FROM n WHERE node_type IN ('atomic','subtask'))"
 
 
 def _lexicon(n: DataFrame) -> DataFrame:
-    """Raw lexicon rows (category, phrase): atomic names in snake form, names of the level above as they stand."""
+    """Raw lexicon rows (category, phrase): atomic names in snake form, names of the levels above as they stand."""
     phrase = F.when(F.col("node_type") == "atomic", F.regexp_replace(F.lower("name"), " ", "_", )).otherwise(F.lower("name"))
     first = F.when(F.col("node_type") == "atomic", F.expr("concat(substring_index(lower(name), ' ', 1), if(instr(name, ' ') > 0, concat('_', substring(lower(name), instr(name, ' ') + 1)), ''))")).otherwise(phrase)
-    return n.where("node_type in ('atomic', 'subtask')").where(F.size(F.split("id", "/")) != 3).select(T.domain_of(F.col("id")).alias("category"), first.alias("phrase"))
+    return n.where("node_type in ('atomic', 'subtask')").select(T.domain_of(F.col("id")).alias("category"), first.alias("phrase"))
 
 
 @query(f"SELECT id, pattern FROM (SELECT id, {_INTERNAL} AS pattern FROM n) WHERE pattern IS NOT NULL")
@@ -87,7 +87,7 @@ def obvious_atomic(n):
 
 @query(f"SELECT id, {_VERDICT} AS verdict FROM (SELECT *, {_WORDS} AS w FROM n) WHERE node_type = 'atomic'")
 def validate_name(n):
-    return n.where("node_type = 'atomic'").select("id", judging.validate(F.col("name"), F.col("description")).alias("verdict"))
+    return judging.validated(n.where("node_type = 'atomic'")).select("id", "verdict")
 
 
 @query(f"SELECT id, string_split(v, ':')[1] AS reason, CASE WHEN contains(v, ':') THEN substr(v, strpos(v, ':') + 1) END AS pattern, parent_id AS parent_context FROM (SELECT id, parent_id, {_VERDICT} AS v FROM (SELECT *, {_WORDS} AS w FROM n)) WHERE v <> 'ok'")
@@ -198,7 +198,7 @@ def _ratings(n: DataFrame) -> DataFrame:
     return _table_of(n, "events").join(people, "user_id").select("id", F.col("event_type").alias("tier"), "ts", F.col("event_id").alias("tie"))
 
 
-@query(f"SELECT n.id, name, rating FROM n JOIN {_LAST} l ON l.id = n.id")
+@query(f"SELECT id, any_value(name) AS name, any_value(rating) AS rating FROM (SELECT id, name, NULL AS rating FROM n UNION ALL SELECT id, NULL, rating FROM {_LAST}) GROUP BY id HAVING any_value(rating) IS NOT NULL AND any_value(name) IS NOT NULL")
 def export_decisions(n):
     return decisions.export_decisions(n, _ratings(n))[0]
 
@@ -227,7 +227,7 @@ def matching_ids(n):
 _MOVES = "(SELECT id, arg_max({0}, (ts, tie)) AS v FROM (SELECT id, ts, tie, CASE WHEN tie % 2 = 0 THEN 'trainable' ELSE 'archived' END AS f, CASE WHEN tie % 3 = 0 THEN 'ambiguous' ELSE 'archived' END AS t FROM " + _RATINGS + ") GROUP BY id)"
 
 
-@query(f"SELECT n.id, CASE WHEN f.v = b THEN t.v ELSE b END AS bucket, CASE WHEN f.v = b AND t.v = 'archived' THEN 'Manually archived: ' || regexp_split_to_array(lower(name), '[\\s,.(]')[1] END AS reason, coalesce(f.v = b, false) AS moved, coalesce(f.v <> b, false) AS wrong_source FROM (SELECT *, CASE WHEN ({_TRASH_FIRST}) IS NULL THEN 'trainable' ELSE 'archived' END AS b FROM n) n LEFT JOIN {_MOVES.format('f')} f ON f.id = n.id LEFT JOIN {_MOVES.format('t')} t ON t.id = n.id")
+@query(f"SELECT id, CASE WHEN f = b THEN t ELSE b END AS bucket, CASE WHEN f = b AND t = 'archived' THEN 'Manually archived: ' || regexp_split_to_array(lower(name), '[\\s,.(]')[1] END AS reason, coalesce(f = b, false) AS moved, coalesce(f <> b, false) AS wrong_source FROM (SELECT id, any_value(name) AS name, any_value(b) AS b, any_value(f) AS f, any_value(t) AS t FROM (SELECT id, name, CASE WHEN ({_TRASH_FIRST}) IS NULL THEN 'trainable' ELSE 'archived' END AS b, NULL AS f, NULL AS t FROM n UNION ALL SELECT id, NULL, NULL, v, NULL FROM {_MOVES.format('f')} UNION ALL SELECT id, NULL, NULL, NULL, v FROM {_MOVES.format('t')}) GROUP BY id)")
 def bucket_move(n):
     placed = n.withColumn("bucket", F.when(R.match_rules(F.lower("name"), R.TRASH_PATTERNS).isNull(), "trainable").otherwise("archived"))
     moves = _ratings(n).withColumn("from", F.when(F.col("tie") % 2 == 0, "trainable").otherwise("archived")).withColumn("to", F.when(F.col("tie") % 3 == 0, "ambiguous").otherwise("archived"))
@@ -460,9 +460,26 @@ def _expected(n: DataFrame) -> DataFrame:
     return W.lexicon_table(n.sparkSession).where("set_name in ('cognitive', 'manipulation')").select(F.col("set_name").alias("group"), "phrase")
 
 
-@query("SELECT DISTINCT phrase FROM " + _EXPECTED)
+@query("SELECT regexp_split_to_array(lower(name), '[\\s_]')[1] AS phrase FROM n WHERE node_type = 'atomic' UNION SELECT string_split(lower(p_name), ' ')[1] FROM part")
 def union_distinct_verbs(n):
-    return _expected(n).select("phrase").distinct()
+    heard = n.where("node_type = 'atomic'").select(F.split(F.lower("name"), r"[\s_]")[0].alias("phrase"))
+    return heard.union(_table_of(n, "part").select(F.split(F.lower("p_name"), " ")[0])).distinct()
+
+
+# expected verbs by domain: each kind of part expects the words of its parts' names, and the whole names
+_WANTED = "(SELECT p_type AS \"group\", unnest(list_append(string_split(lower(p_name), ' '), lower(p_name))) AS phrase FROM part)"
+
+
+def _wanted(n: DataFrame) -> DataFrame:
+    words = F.explode(F.concat(F.split(F.lower("p_name"), " "), F.array(F.lower("p_name"))))
+    return _table_of(n, "part").select(F.col("p_type").alias("group"), words.alias("phrase")).distinct()
+
+
+@query(f", ac AS (SELECT DISTINCT phrase AS a FROM {_LEXICON}), e AS (SELECT DISTINCT * FROM {_WANTED}), f AS (SELECT phrase, bool_or(contains(a, phrase)) AS hit FROM (SELECT DISTINCT phrase FROM e) CROSS JOIN ac GROUP BY phrase) SELECT \"group\", count(*) AS n_expected, count(*) FILTER (WHERE hit) AS n_found, CAST(floor(10000 * count(*) FILTER (WHERE hit) / count(*)) AS BIGINT) AS basis_points, coalesce(string_agg(CASE WHEN NOT hit THEN phrase END, ',' ORDER BY phrase), '') AS missing FROM e JOIN f USING (phrase) GROUP BY 1")
+def coverage_by_domain(n):
+    marked = lexicon.covered(_wanted(n), _lexicon(n).select("phrase").distinct(), "substring")
+    out = lexicon.coverage_by_group(marked, 90)
+    return out.select("group", "n_expected", "n_found", F.expr("n_found * 10000 div n_expected").alias("basis_points"), "missing")
 
 
 @query(f"SELECT phrase FROM {_EXPECTED} EXCEPT SELECT string_split(phrase, '_')[1] FROM {_LEXICON}")
@@ -522,7 +539,7 @@ def usage_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
     return requests.usage_cost(usage, spark.createDataFrame(requests.PRICES, "model string, input double, output double, thinking double"), ["role"])
 
 
-@query("SELECT minute, n_events, done, round(done / (e + 1), 4) AS rate, CASE WHEN done < 20000 THEN round((20000 - done) / (done / (e + 1)), 2) ELSE 0.0 END AS eta FROM (SELECT *, CAST(sum(n_events) OVER (ORDER BY minute) AS BIGINT) AS done, epoch(minute - (SELECT date_trunc('minute', min(ts)) FROM events)) / 60 AS e FROM (SELECT date_trunc('minute', ts) AS minute, count(*) AS n_events FROM events GROUP BY 1))", forest=False)
+@query("SELECT minute, n_events, done, ((done * 20000 + (e + 1)) // (2 * (e + 1))) / 10000.0 AS rate, CASE WHEN done < 20000 THEN round((20000 - done) / (done / (e + 1)), 2) ELSE 0.0 END AS eta FROM (SELECT *, CAST(sum(n_events) OVER (ORDER BY minute) AS BIGINT) AS done, CAST(epoch(minute - (SELECT date_trunc('minute', min(ts)) FROM events)) / 60 AS BIGINT) AS e FROM (SELECT date_trunc('minute', ts) AS minute, count(*) AS n_events FROM events GROUP BY 1))", forest=False)
 def progress_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.progress_rates(_table(spark, sf_dir, "events"), "ts", 20000)
 
@@ -572,6 +589,17 @@ def import_publish(n):
     return nodes_io.from_published(nodes_io.to_published(whole)).select("id", "name", "node_type", "description", "parent_id")
 
 
+@query("""WITH fresh AS (SELECT lower(trim(p_name)) AS nm, min({'o': p_partkey, 'd': 'new ' || p_type, 'c': p_type || ' things', 'n': p_name}) AS m FROM part WHERE lower(trim(p_name)) NOT IN (SELECT lower(trim(n_name)) FROM nation) GROUP BY 1),
+ p AS (SELECT m.o AS o, replace(lower(m.d), ' ', '_') AS did, m.d AS d, replace(lower(m.d), ' ', '_') || '/' || replace(lower(m.c), ' ', '_') AS cid, m.c AS c, m.n AS n FROM fresh)
+ SELECT did AS id, NULL AS parent_id, min(d) AS name, 'domain' AS node_type FROM p GROUP BY did UNION ALL SELECT cid, did, min(c), 'task' FROM p GROUP BY cid, did
+ UNION ALL SELECT cid || '/' || replace(lower(n), ' ', '_'), cid, arg_min(n, o), 'subtask' FROM p GROUP BY 1, 2""", forest=False)
+def merge_subtrees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as a nested batch, by new domains and categories, into a forest of nations."""
+    forest = _table(spark, sf_dir, "nation").select(T.slug(F.col("n_name")).alias("id"), F.lit(None).cast("string").alias("parent_id"), F.col("n_name").alias("name"), F.lit("domain").alias("node_type"))
+    batch = _table(spark, sf_dir, "part").select(F.concat(F.lit("new "), "p_type").alias("domain"), F.concat("p_type", F.lit(" things")).alias("category"), F.col("p_name").alias("name"), F.col("p_partkey").alias("ordinal"))
+    return responses.merge_subtrees(forest, batch).select("id", "parent_id", "name", "node_type")
+
+
 @query("SELECT 'asia/' || replace(p, ' ', '_') AS id, 'asia' AS parent_id, p AS name FROM (SELECT DISTINCT lower(trim(p_name)) AS p FROM part) WHERE p NOT IN (SELECT lower(trim(name)) FROM n)")
 def merge_batches(n):
     batch = _table_of(n, "part").select(F.lit("asia").alias("parent_id"), F.lower("p_name").alias("name"), F.col("p_partkey").alias("ordinal"))
@@ -611,10 +639,10 @@ def attach_completion(n):
     return responses.attach_completion(n.where("node_type in ('task', 'domain')"), said).select("id", F.col("completion.preconditions").alias("pre"), F.col("completion.postconditions").alias("post"))
 
 
-@query("SELECT id FROM n WHERE parent_id IS NOT NULL AND starts_with(id, 'asia')")
+@query("SELECT id, CASE WHEN starts_with(id, 'asia') THEN name || '!' ELSE name END AS name FROM n")
 def upsert_nodes(n):
-    # the task level of one domain comes anew, with nodes whose parents are missing beside it
-    asia = n.where("id like 'asia%'").select("id", "parent_id", "name", F.lit(1).alias("ordinal"))
+    # the nodes of one domain come anew under other names, with nodes whose parents are missing beside them
+    asia = n.where("id like 'asia%'").select("id", "parent_id", F.concat("name", F.lit("!")).alias("name"), F.lit(1).alias("ordinal"))
     lost = _table_of(n, "nation").select(F.concat(F.lit("nowhere/"), F.lower("n_name"), F.lit("/x")).alias("id"), F.concat(F.lit("nowhere/"), F.lower("n_name")).alias("parent_id"), F.col("n_name").alias("name"), F.lit(2).alias("ordinal"))
-    out, _ = nodes_io.upsert_nodes(n.where("id like 'asia%'").select("id", "parent_id", "name"), asia.unionByName(lost), "ordinal")
-    return out.where("parent_id is not null").select("id")
+    out, _ = nodes_io.upsert_nodes(n.select("id", "parent_id", "name"), asia.unionByName(lost), "ordinal")
+    return out.select("id", "name")

@@ -55,7 +55,7 @@ def dangling_refs(n):
     return tree.drop_references(tree.rebuild_children(n), gone).where(F.size("children_ids") > 0).select("id", F.array_join("children_ids", ",").alias("children"))
 
 
-@query("SELECT n.id, concat_ws(' > ', d.name, c.name, b.name, a.name, n.name) AS breadcrumb FROM n LEFT JOIN n a ON a.id = n.parent_id LEFT JOIN n b ON b.id = a.parent_id LEFT JOIN n c ON c.id = b.parent_id LEFT JOIN n d ON d.id = c.parent_id")
+@query(", s AS (SELECT id, unnest(list_transform(range(1, len(string_split(id,'/')) + 1), lambda k: {'k': k, 'up': array_to_string(string_split(id,'/')[1:k], '/')}), recursive := true) FROM n), nm AS (SELECT id AS i, any_value(name) AS name FROM n GROUP BY 1) SELECT id, string_agg(name, ' > ' ORDER BY k) AS breadcrumb FROM s JOIN nm ON i = up GROUP BY id")
 def breadcrumb(n):
     return tree.breadcrumb(n)
 

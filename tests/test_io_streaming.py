@@ -4,6 +4,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from grovespark.functions import rules
 from grovespark.operators import lexicon, reports
 from grovespark.sources import nodes_io as io
 from grovespark.streaming import jobs
@@ -66,7 +67,7 @@ def drain(spark, df, name, mode):
 
 def test_stream_judge(spark, tmp_path):
     s = events(spark, tmp_path, [("wash dishes", ""), ("calibrate arm", "")], "name string, description string")
-    judged = lexicon.verdict(F.col("name"), F.col("description"), ["calibrate"])
+    judged = F.coalesce(F.concat(F.lit("robot_internal:"), rules.match_rules(F.lower("name"), ["calibrate"])), F.lit("ok"))
     jobs.judge(s, judged, str(tmp_path / "ok"), str(tmp_path / "no"), str(tmp_path / "cp"), availableNow=True).awaitTermination()
     assert [r.name for r in spark.read.parquet(str(tmp_path / "ok")).collect()] == ["wash dishes"]
     assert [r.verdict for r in spark.read.parquet(str(tmp_path / "no")).collect()] == ["robot_internal:calibrate"]
