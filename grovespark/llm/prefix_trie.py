@@ -20,6 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from grovespark.llm.prefilter import likely
 from grovespark.llm.scratch import discard, materialize
 from grovespark.session import ensure_on_workers
 
@@ -62,9 +63,11 @@ def ordered_turns(df: DataFrame, conv: str, turn: str, role: str, text: str, tri
 
 
 def same_turns(turns: DataFrame) -> bool:
-    """Whether turns of equal digests are equal. Only texts whose digest occurs again are compared."""
-    again = turns.groupBy("d0", "d1").agg(F.count("*").alias("n")).where("n > 1").select("d0", "d1")
-    ends = turns.join(again, ["d0", "d1"], "left_semi").groupBy("d0", "d1").agg(F.min(F.struct("role", "text")).alias("a"), F.max(F.struct("role", "text")).alias("b"))
+    """Whether turns of equal digests are equal. Only texts whose digest occurs again are compared, and a text that very
+    many turns share is brought down to one row in each task before it moves."""
+    at = turns.withColumn("__at", F.xxhash64("d0", "d1"))
+    again = materialize(at.groupBy("d0", "d1").agg(F.count("*").alias("n"), F.first("__at").alias("__at")).where("n > 1").select("__at"))
+    ends = likely(at, again, "__at").groupBy("d0", "d1").agg(F.min(F.struct("role", "text")).alias("a"), F.max(F.struct("role", "text")).alias("b"))
     return ends.where("a <> b").isEmpty()
 
 
