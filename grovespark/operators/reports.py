@@ -27,6 +27,55 @@ def sessions(events: DataFrame, user: str, ts: str, gap: str) -> DataFrame:
     return events.groupBy(user, w.alias("w")).agg(F.count("*").alias("n_events")).select(user, F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end"), "n_events")
 
 
+def measured(rows: DataFrame, checks: dict[str, Column], by: str) -> DataFrame:
+    """(scope, check_name, value): the percent of rows for which each check holds, over all (scope `all`) and for each
+    value of `by`, in one aggregation. Percents are whole hundredths, rounded down."""
+    flags = rows.select(F.col(by).alias("__by"), *[F.coalesce(c, F.lit(False)).alias(f"__c{i}") for i, c in enumerate(checks.values())])
+    share = lambda i: F.expr(f"count_if(__c{i}) * 10000 div count(*)") / 100
+    each = flags.groupingSets([[], [F.col("__by")]], "__by").agg(F.grouping("__by").alias("__all"), *[share(i).alias(f"__v{i}") for i in range(len(checks))])
+    listed = F.explode(F.array(*[F.struct(F.lit(name).alias("check_name"), F.col(f"__v{i}").alias("value")) for i, name in enumerate(checks)]))
+    return each.select(F.when(F.col("__all") == 1, "all").otherwise(F.col("__by")).alias("scope"), listed.alias("c")).select("scope", "c.*")
+
+
+def graded_by_scope(metrics: DataFrame, checks: DataFrame) -> DataFrame:
+    """(scope, check_name, value, status) of metrics(scope, check_name, value) by checks(scope, check_name, side, ok, warn):
+    rows of limits. A scope takes its own row of a check where there is one, else the row of scope `*`."""
+    own = metrics.join(checks.where("scope <> '*'"), ["scope", "check_name"], "left")
+    default = checks.where("scope = '*'").select("check_name", *[F.col(c).alias(f"__{c}") for c in ("side", "ok", "warn")])
+    both = own.join(F.broadcast(default), "check_name", "left") if default.limit(10_001).count() <= 10_000 else own.join(default, "check_name", "left")
+    side, ok, warn = (F.coalesce(c, f"__{c}") for c in ("side", "ok", "warn"))
+    reaches = lambda limit: F.when(side == "min", F.col("value") >= limit).otherwise(F.col("value") <= limit)
+    return both.select("scope", "check_name", "value", F.when(reaches(ok), "PASS").when(reaches(warn), "WARN").otherwise("FAIL").alias("status"))
+
+
+def quality_counters(nodes: DataFrame, lexicon: DataFrame, most_words: int) -> DataFrame:
+    """One row: all nodes, those generated, and of the generated ones: without a description, with step text, templates,
+    atomic ones whose name the lexicon knows and doesn't know, and good ones, which have no fault."""
+    from grovespark.functions import rules as R
+    from grovespark.operators.judging import valid_atomic
+
+    known = valid_atomic(nodes.where("node_type = 'atomic'"), lexicon, most_words).select(F.col("id").alias("__id"), F.lit(True).alias("__valid"))
+    marked = R.with_template(nodes.join(known, F.col("id") == F.col("__id"), "left"), "__check")
+    made, atomic, valid = F.array_contains("sources", "llm_generated"), F.col("node_type") == "atomic", F.coalesce("__valid", F.lit(False))
+    faults = {"empty_description": F.coalesce("description", F.lit("")) == "", "step_description": R.step_description(F.col("description")), "template": F.col("__check").isNotNull(), "invalid_atomic": atomic & ~valid}
+    flags = marked.select(made.alias("__made"), (atomic & valid).alias("valid_atomic"), *[c.alias(k) for k, c in faults.items()])
+    good = ~F.greatest(*[F.col(k) for k in faults])
+    count = lambda c: F.count_if(F.col("__made") & c)
+    return flags.agg(F.count("*").alias("total"), F.count_if("__made").alias("generated"), *[count(F.col(k)).alias(k) for k in (*faults, "valid_atomic")], count(good).alias("good"))
+
+
+def domain_breakdown(rows: DataFrame, levels: list[str], distinct: str) -> DataFrame:
+    """(levels, n_distinct, n_rows) for all, and for each prefix of levels: distinct values of a column inside a rollup.
+
+    Rows are first brought down to one for each levels and value; a value may lie under several of the last levels, so each
+    prefix counts those anew, from what is left after the first step.
+    """
+    once = rows.groupBy(*levels, distinct).agg(F.count("*").alias("__k"))
+    sets = [[F.col(c) for c in levels[:i]] + [F.col(distinct)] for i in range(len(levels) + 1)]
+    step = once.groupingSets(sets, *[F.col(c) for c in levels], F.col(distinct)).agg(F.grouping_id().alias("__set"), F.sum("__k").alias("__k"))
+    return step.groupBy("__set", *levels).agg(F.count(distinct).alias("n_distinct"), F.sum("__k").alias("n_rows")).drop("__set")
+
+
 def long_form(row: DataFrame, names: list[str]) -> DataFrame:
     """(metric, value) rows of a one-row table of numbers."""
     return row.select(F.explode(F.array(*[F.struct(F.lit(n).alias("metric"), F.col(n).cast("double").alias("value")) for n in names])).alias("m")).select("m.*")

@@ -1,12 +1,15 @@
-"""Registered queries along parent_id: forests whose ids say nothing of their place, each with a recursive SQL form."""
+"""Registered queries along parent_id, with recursive SQL forms, and reports by domain, bucket and category."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grovespark.operators import chains
-from grovespark.queries import query
+from grovespark.functions import rules as R
+from grovespark.functions import text as T
+from grovespark.operators import chains, judging, reports
+from grovespark.queries import _GENERIC, _TRASH_FIRST, _WORDS, _any, query
+from grovespark.functions import families as W
 
 # the projected forest under opaque ids, and an order among siblings that follows neither ids nor names
 _OPAQUE = "o AS MATERIALIZED (SELECT md5(id) AS id, md5(parent_id) AS parent_id, name, node_type, md5('o' || id) AS ord FROM n)"
@@ -76,3 +79,49 @@ def chain_depths(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"WITH {_DEEP}, w AS (SELECT id, [-id] AS ords FROM o WHERE parent_id IS NULL UNION ALL SELECT o.id, list_append(w.ords, -o.id) FROM w JOIN o ON o.parent_id = w.id) SELECT id, row_number() OVER (ORDER BY ords) - 1 AS position FROM w", forest=False)
 def deep_preorder(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chains.preorder(_deep(spark, sf_dir).withColumn("down", -F.col("id")), ["down"]).select("id", "position")
+
+
+_STEP = "regexp_matches(lower(trim(coalesce(description, ''))), '^step\\s+\\d+\\s*:')"
+_LIMITS = [("*", "step", "max", 10.0, 20.0), ("*", "empty", "max", 10.0, 20.0), ("*", "template", "max", 10.0, 20.0), ("*", "good_verb", "min", 50.0, 30.0), ("asia", "empty", "max", 1.0, 2.0), ("all", "good_verb", "min", 90.0, 80.0)]
+
+
+@query(f""", f AS (SELECT string_split(id,'/')[1] AS d, {_STEP} AS step, coalesce(description, '') = '' AS empty, ({_GENERIC}) IS NOT NULL AS template, {_any('lower(name)', W.MANIPULATION_VERBS)} AS good_verb FROM (SELECT *, {_WORDS} AS w FROM n)),
+ m AS (SELECT coalesce(d, 'all') AS scope, unnest([{', '.join(f"{{'c': '{c}', 'v': (count(*) FILTER (WHERE {c}) * 10000 // count(*)) / 100.0}}" for c in ('step', 'empty', 'template', 'good_verb'))}]) AS x FROM f GROUP BY GROUPING SETS ((), (d))),
+ l AS (SELECT * FROM (VALUES {', '.join(map(str, _LIMITS))}) t(scope, c, side, ok, warn)),
+ g AS (SELECT m.scope, x.c AS check_name, CAST(x.v AS DOUBLE) AS value, coalesce(o.side, a.side) AS side, coalesce(o.ok, a.ok) AS ok, coalesce(o.warn, a.warn) AS warn FROM m LEFT JOIN l o ON o.scope = m.scope AND o.c = x.c LEFT JOIN l a ON a.scope = '*' AND a.c = x.c)
+ SELECT scope, check_name, value, CASE WHEN (side = 'min' AND value >= ok) OR (side = 'max' AND value <= ok) THEN 'PASS' WHEN (side = 'min' AND value >= warn) OR (side = 'max' AND value <= warn) THEN 'WARN' ELSE 'FAIL' END AS status FROM g""")
+def qa_by_domain(n):
+    marked = R.with_template(n.withColumn("domain", T.domain_of(F.col("id"))), "__t")
+    checks = {"step": R.step_description(F.col("description")), "empty": F.coalesce("description", F.lit("")) == "", "template": F.col("__t").isNotNull(), "good_verb": ~judging.lacks_good_verb(F.col("name"))}
+    limits = n.sparkSession.createDataFrame(_LIMITS, "scope string, check_name string, side string, ok double, warn double")
+    return reports.graded_by_scope(reports.measured(marked, checks, "domain"), limits)
+
+
+_KNOWN = "EXISTS (SELECT 1 FROM (SELECT DISTINCT lower(p_name) AS p FROM part) WHERE starts_with(translate(lower(name), '_-', '  '), 'paint ' || p) OR starts_with(translate(lower(name), '_-', '  '), 'wash ' || p))"
+
+
+@query(f"SELECT count(*) AS total, count(*) FILTER (WHERE g) AS generated, count(*) FILTER (WHERE g AND e) AS empty_description, count(*) FILTER (WHERE g AND s) AS step_description, count(*) FILTER (WHERE g AND t) AS template, count(*) FILTER (WHERE g AND a AND NOT k) AS invalid_atomic, count(*) FILTER (WHERE g AND a AND k) AS valid_atomic, count(*) FILTER (WHERE g AND NOT e AND NOT s AND NOT t AND NOT (a AND NOT k)) AS good FROM (SELECT list_contains(sources, 'llm_generated') AS g, coalesce(description, '') = '' AS e, {_STEP} AS s, ({_GENERIC}) IS NOT NULL AS t, node_type = 'atomic' AS a, {_KNOWN} AS k FROM (SELECT *, {_WORDS} AS w FROM n))")
+def quality_counters(n):
+    from grovespark.query_more import _table_of
+
+    names = _table_of(n, "part").select(F.lower("p_name").alias("p")).distinct()
+    phrases = names.select(F.explode(F.array(F.concat(F.lit("paint_"), "p"), F.concat(F.lit("wash_"), "p"))).alias("phrase"))
+    return reports.quality_counters(n, phrases, 3)
+
+
+_BUCKET = f"CASE WHEN ({_TRASH_FIRST}) IS NULL THEN 'trainable' WHEN contains(lower(name), 'test') THEN 'ambiguous' ELSE 'archived' END"
+
+
+@query(f"SELECT bucket, node_type, verb, count(*) AS n_nodes FROM (SELECT {_BUCKET} AS bucket, node_type, regexp_split_to_array(lower(name), '[\\s,.(]')[1] AS verb FROM n) GROUP BY GROUPING SETS ((bucket), (bucket, node_type), (bucket, verb))")
+def bucket_verbs(n):
+    low = n.select("node_type", F.lower("name").alias("low"))
+    found = low.select("node_type", R.match_rules(F.col("low"), R.TRASH_PATTERNS).isNull().alias("free"), F.col("low").contains("test").alias("tests"), F.split("low", r"[\s,.(]")[0].alias("verb"))
+    placed = found.select("node_type", "verb", F.when(F.col("free"), "trainable").when(F.col("tests"), "ambiguous").otherwise("archived").alias("bucket"))
+    sets = [["bucket"], ["bucket", "node_type"], ["bucket", "verb"]]
+    return placed.groupingSets([[F.col(c) for c in s] for s in sets], "bucket", "node_type", "verb").agg(F.count("*").alias("n_nodes"))
+
+
+@query("SELECT category, node_type, count(DISTINCT domain) AS n_domains, count(*) AS n_nodes FROM (SELECT left(id, 1) AS category, node_type, string_split(id,'/')[1] || '/' || coalesce(string_split(id,'/')[2], '') AS domain FROM n) GROUP BY ROLLUP (category, node_type)")
+def category_domains(n):
+    rows = n.select(F.substring("id", 1, 1).alias("category"), "node_type", F.concat(T.domain_of(F.col("id")), F.lit("/"), F.coalesce(F.get(F.split("id", "/"), F.lit(1)), F.lit(""))).alias("domain"))
+    return reports.domain_breakdown(rows, ["category", "node_type"], "domain").withColumnsRenamed({"n_distinct": "n_domains", "n_rows": "n_nodes"})

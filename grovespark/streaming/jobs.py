@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from grovespark.sources import versions
+
 
 def judge(stream: DataFrame, verdict: Column, accepted: str, rejected: str, checkpoint: str, **trigger) -> StreamingQuery:
     """Parts a stream by a verdict (`ok` or a reason) into two Parquet tables.
@@ -93,3 +95,25 @@ def rating_moves(stream: DataFrame, key: str, ts: str, value: str) -> DataFrame:
 
     kind = stream.schema[value].dataType.simpleString()
     return stream.select(key, ts, value).groupBy(key).applyInPandasWithState(step, f"{value} {kind}, delta int", f"had {kind}, at bigint", "append", "NoTimeout")
+
+
+def fold_counters(moves: DataFrame, path: str, checkpoint: str, value: str, delta: str = "delta", **trigger) -> StreamingQuery:
+    """Keeps the counters (value, n) of a stream of moves (value, delta) as versions of a stored table, each move once.
+
+    Micro-batch n commits version n: the version before it with the batch's deltas. A batch that runs again after a
+    failure finds its version there and changes nothing; values whose count is zero stay with it.
+    """
+
+    def fold(batch: DataFrame, n: int) -> None:
+        spark = batch.sparkSession
+        last = versions.latest_version(spark, path)
+        if last is not None and last >= n:
+            # the moves were counted, but the state behind them is made by running the batch
+            batch.write.format("noop").mode("overwrite").save()
+            return
+        change = batch.groupBy(value).agg(F.sum(delta).cast("long").alias("n"))
+        if last is not None:
+            change = change.unionByName(versions.read_version(spark, path, last))
+        versions.commit_version(change.groupBy(value).agg(F.sum("n").alias("n")), path, n)
+
+    return flush_each(moves, fold, checkpoint, **trigger)
