@@ -118,7 +118,11 @@ def ready(path: str) -> PieceTable:
 
 
 def count_tokens(df: DataFrame, path: str, limit: int = 512, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """(key, n_bytes, n_tokens, over_limit) of every row; no shuffle. Null text counts as empty."""
+    """(key, n_bytes, n_tokens, over_limit) of every row; no shuffle.
+
+    Null text counts as empty; repeated rows and null keys are counted like others; just `limit` tokens are not over it. An
+    empty table gives an empty one. Other columns are left behind.
+    """
     kind = df.schema[key].dataType.simpleString()
 
     def run(batches):

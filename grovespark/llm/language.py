@@ -121,7 +121,11 @@ def entropy_table(df: DataFrame, models: LanguageModels, text: str, keep: list[s
 
 
 def drop_unknown(df: DataFrame, models: LanguageModels, text: str = "text") -> DataFrame:
-    """The rows of df whose language is not rejected; no shuffle."""
+    """The rows of df whose language is not rejected, with all their columns as they are; no shuffle.
+
+    Rows are judged by their text alone: repeated rows stay or go together, null keys don't matter. Null texts and texts
+    without a letter go; with nothing learnt all rows go. An empty table stays empty.
+    """
     shared = df.sparkSession.sparkContext.broadcast(models)
     ensure_on_workers(df.sparkSession)
 

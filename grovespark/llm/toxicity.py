@@ -202,6 +202,8 @@ def score_toxicity(df: DataFrame, labels: DataFrame, text: str = "text", key: st
 
 
 def apply_model(df: DataFrame, model: ToxicModel, text: str = "text", key: str = "doc_id", limit: float = 0.7) -> DataFrame:
+    """(key, score, predicted) of every row, each by its own text: repeated rows and null keys are scored too, a null text
+    like an empty one, an empty table gives an empty one. Other columns are left behind, so their names don't matter."""
     shared = df.sparkSession.sparkContext.broadcast(model)
     ensure_on_workers(df.sparkSession)
 
@@ -215,7 +217,11 @@ def apply_model(df: DataFrame, model: ToxicModel, text: str = "text", key: str =
 
 
 def drop_toxic(df: DataFrame, model: ToxicModel, text: str = "text", limit: float = 0.7) -> DataFrame:
-    """The rows of df that score below limit; no shuffle."""
+    """The rows of df that score below limit, with all their columns as they are; no shuffle.
+
+    Rows are judged by their text alone: repeated rows stay or go together, null keys don't matter, a null text is judged
+    like an empty one, a score of just the limit goes. An empty table stays empty.
+    """
     shared = df.sparkSession.sparkContext.broadcast(model)
     ensure_on_workers(df.sparkSession)
 
