@@ -11,25 +11,22 @@ from pyspark.sql.types import StructType
 
 from grovespark.operators.tree import nested_json, rebuild_children
 from grovespark.scratch import materialize
+from grovespark.sources.manifest import manifest_entries
 
-MOST_MANIFEST = 1 << 30
 COMPLETION = "struct<preconditions:string,postconditions:string,invariants:string>"
 NODE = f"id string, name string, node_type string, description string, parent_id string, children_ids array<string>, sources array<string>, tags array<string>, completion {COMPLETION}"
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """Nodes of manifest files, {..., "nodes": {id: node}} or {id: node}. One file is one task: convert it once.
+    """Nodes of manifest files, {..., "nodes": {id: node}} or {id: node}, of any size: many tasks read one file.
 
-    A file of MOST_MANIFEST bytes or more does not fit one string and is an error; write such forests as record lines.
+    A node without an id takes its key. An id that is listed twice gives two rows; an entry that is no node is an error.
     """
-    sizes = spark.read.format("binaryFile").load(path).select("path", "length").where(F.col("length") >= MOST_MANIFEST)
-    if large := sizes.first():
-        raise ValueError(f"{large.path} has {large.length} bytes; a manifest is read as one string")
-    whole = spark.read.text(path, wholetext=True)
     fields = ", ".join(f"{f.name}: {f.dataType.simpleString()}" for f in spark.createDataFrame([], NODE).schema)
-    inner, bare = F.get_json_object("value", "$.nodes"), F.col("value")
-    entries = F.map_entries(F.from_json(F.coalesce(inner, bare), f"map<string, struct<{fields}>>"))
-    rows = whole.select(F.explode(entries).alias("e")).select(F.col("e.key").alias("__id"), "e.value.*")
+    entries = manifest_entries(spark, path)
+    nodes = F.from_json("entries", f"map<string, struct<{fields}>>")
+    sound = F.when(nodes.isNull(), F.raise_error(F.concat(F.lit("no node: "), F.substring("entries", 1, 200)))).otherwise(nodes)
+    rows = entries.select(F.explode(F.map_entries(sound)).alias("e")).select(F.col("e.key").alias("__id"), "e.value.*")
     return rows.withColumn("id", F.coalesce("id", "__id")).drop("__id")
 
 
