@@ -107,11 +107,14 @@ def domain_cards(nodes: DataFrame, quality: str = "_quality") -> DataFrame:
 
 
 def publish_stats(nodes: DataFrame) -> DataFrame:
-    """(metric, value): totals, leaves, atomic and described nodes, depths, and counts by type and by source."""
+    """(metric, value): totals, leaves, atomic and described nodes, depths, and counts by type and by source; where nodes have
+    a completion, `completed` counts those with a precondition or a postcondition."""
     parents = nodes.where("parent_id is not null").select(F.col("parent_id").alias("__p")).distinct()
     marked = nodes.join(parents, F.col("id") == F.col("__p"), "left")
     depth = F.size(F.split("id", "/"))
-    whole = marked.agg(F.count("*").alias("total"), F.count_if(F.col("node_type") == "atomic").alias("atomic"), F.count_if(F.col("__p").isNull()).alias("leaves"), F.count_if(F.coalesce("description", F.lit("")) != "").alias("described"), F.max(depth).alias("max_depth"), F.round(F.avg(depth), 4).alias("avg_depth"))
+    said = lambda part: F.coalesce(F.col(f"completion.{part}"), F.lit("")) != ""
+    done = [F.count_if(said("preconditions") | said("postconditions")).alias("completed")] if "completion" in nodes.columns else []
+    whole = marked.agg(F.count("*").alias("total"), *done, F.count_if(F.col("node_type") == "atomic").alias("atomic"), F.count_if(F.col("__p").isNull()).alias("leaves"), F.count_if(F.coalesce("description", F.lit("")) != "").alias("described"), F.max(depth).alias("max_depth"), F.round(F.avg(depth), 4).alias("avg_depth"))
     out = long_form(whole, whole.columns)
     for column, name in ((F.col("node_type"), "type"), (F.explode("sources"), "source")):
         out = out.unionByName(nodes.select(column.alias("k")).groupBy("k").agg(F.count("*").cast("double").alias("value")).select(F.concat(F.lit(f"{name}:"), "k").alias("metric"), "value"))
@@ -143,6 +146,13 @@ def reject_patterns(rejects: DataFrame, order: str, samples: int = 10) -> DataFr
     return counts.join(few, "reason").select("reason", "n_rejects", "n_patterns", F.array_join("samples", " | ").alias("samples"))
 
 
+def judge_reasonings(rejects: DataFrame, order: str, most: int = 20, reason: str = "llm_judge") -> DataFrame:
+    """(place, name, reasoning): what the judge said of the first nodes that it rejected, by order; a judge that said nothing
+    (null or empty) is passed over. Only the first rows of each task come together."""
+    said = rejects.where((F.col("reason") == reason) & (F.coalesce("reasoning", F.lit("")) != "")).orderBy(order).limit(most)
+    return said.select(F.row_number().over(Window.orderBy(order)).cast("long").alias("place"), "name", "reasoning")
+
+
 def structure_analysis(nodes: DataFrame, names: int = 10) -> DataFrame:
     """(id, domain, n_children, first_names) of every task: how many children it has and the first of their names."""
     from grovespark.operators.curate import first_per_group

@@ -62,3 +62,16 @@ def seed_stats(tables: dict[str, DataFrame]) -> DataFrame:
     for c in counted[1:]:
         out = out.unionByName(c)
     return out
+
+
+def seed_counts(tables: dict[str, DataFrame], distinct: dict[str, tuple[DataFrame, str]], listed: dict[str, tuple[DataFrame, str]]) -> DataFrame:
+    """(name, n): rows of each table; distinct values of columns that are not null (groups); entries of array columns (the
+    example tasks of life categories). Empty tables count 0."""
+    name = lambda df, k: df.select(F.lit(k).alias("name"), F.coalesce("n", F.lit(0)).cast("long").alias("n"))
+    parts = [name(df.agg(F.count("*").alias("n")), k) for k, df in tables.items()]
+    parts += [name(df.agg(F.count_distinct(c).alias("n")), k) for k, (df, c) in distinct.items()]
+    parts += [name(df.agg(F.sum(F.when(F.col(c).isNotNull(), F.size(c)).otherwise(0)).alias("n")), k) for k, (df, c) in listed.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

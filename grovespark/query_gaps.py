@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from grovespark.functions import rules as R
-from grovespark.operators import gaps, lexicon, requests
+from grovespark.operators import gaps, lexicon, reports, requests, seeds
 from grovespark.queries import _GENERIC, _WORDS, query
-from grovespark.query_more import _ASKED, _LEXICON, _PRICED, _lexicon, _requests, _table
+from grovespark.query_more import _ASKED, _LEXICON, _PRICED, _REJECTS, _lexicon, _rejects, _requests, _seed_tables, _table
+from grovespark.sources.nodes_io import COMPLETION
 
 _NAMES, _LINES, _GROUPS = 20, 30, 4
 
@@ -64,3 +65,25 @@ def feedback_patterns(n):
 @query(f", lx AS (SELECT DISTINCT phrase, string_split(phrase, '_')[1] AS stem FROM {_LEXICON}) SELECT stem, count(*) OVER (PARTITION BY stem) AS n_variants, phrase FROM lx QUALIFY count(*) OVER (PARTITION BY stem) >= 3")
 def verb_stem_members(n):
     return gaps.stem_members(_lexicon(n), "phrase")
+
+
+@query("SELECT 'completed' AS metric, CAST(count(*) FILTER (WHERE coalesce(description, '') <> '' OR node_type = 'task') AS DOUBLE) AS value FROM n WHERE node_type <> 'domain' UNION ALL SELECT 'total', count(*) FROM n UNION ALL SELECT 'leaves', count(*) FROM n WHERE id NOT IN (SELECT parent_id FROM n WHERE parent_id IS NOT NULL)")
+def publish_completed(n):
+    """Descriptions stand for preconditions, names of tasks for postconditions; a domain has an invariant alone."""
+    below = F.col("node_type") != "domain"
+    parts = F.struct(F.when(below, F.col("description")).alias("preconditions"), F.when(F.col("node_type") == "task", F.col("name")).alias("postconditions"), F.col("name").alias("invariants"))
+    return reports.publish_stats(n.withColumn("completion", parts.cast(COMPLETION))).where("metric in ('completed', 'total', 'leaves')")
+
+
+@query(f"SELECT row_number() OVER (ORDER BY id) AS place, name, reasoning FROM (SELECT id, name, 'found ' || pattern AS reasoning FROM {_REJECTS} WHERE right(id, 1) <> '1' ORDER BY id LIMIT 20)")
+def judge_reasonings(n):
+    """The judge is silent on ids that end with 1."""
+    said = F.when(~F.col("id").endswith("1"), F.concat(F.lit("found "), "pattern"))
+    return reports.judge_reasonings(_rejects(n).withColumns({"reason": F.lit("llm_judge"), "reasoning": said}), "id")
+
+
+@query("SELECT 'occupations' AS name, count(*) AS n FROM customer UNION ALL SELECT 'statements', count(*) FROM orders UNION ALL SELECT 'major_groups', count(DISTINCT c_nationkey) FROM customer UNION ALL SELECT 'life_tasks', coalesce(CAST(sum(k) AS BIGINT), 0) FROM (SELECT count(DISTINCT c_mktsegment) AS k FROM customer GROUP BY c_nationkey)", forest=False)
+def seed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, occupations, statements = _seed_tables(spark, sf_dir)
+    life = _table(spark, sf_dir, "customer").groupBy("c_nationkey").agg(F.collect_set("c_mktsegment").alias("example_tasks"))
+    return seeds.seed_counts({"occupations": occupations, "statements": statements}, {"major_groups": (occupations, "major_group")}, {"life_tasks": (life, "example_tasks")})

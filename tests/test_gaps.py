@@ -1,4 +1,5 @@
-from grovespark.operators import gaps
+from grovespark.operators import gaps, reports, seeds
+from grovespark.sources.nodes_io import COMPLETION
 
 NODE = "id string, parent_id string, name string, node_type string"
 
@@ -47,3 +48,14 @@ def test_feedback_and_stems(spark):
     assert [tuple(r) for r in gaps.feedback_patterns(rejected, "name", "reason", top=2).collect()] == [("word", "door", 2), ("word", "open", 2), ("reason", "vague", 2), ("reason", "long", 1)]
     phrases = spark.createDataFrame([("cut_a",), ("cut_b",), ("cut_b",), ("cut",), ("dig_a",), (None,)], "p string")
     assert {tuple(r) for r in gaps.stem_members(phrases, "p").collect()} == {("cut", 3, "cut_a"), ("cut", 3, "cut_b"), ("cut", 3, "cut")}
+
+
+def test_completed_reasonings_and_seeds(spark):
+    nodes = spark.createDataFrame([("a", None, "domain", None, ["s"], ("", None, "i")), ("a/b", "a", "task", "d", ["s"], ("p", None, None)), ("a/c", "a", "task", "", ["s"], None)], f"id string, parent_id string, node_type string, description string, sources array<string>, completion {COMPLETION}")
+    out = {r.metric: r.value for r in reports.publish_stats(nodes).collect()}
+    assert (out["total"], out["completed"], out["leaves"]) == (3, 1, 2) and "completed" not in {r.metric for r in reports.publish_stats(nodes.drop("completion")).collect()}
+    rejects = spark.createDataFrame([(3, "c", "llm_judge", "late"), (1, "a", "llm_judge", "r1"), (2, "b", "llm_judge", ""), (4, "d", "bad", "x"), (5, "e", None, "x")], "o int, name string, reason string, reasoning string")
+    assert [tuple(r) for r in reports.judge_reasonings(rejects, "o").orderBy("place").collect()] == [(1, "a", "r1"), (2, "c", "late")]
+    t = spark.createDataFrame([("x", ["a", "b"]), ("x", None), (None, [])], "g string, l array<string>")
+    count = lambda t: {r.name: r.n for r in seeds.seed_counts({"t": t}, {"g": (t, "g")}, {"l": (t, "l")}).collect()}
+    assert count(t) == {"t": 3, "g": 1, "l": 2} and count(t.limit(0)) == {"t": 0, "g": 0, "l": 0}
