@@ -1,75 +1,166 @@
 """Walks along parent_id for ids that say nothing of their place: depths, roots, ancestors, paths and orders.
 
-All by pointer doubling: after k rounds a node knows its ancestor 2^k steps up, so a forest of depth d takes log2(d) joins.
-Each round writes its table, and a ring of parents is an error. A node whose parent is null or not in the table is a root.
+All by contraction: nodes without children are taken out, then every other node of a chain is, until roots are left; then
+all are put back in the reverse order, each beside the node that it hung from. A share of the forest goes at each turn,
+however deep it is, so all turns together move a few times the forest. A ring of parents is an error. A node whose parent
+is null or not in the table is a root.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from grovespark.operators.ordering import ranked
-from grovespark.scratch import materialize
+from grovespark.scratch import discard, materialize
+
+
+def _doubled(left: DataFrame, start, plus, sizes: bool, rows: int) -> DataFrame:
+    """folded for left(id, up, w, s), whose ups are nodes: after k turns a node knows what lies within 2^k above it."""
+    top = F.col("up").isNull()
+    own = lambda *first: [*first, "root", "w", *(["s"] if sizes else [])]
+    state = left.select("id", F.col("up").alias("jump"), F.coalesce("up", "id").alias("root"), F.when(top, start(F.col("w"))).otherwise(F.col("w")).alias("w"), *(["s"] if sizes else []))
+    for _ in range(rows.bit_length() + 2):
+        open_ = state.where("jump is not null")
+        if open_.isEmpty():
+            return state.select("id", "root", F.col("w").alias("total"), *([F.col("s").alias("size")] if sizes else []))
+        up = state.select(F.col("id").alias("__at"), F.col("jump").alias("__jump"), F.col("root").alias("__root"), F.col("w").alias("__w"))
+        moved = open_.join(up, F.col("jump") == F.col("__at")).select("id", F.col("__jump").alias("jump"), F.col("__root").alias("root"), plus(F.col("__w"), F.col("w")).alias("w"), *(["s"] if sizes else []))
+        both = moved.unionByName(state.where("jump is null"))
+        if sizes:
+            below = open_.groupBy(F.col("jump").alias("__of")).agg(F.sum("s").alias("__below"))
+            both = both.join(below, F.col("id") == F.col("__of"), "left").withColumn("s", F.col("s") + F.coalesce("__below", F.lit(0)))
+        state = materialize(both.select(*own("id", "jump")))
+    raise ValueError("the parents form a ring")
+
+
+def folded(edges: DataFrame, step: Column, start: Callable[[Column], Column], plus: Callable[[Column, Column], Column], sizes: bool = False, few: int = 100_000) -> DataFrame:
+    """(id, root, total, size) of edges(id, up, ...): total puts together start(step) of the root and step of every node
+    below it down to the node itself, by an associative plus(above, below). size, if asked for, counts the node and all
+    below it. edges is read several times. Once no more than `few` nodes are left, their pointers are doubled instead,
+    which moves all of them at each turn but takes fewer turns."""
+    own = lambda *more: ["id", "up", "w", *(["s"] if sizes else []), *more]
+    turns, left, first = [], edges, True
+    while True:
+        # nodes without children go
+        parents = left.where("up is not null").select(F.col("up").alias("__of")).distinct()
+        read = [c for c in left.columns if c != "via"]
+        marked = materialize(left.join(parents, F.col("id") == F.col("__of"), "left").select(*read, F.col("__of").isNotNull().alias("inner")))
+        said = marked.select("id", "up", step.alias("w"), *([F.lit(1).cast("long").alias("s")] if sizes else []), "inner") if first else marked
+        bare = said.where(~F.col("inner") & F.col("up").isNotNull()).select(*own())
+        kept = said.where(F.col("inner") | F.col("up").isNull()).select(*own("inner"))
+        if sizes:
+            more = bare.groupBy(F.col("up").alias("__of")).agg(F.sum("s").alias("__more"))
+            kept = kept.join(more, F.col("id") == F.col("__of"), "left").withColumn("s", F.col("s") + F.coalesce("__more", F.lit(0))).select(*own("inner"))
+        gone = None
+        if first:  # parents that are no nodes are found among the few that are left
+            known = kept.where("inner").select(F.col("id").alias("__k"))
+            after = kept.join(known, F.col("up") == F.col("__k"), "left").withColumn("up", F.col("__k")).select(*own())
+        else:
+            # of the rest those go that draw 0 while the node above draws 1, so that none hangs from another
+            kept = materialize(kept.drop("inner")) if sizes else kept.drop("inner")
+            draw = lambda c: F.shiftright(F.xxhash64(F.lit(len(turns)), c), 17).bitwiseAND(F.lit(1))
+            goes = F.col("up").isNotNull() & (draw("id") == 0) & (draw("up") == 1)
+            gone, stay = kept.where(goes), kept.where(~goes)
+            over = gone.select(F.col("id").alias("__at"), F.col("up").alias("__up"), F.col("w").alias("__w"))
+            after = stay.join(over, F.col("up") == F.col("__at"), "left")
+            after = after.select("id", F.coalesce("__up", "up").alias("up"), F.when(F.col("__at").isNull(), F.col("w")).otherwise(plus(F.col("__w"), F.col("w"))).alias("w"), *(["s"] if sizes else []), F.col("__at").alias("via"))
+            if sizes:
+                more = gone.groupBy(F.col("up").alias("__of")).agg(F.sum("s").alias("__more"))
+                after = after.join(more, F.col("id") == F.col("__of"), "left").withColumn("s", F.col("s") + F.coalesce("__more", F.lit(0))).drop("__of", "__more")
+        left = materialize(after)
+        turns.append((bare, gone, left, [marked, kept]))
+        first = False
+        rows, open_, rings = left.agg(F.count("*"), F.count("up"), F.count_if(F.col("up") == F.col("id"))).first()
+        if rings:
+            raise ValueError("the parents form a ring")
+        if not open_ or rows <= few:
+            break
+    found = _doubled(left.select(*own()), start, plus, sizes, rows)
+    for k, (bare, gone, after, used) in reversed(list(enumerate(turns))):
+        above = lambda t: t.select(F.col("id").alias("__at"), F.col("root").alias("__root"), F.col("total").alias("__total"))
+        below = lambda t, how="inner": t.join(above(found), F.col("up") == F.col("__at"), how).select("id", F.coalesce("__root", "id").alias("root"), F.when(F.col("__at").isNull(), start(F.col("w"))).otherwise(plus(F.col("__total"), F.col("w"))).alias("total"), *([F.col("s").alias("size")] if sizes else []))  # noqa: E731, B023
+        old = found
+        if gone is not None:
+            back = below(gone)
+            if sizes:
+                under = after.where("via is not null").select("id", "via").join(found.select("id", F.col("size").alias("__size")), "id").groupBy("via").agg(F.sum("__size").alias("__more"))
+                back = back.join(under, F.col("id") == F.col("via"), "left").withColumn("size", F.col("size") + F.coalesce("__more", F.lit(0))).drop("via", "__more")
+            found = materialize(found.unionByName(back))
+            discard(old)
+            old = found
+        # those taken out first may hang from what is no node
+        found = found.unionByName(below(bare, "left" if k == 0 else "inner"))
+        if k:
+            found = materialize(found)
+            discard(old, after, *used)
+    return found
 
 
 @dataclass(frozen=True)
 class Chains:
-    """measures(id, root, depth, size): size counts the node and all below it. jumps[k](id, jump): the ancestor 2^k up of
-    the nodes that have one."""
+    """measures(id, root, depth, size): size counts the node and all below it; edges(id, up): up is as it was given."""
 
     measures: DataFrame
-    jumps: list[DataFrame]
+    edges: DataFrame
+
+    @cached_property
+    def jumps(self) -> list[DataFrame]:
+        """jumps[k](id, jump): the ancestor 2^k up of the nodes that have one; log2 of the depth joins of nearly all nodes."""
+        known = self.edges.select(F.col("id").alias("jump"))
+        hop, out = materialize(self.edges.join(known, F.col("up") == F.col("jump")).select("id", "jump")), []
+        while not hop.isEmpty():
+            out.append(hop)
+            hop = materialize(hop.join(hop.select(F.col("id").alias("__at"), F.col("jump").alias("__jump")), F.col("jump") == F.col("__at")).select("id", F.col("__jump").alias("jump")))
+        return out
+
+
+def edges_of(nodes: DataFrame, key: str = "id", parent: str = "parent_id") -> DataFrame:
+    return nodes.select(F.col(key).alias("id"), F.col(parent).alias("up"))
+
+
+_add = lambda above, below: above + below
+
+
+def depths(nodes: DataFrame, key: str = "id", parent: str = "parent_id") -> DataFrame:
+    """(id, root, depth) of every node, depth from 0; ids are unique and not null."""
+    return folded(materialize(edges_of(nodes, key, parent)), F.lit(1).cast("long"), lambda w: F.lit(0).cast("long"), _add).withColumnRenamed("total", "depth")
 
 
 def chains(nodes: DataFrame, key: str = "id", parent: str = "parent_id") -> Chains:
-    """Depth from 0, root and subtree size of every node; ids are unique and not null.
+    """Depth from 0, root and subtree size of every node; ids are unique and not null."""
+    edges = materialize(edges_of(nodes, key, parent))
+    measures = folded(edges, F.lit(1).cast("long"), lambda w: F.lit(0).cast("long"), _add, sizes=True)
+    return Chains(materialize(measures.withColumnRenamed("total", "depth")), edges)
 
-    A round adds to each node what the nodes exactly 2^k below it have gathered within 2^k, brought down to one row for
-    each node before it moves, and follows the pointer of the pointer.
-    """
-    known = nodes.select(F.col(key).alias("__up"))
-    linked = nodes.select(F.col(key).alias("id"), F.col(parent).alias("__p")).join(known, F.col("__p") == F.col("__up"), "left")
-    first = linked.select("id", F.col("__up").alias("jump"), F.coalesce("__up", "id").alias("root"), F.when(F.col("__up").isNull(), 0).otherwise(1).cast("long").alias("depth"), F.lit(1).cast("long").alias("size"))
-    state, jumps = materialize(first), []
-    most = state.count().bit_length() + 1
-    while True:
-        open_ = state.where("jump is not null")
-        if open_.isEmpty():
-            return Chains(state.drop("jump"), jumps)
-        if len(jumps) > most:
-            raise ValueError("the parents form a ring")
-        step = 1 << len(jumps)
-        jumps.append(open_.select("id", "jump"))
-        below = open_.groupBy(F.col("jump").alias("__of")).agg(F.sum("size").alias("__below"))
-        up = state.select(F.col("id").alias("__at"), F.col("jump").alias("__jump"), F.col("root").alias("__root"), F.col("depth").alias("__depth"))
-        # only nodes that still have a pointer follow it
-        moved = open_.join(up, F.col("jump") == F.col("__at")).select("id", F.col("__jump").alias("jump"), F.col("__root").alias("root"), (F.col("__depth") + step).alias("depth"), "size")
-        both = moved.unionByName(state.where("jump is null"))
-        state = materialize(both.join(below, F.col("id") == F.col("__of"), "left").select("id", "jump", "root", "depth", (F.col("size") + F.coalesce("__below", F.lit(0))).alias("size")))
+
+def chain_lists(edges: DataFrame) -> DataFrame:
+    """(id, root, total): total lists the ancestors from the parent up to the root; a list is as long as its node is deep."""
+    return folded(edges, F.array("up"), lambda w: F.slice(w, 1, 0), lambda above, below: F.concat(below, above))
 
 
 def chain_ancestors(walk: Chains) -> DataFrame:
     """(id, ancestor_id, distance), nearest at 1: as many rows as all depths together."""
-    pairs = None
-    for k, jump in enumerate(walk.jumps):
-        here = jump.select("id", F.col("jump").alias("ancestor_id"), F.lit(1 << k).cast("long").alias("distance"))
-        if pairs is not None:
-            far = pairs.select(F.col("id").alias("__at"), F.col("ancestor_id").alias("__above"), F.col("distance").alias("__more"))
-            here = here.unionByName(jump.join(far, F.col("jump") == F.col("__at")).select("id", F.col("__above").alias("ancestor_id"), (F.col("__more") + (1 << k)).alias("distance")))
-            here = pairs.unionByName(here)
-        pairs = materialize(here)
-    return pairs if pairs is not None else walk.measures.select("id", F.col("id").alias("ancestor_id"), F.lit(0).cast("long").alias("distance")).limit(0)
-
-
-def siblings(nodes: DataFrame, order: list[str], key: str = "id", parent: str = "parent_id") -> DataFrame:
-    """(id, parent, pos, n): the place of each node among the children of its parent, from 0, and their number; roots are
-    siblings of one another. order names columns; the id parts what they leave equal."""
+    return ancestors_of(walk.edges)
+
+
+def ancestors_of(edges: DataFrame) -> DataFrame:
+    """chain_ancestors of edges(id, up) that are cheap to read; lists of ancestors are spread out where they end."""
+    return chain_lists(edges).select("id", F.posexplode("total").alias("__k", "ancestor_id")).select("id", "ancestor_id", (F.col("__k") + 1).cast("long").alias("distance"))
+
+
+def siblings(nodes: DataFrame, order: list[str], key: str = "id", parent: str = "parent_id", carry: list[str] = [], sum_of: str | None = None) -> DataFrame:
+    """(id, parent, pos, n) and the columns of carry: the place of each node among the children of its parent, from 0, and
+    their number; roots are siblings of one another. order names columns; the id parts what they leave equal. sum_of: also
+    before, that column of carry summed over earlier siblings."""
     known = nodes.select(F.col(key).alias("__up"))
-    placed = nodes.select(F.col(key).alias("id"), F.col(parent).alias("__p"), *[F.col(c).alias(f"__o{i}") for i, c in enumerate(order)]).join(known, F.col("__p") == F.col("__up"), "left")
-    return ranked(placed, F.col("__up"), [*[F.col(f"__o{i}") for i in range(len(order))], F.col("id")]).select("id", F.col("__up").alias("parent"), "pos", "n")
+    placed = nodes.select(F.col(key).alias("id"), F.col(parent).alias("__p"), *[F.col(c).alias(f"__o{i}") for i, c in enumerate(order)], *carry).join(known, F.col("__p") == F.col("__up"), "left").drop("__p")
+    out = ranked(placed, F.col("__up"), [*[F.col(f"__o{i}") for i in range(len(order))], F.col("id")], sum_of)
+    return out.select("id", F.col("__up").alias("parent"), "pos", "n", *carry, *(["before"] if sum_of else []))
 
 
 def preorder(nodes: DataFrame, order: list[str], key: str = "id", parent: str = "parent_id", walk: Chains | None = None) -> DataFrame:
@@ -79,44 +170,42 @@ def preorder(nodes: DataFrame, order: list[str], key: str = "id", parent: str =
     of sums over siblings, and the forest is never sorted as a whole.
     """
     walk = walk or chains(nodes, key, parent)
-    known = nodes.select(F.col(key).alias("__up"))
-    placed = nodes.select(F.col(key).alias("id"), F.col(parent).alias("__p"), *[F.col(c).alias(f"__o{i}") for i, c in enumerate(order)]).join(known, F.col("__p") == F.col("__up"), "left")
-    sized = placed.join(walk.measures.select(F.col("id").alias("__id"), "depth", "size"), F.col("id") == F.col("__id"))
-    offset = ranked(sized, F.col("__up"), [*[F.col(f"__o{i}") for i in range(len(order))], F.col("id")], "size")
-    state = materialize(offset.select("id", "depth", "size", (F.col("before") + F.when(F.col("__up").isNull(), 0).otherwise(1)).alias("position")))
-    for jump in walk.jumps:
-        above = state.select(F.col("id").alias("__at"), F.col("position").alias("__more"))
-        more = jump.join(above, F.col("jump") == F.col("__at")).select(F.col("id").alias("__id"), "__more")
-        state = materialize(state.join(more, F.col("id") == F.col("__id"), "left").select("id", "depth", "size", (F.col("position") + F.coalesce("__more", F.lit(0))).alias("position")))
-    return state.select("id", "position", "depth", "size")
+    sized = nodes.join(walk.measures.select(F.col("id").alias("__id"), "size"), F.col(key) == F.col("__id")).drop("__id")
+    placed = materialize(siblings(sized, order, key, parent, ["size"], "size").select("id", F.col("parent").alias("up"), "size", "before"))
+    step = F.struct((F.col("before") + 1).alias("p"), F.lit(1).cast("long").alias("d"), "size")
+    join = lambda above, below: F.struct((above["p"] + below["p"]).alias("p"), (above["d"] + below["d"]).alias("d"), below["size"].alias("size"))
+    total = folded(placed, step, lambda w: F.struct((w["p"] - 1).alias("p"), F.lit(0).cast("long").alias("d"), w["size"].alias("size")), join)
+    return total.select("id", F.col("total.p").alias("position"), F.col("total.d").alias("depth"), F.col("total.size").alias("size"))
 
 
 def chain_paths(nodes: DataFrame, order: list[str], key: str = "id", parent: str = "parent_id", name: str = "name") -> DataFrame:
     """(id, root, depth, path, names, places): ids, names and sibling places from the root to the node."""
-    walk = chains(nodes, key, parent)
-    steps = chain_ancestors(walk).unionByName(walk.measures.select("id", F.col("id").alias("ancestor_id"), F.lit(0).cast("long").alias("distance")))
-    said = siblings(nodes, order, key, parent).join(nodes.select(F.col(key).alias("__id"), F.col(name).alias("__name")), F.col("id") == F.col("__id")).select(F.col("id").alias("ancestor_id"), "__name", "pos")
-    trail = F.array_sort(F.collect_list(F.struct((-F.col("distance")).alias("d"), F.col("ancestor_id").alias("id"), F.col("__name").alias("name"), "pos")))
-    paths = steps.join(said, "ancestor_id").groupBy("id").agg(trail.alias("t"))
-    part = lambda f: F.transform("t", lambda x: x[f])
-    return paths.join(walk.measures.drop("size"), "id").select("id", "root", "depth", part("id").alias("path"), part("name").alias("names"), part("pos").alias("places"))
+    said = siblings(nodes, order, key, parent, [name])
+    row = F.array(F.struct("id", F.col(name).alias("name"), "pos"))
+    edges = materialize(said.select("id", F.col("parent").alias("up"), row.alias("own")))
+    paths = folded(edges, F.col("own"), lambda w: w, lambda above, below: F.concat(above, below))
+    part = lambda f: F.transform("total", lambda x: x[f])
+    return paths.select("id", "root", (F.size("total") - 1).cast("long").alias("depth"), part("id").alias("path"), part("name").alias("names"), part("pos").alias("places"))
 
 
 def ordered_tree_lines(nodes: DataFrame, order: list[str], max_depth: int = 3, key: str = "id", parent: str = "parent_id") -> DataFrame:
     """(position, id, line): the forest as text down to a depth, siblings by the columns of order; by position to read it.
 
-    A line has a bar for each ancestor that is not the last of its siblings.
+    A line has a bar for each ancestor that is not the last of its siblings. Places and bars follow from nodes no deeper
+    than the line, so only the sizes are gathered from all.
     """
     walk = chains(nodes, key, parent)
-    place = preorder(nodes, order, key, parent, walk).where(F.col("depth") <= max_depth)
-    last = materialize(siblings(nodes, order, key, parent).select("id", (F.col("pos") == F.col("n") - 1).alias("is_last")))
-    shown = place.select("id")
-    steps = chain_ancestors(walk).join(shown, "id", "left_semi").join(last.select(F.col("id").alias("ancestor_id"), "is_last"), "ancestor_id")
-    bar = F.struct((-F.col("distance")).alias("d"), F.when(F.col("is_last"), "    ").otherwise("│   ").alias("bar"))
-    bars = steps.groupBy("id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(bar)), lambda x: x["bar"]), "").alias("bars"))
-    said = nodes.select(F.col(key).alias("id"), F.concat("name", F.lit(" ["), "node_type", F.lit("]")).alias("label"))
-    full = place.join(said, "id").join(last, "id").join(bars, "id", "left")
-    return full.select("position", "id", F.concat(F.coalesce("bars", F.lit("")), F.when(F.col("is_last"), "└── ").otherwise("├── "), "label").alias("line"))
+    shown = materialize(nodes.join(walk.measures.where(F.col("depth") <= max_depth).select(F.col("id").alias("__id"), "depth", "size"), F.col(key) == F.col("__id")).drop("__id"))
+    placed = materialize(siblings(shown, order, key, parent, ["depth", "size", "name", "node_type"], "size"))
+    last = F.col("pos") == F.col("n") - 1
+    step = F.struct((F.col("before") + 1).alias("p"), F.when(last, "    ").otherwise("│   ").alias("bars"))
+    edges = placed.select("id", F.col("parent").alias("up"), "before", "pos", "n")
+    join = lambda above, below: F.struct((above["p"] + below["p"]).alias("p"), F.concat(above["bars"], below["bars"]).alias("bars"))
+    total = folded(edges, step, lambda w: F.struct((w["p"] - 1).alias("p"), w["bars"].alias("bars")), join)
+    full = placed.join(total.select(F.col("id").alias("__id"), "total"), F.col("id") == F.col("__id"))
+    bars = F.substring(F.col("total.bars"), F.lit(1), F.length("total.bars") - 4)
+    line = F.concat(bars, F.when(last, "└── ").otherwise("├── "), "name", F.lit(" ["), "node_type", F.lit("]"))
+    return full.select(F.col("total.p").alias("position"), "id", line.alias("line"))
 
 
 def descendants_of(roots: DataFrame, walk: Chains) -> DataFrame:

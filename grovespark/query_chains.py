@@ -35,7 +35,7 @@ def recursive(sql: str):
 
 @recursive("SELECT d.id, a.id AS ancestor_id, CAST(d.depth - a.depth AS BIGINT) AS distance FROM (SELECT id, depth, unnest(path) AS up FROM w) d JOIN w a ON a.id = d.up WHERE d.id <> a.id")
 def parent_chain_ancestors(n):
-    return chains.chain_ancestors(chains.chains(_opaque(n)))
+    return chains.ancestors_of(chains.edges_of(_opaque(n)))
 
 
 _PLACES = "pl AS (SELECT id, row_number() OVER (PARTITION BY parent_id ORDER BY ord, id) - 1 AS pos FROM o)"
@@ -73,7 +73,7 @@ def _deep(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {_DEEP}, w AS (SELECT id, id AS root, 0 AS depth FROM o WHERE parent_id IS NULL UNION ALL SELECT o.id, w.root, w.depth + 1 FROM w JOIN o ON o.parent_id = w.id) SELECT id, root, CAST(depth AS BIGINT) AS depth FROM w", forest=False)
 def chain_depths(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chains.chains(_deep(spark, sf_dir)).measures.select("id", "root", "depth")
+    return chains.depths(_deep(spark, sf_dir))
 
 
 @query(f"WITH {_DEEP}, w AS (SELECT id, [-id] AS ords FROM o WHERE parent_id IS NULL UNION ALL SELECT o.id, list_append(w.ords, -o.id) FROM w JOIN o ON o.parent_id = w.id) SELECT id, row_number() OVER (ORDER BY ords) - 1 AS position FROM w", forest=False)

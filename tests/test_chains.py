@@ -100,3 +100,45 @@ def test_ranks_of_a_group_that_lies_in_many_ranges(spark):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert got[("b", 1)] == (0, 1, 0) and got[(None, 2)] == (0, 2, 0) and got[(None, 1)] == (1, 2, 3)
     assert all(got[("a", i)] == (499 - i, 500, sum(j % 5 for j in range(i + 1, 500))) for i in range(500))
+
+
+def test_contraction_alone_gives_what_doubling_gives(spark, forest, rows):
+    want, sizes, _ = walked(rows)
+    edges = chains.edges_of(forest)
+    add = lambda a, b: a + b
+    got = chains.folded(edges, F.lit(1), lambda w: F.lit(0), add, sizes=True, few=40)
+    assert {(r.id, r.root, r.total, r["size"]) for r in got.collect()} == {(i, root, d, sizes[i]) for i, root, d, _ in want}
+    lists = chains.folded(edges, F.array("up"), lambda w: F.slice(w, 1, 0), lambda a, b: F.concat(b, a), few=40)
+    assert {r.id: r.total for r in lists.collect()} == {i: p[-2::-1] for i, _, _, p in want}
+    ring = spark.createDataFrame([(str(i), str((i + 1) % 8), "x", "task", 0) for i in range(8)], NODE)
+    with pytest.raises(ValueError, match="ring"):
+        chains.folded(chains.edges_of(ring), F.lit(1), lambda w: F.lit(0), add, few=1)
+
+
+def written_by(f):
+    """Rows of each table that is written while f runs."""
+    found, plain = [], chains.materialize
+
+    def watched(df, *more):
+        out = plain(df, *more)
+        found.append(out.count())
+        return out
+
+    chains.materialize = watched
+    try:
+        f()
+    finally:
+        chains.materialize = plain
+    return found
+
+
+def test_turns_write_less_than_a_table_for_each_doubling(spark):
+    deep = spark.range(4000).select("id", F.when(F.col("id") > 2, F.col("id") - 1 - F.col("id") % 3).alias("parent_id"))
+    many = written_by(lambda: chains.folded(chains.edges_of(deep), F.lit(1), lambda w: F.lit(0), lambda a, b: a + b, few=400))
+    assert sum(many) < 10 * 4000  # doubling writes 11 times all rows here, and once more for each doubled depth
+
+
+def test_ancestors_of_leaves_are_not_gathered_by_turns(spark):
+    wide = spark.range(2000).select("id", F.when(F.col("id") > 0, F.lit(0).cast("long")).alias("parent_id"))
+    sums = written_by(lambda: chains.chain_ancestors(chains.Chains(None, chains.edges_of(wide))).count())
+    assert sum(sums) < 2100
