@@ -69,11 +69,11 @@ def gap_requests(nodes: DataFrame, categories: DataFrame, least: int = 1, most:
 def rendered(rows: DataFrame, templates: DataFrame, kind: str, columns: list[str]) -> DataFrame:
     """rows with prompt: the template(kind, template) of the row's kind with each {column} replaced by its value, once, so
     that a value which looks like a place is left as it is. Nulls are empty; a kind without a template gives a null prompt,
-    a kind with several the least one."""
+    a kind with several the least one. Templates go to every task, so rows stay where they are: most are of one kind."""
     one = templates.groupBy(F.col("kind").alias("__k")).agg(F.min("template").alias("__t"))
     value = lambda part: F.coalesce(*[F.when(part == F.lit(f"{{{c}}}"), F.coalesce(F.col(c).cast("string"), F.lit(""))) for c in columns], part)
     parts = F.split("__t", r"(?=\{)|(?<=\})")
-    return rows.join(one, F.col(kind) == F.col("__k"), "left").withColumn("prompt", F.array_join(F.transform(parts, value), "")).drop("__k", "__t")
+    return rows.join(F.broadcast(one), F.col(kind) == F.col("__k"), "left").withColumn("prompt", F.array_join(F.transform(parts, value), "")).drop("__k", "__t")
 
 
 def cache_savings(usage: DataFrame, prices: DataFrame, by: list[str]) -> DataFrame:

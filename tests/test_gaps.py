@@ -59,3 +59,14 @@ def test_completed_reasonings_and_seeds(spark):
     t = spark.createDataFrame([("x", ["a", "b"]), ("x", None), (None, [])], "g string, l array<string>")
     count = lambda t: {r.name: r.n for r in seeds.seed_counts({"t": t}, {"g": (t, "g")}, {"l": (t, "l")}).collect()}
     assert count(t) == {"t": 3, "g": 1, "l": 2} and count(t.limit(0)) == {"t": 0, "g": 0, "l": 0}
+
+
+def test_rows_stay_where_they_are_when_templates_are_filled(spark):
+    rows = spark.range(10).selectExpr("id", "'atomic' AS kind")
+    out = gaps.rendered(rows, spark.createDataFrame([("atomic", "<{id}>")], "kind string, template string"), "kind", ["id"])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert {r.prompt for r in out.collect()} == {f"<{i}>" for i in range(10)}
+        assert "SortMergeJoin" not in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
