@@ -1,4 +1,5 @@
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -74,3 +75,21 @@ def test_exports(spark, forest, tmp_path):
     assert {r.id: len(r.children_ids) for r in nodes_io.light_rows(forest).collect()}["a/x"] == 2
     nodes_io.export_tiered(forest.withColumn("tier", F.col("node_type")), str(tmp_path / "tiers"))
     assert spark.read.json(str(tmp_path / "tiers")).where("tier = 'domain'").count() == 3
+
+
+def test_breadcrumbs_gather_trails_of_parents_alone(spark, forest):
+    rows = [*ROWS, ("a/x/10/z/lost/deep", "a/x/10/z/lost", "far", "atomic"), ("b/n", "b", None, "task"), ("b/n/m", "b/n", "M", "task")]
+    got = {r.id: r.breadcrumb for r in tree.breadcrumb(spark.createDataFrame(rows, forest.schema)).collect()}
+    assert got["a/x/10/z/lost/deep"] == "A > X > ten > zed > far" and got["b/n"] == "B" and got["b/n/m"] == "B > M" and got["a-b"] == "AB" and len(got) == len(rows)
+    # leaves take no part in the spreading of paths: it reads distinct parents
+    plan = tree.breadcrumb(forest)._jdf.queryExecution().optimizedPlan().toString()
+    under = plan[plan.index("Generate"):]
+    assert "Aggregate" in under
+
+
+def test_forest_meets_orders_last(spark, sf):
+    from grovespark.plans.forest import project
+
+    plan = project(spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    first = lambda on: re.search(rf"Join Inner, \([^\n]*{on}#", plan).start()
+    assert first("l_orderkey") < first("p_partkey")
