@@ -2,7 +2,7 @@
 
 Each language's model is counted over all its training documents; a text goes to the language with the lowest
 length-normalised cross-entropy. Texts whose best cross-entropy lies far above what the models give their own
-language are rejected; each language's limit is calibrated on a sample of its own training rows.
+language are rejected; each language's limit is calibrated on all of its own training rows.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from grovespark.llm.charlm import LETTERS, KneserNey, alphabet_size, count_ngrams, groups_of, of_group, score_words
 from grovespark.llm.pieces import blocks, small, sums
+from grovespark.llm.scratch import materialize
 from grovespark.session import ensure_on_workers
 
 ORDER = 4
@@ -73,20 +74,24 @@ def training_fold(key: Column, buckets: int, held_out: int) -> Column:
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % buckets != held_out, F.lit(False))
 
 
-def train(df: DataFrame, learn: Column, text: str = "text", lang: str = "lang", key: str = "doc_id", sample_rows: int = 2000, deviations: float = 12.0) -> LanguageModels:
-    """Models of every language among the rows to learn from. sample_rows is how many rows of each language set its limit,
-    about: rows are drawn by a hash of the key at the rate that gives so many, all of a language that has fewer."""
-    rows = df.where(learn & F.col(lang).isNotNull() & F.col(text).isNotNull())
-    models = LanguageModels(count_ngrams(rows, lang, text, ORDER))
-    if not models.languages:
-        return models
-    counts = rows.groupBy(F.col(lang).alias("__lang")).agg(F.count("*").alias("__n"))
-    rate = F.least(F.lit(1.0), sample_rows / F.col("__n"))
-    drawn = F.pmod(F.xxhash64(key, F.lit(7)), F.lit(1 << 20)) < F.ceil(rate * (1 << 20))
-    sample = rows.join(F.broadcast(counts), F.col(lang) == F.col("__lang")).where(drawn)
-    own = entropy_table(sample.select(key, text, lang), models, text, [key, lang]).where((F.col("letters") >= 20) & (F.col("best") == F.col(lang))).groupBy(lang).agg(F.avg("entropy"), F.coalesce(F.stddev("entropy"), F.lit(0.0)), F.max("entropy"))
-    for name, mean, deviation, most in own.collect():
+def counted(df: DataFrame, learn: Column, text: str, lang: str) -> LanguageModels:
+    """Models of every language among the rows to learn from, without limits."""
+    return LanguageModels(count_ngrams(df.where(learn & F.col(lang).isNotNull() & F.col(text).isNotNull()), lang, text, ORDER))
+
+
+def calibrate(models: LanguageModels, judged: DataFrame, own: str, deviations: float = 12.0) -> None:
+    """Sets each language's limit from judged(own, best, entropy, letters): all rows that are of it (own) and taken for it."""
+    fits = judged.where((F.col("letters") >= 20) & (F.col("best") == F.col(own)))
+    for name, mean, deviation, most in fits.groupBy(own).agg(F.avg("entropy"), F.coalesce(F.stddev("entropy"), F.lit(0.0)), F.max("entropy")).collect():
         models.limits[models.languages.index(name)] = max(mean + deviations * deviation, most + 1.0)
+
+
+def train(df: DataFrame, learn: Column, text: str = "text", lang: str = "lang", key: str = "doc_id", deviations: float = 12.0) -> LanguageModels:
+    """Models of every language among the rows to learn from, each with a limit that all of its rows set."""
+    models = counted(df, learn, text, lang)
+    if models.languages:
+        rows = df.where(learn & F.col(lang).isNotNull() & F.col(text).isNotNull())
+        calibrate(models, entropy_table(rows.select(text, lang), models, text, [lang]), lang, deviations)
     return models
 
 
@@ -152,6 +157,13 @@ def predict_language(df: DataFrame, text: str = "text", lang: str = "lang", key:
     language that sorts first. A null key counts as not held out and is not learnt from.
     """
     learn = training_fold(F.col(key), buckets, held_out)
-    found = entropy_table(df, train(df, learn, text, lang, key), text, [key])
+    models = counted(df, learn, text, lang)
+    # every row is judged once; the limits come from the training rows among them
+    own = F.when(learn & F.col(text).isNotNull(), F.col(lang).cast("string"))
+    found = materialize(entropy_table(df.select(key, text, own.alias("__own")), models, text, [key, "__own"]))
+    calibrate(models, found, "__own")
+    limit = F.lit(float("inf"))
+    if models.languages:
+        limit = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for pair in zip(models.languages, models.limits.tolist(), strict=True) for x in pair]), F.col("best")), limit)
     out = F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % buckets == held_out, F.lit(False))
-    return found.select(key, out.alias("held_out"), F.coalesce("best", F.lit("und")).alias("lang_pred"), "score", "rejected")
+    return found.select(key, out.alias("held_out"), F.coalesce("best", F.lit("und")).alias("lang_pred"), "score", (F.col("rejected") | (F.col("entropy") > limit)).alias("rejected"))

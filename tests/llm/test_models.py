@@ -153,3 +153,16 @@ def test_recall_and_ranking_on_held_out_labels(spark):
     assert sum(r.predicted for r in clean) <= 0.002 * len(clean)
     noticed = lambda some: sum(r.score > toxicity.BASE + 1e-9 for r in some)
     assert noticed(toxic) >= 0.9 * len(toxic) and noticed(clean) <= 0.01 * len(clean)
+
+
+def test_limits_of_languages_come_from_all_training_rows(spark):
+    from grovespark.llm import language
+
+    rows = [(i, " ".join(f"w{'abcdefghij'[(i * k) % 10]}{'klmno'[(i + k) % 5]}rd" for k in range(1, 9)), "en") for i in range(2600)] + [(2600, "zqxj vvkq jjxz qqzk xxvj kkqz zzjx qxkz", "en")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    models = language.train(df, F.lit(True))
+    h, size = models.entropies([t for _, t, _ in rows])
+    h = h[size >= 20, 0]
+    assert len(h) == len(rows) and abs(models.limits[0] - max(h.mean() + 12 * h.std(ddof=1), h.max() + 1)) < 1e-9
+    found = language.predict_language(df)
+    assert found.count() == len(rows) and found.where("rejected and not held_out").count() == 0
