@@ -26,6 +26,20 @@ def test_ancestors_without_splitting_each_step(odd):
     assert "lambda" not in plan(tree.path_ancestors(odd))
 
 
+def test_descendants_neither_lost_nor_doubled(odd):
+    ids = lambda roots: sorted(r.id for r in tree.descendants(odd, odd.where(roots)).collect())
+    assert ids("id = 'a'") == ["a//q", "a/x", "a/x/1", "a/x/1", "a/x/1/s"]
+    assert ids("id in ('a', 'a/x', 'a/x/1')") == ["a//q", "a/x", "a/x/1", "a/x/1", "a/x/1/s"]
+    # the nodes themselves are neither grouped nor dealt out
+    assert not re.search(r"^Aggregate", plan(tree.descendants(odd, odd.where("id = 'a'"))))
+
+
+@pytest.mark.parametrize("few", [0, 50_000])
+def test_descendants_of_many_roots(odd, monkeypatch, few):
+    monkeypatch.setattr(tree, "FEW", few)
+    assert sorted(r.id for r in tree.descendants(odd, odd.where("id in ('a', 'a/x', 'b')")).collect()) == ["a//q", "a/x", "a/x/1", "a/x/1", "a/x/1/s"]
+
+
 def test_lines_are_dealt_out_by_order_once(spark, sf):
     from grovespark.plans.forest import project
 
