@@ -40,6 +40,13 @@ def test_descendants_of_many_roots(odd, monkeypatch, few):
     assert sorted(r.id for r in tree.descendants(odd, odd.where("id in ('a', 'a/x', 'b')")).collect()) == ["a//q", "a/x", "a/x/1", "a/x/1", "a/x/1/s"]
 
 
+def test_dfs_order_by_ranges(spark, monkeypatch):
+    monkeypatch.setattr(tree, "RANGE", 3)
+    ids = ["a", "a/b", "a/b/c", "a\x00", "a\x00/b", "a\x01", "a\x01\x01", "a\x00\x00", "a\x01/b", "a b/c", "a-b", "a/é", "a/z", "", "/"]
+    got = {r.id: r.position for r in tree.dfs_order(spark.createDataFrame([(i,) for i in ids], "id string")).collect()}
+    assert sorted(got, key=got.get) == sorted(ids, key=lambda i: [s.encode() for s in i.split("/")]) and sorted(got.values()) == list(range(len(ids)))
+
+
 def test_lines_are_dealt_out_by_order_once(spark, sf):
     from grovespark.plans.forest import project
 
