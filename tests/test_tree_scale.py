@@ -5,6 +5,7 @@ import re
 import pytest
 
 from grovespark.operators import tree
+from grovespark.queries import graph_stats, leaves
 
 SCHEMA = "id string, parent_id string, name string, node_type string"
 ROWS = [("b", None, "B", "domain"), ("b", None, "again", "domain"), ("a", None, "A", "domain"), ("a/x", "a", "X", "task"), ("a/x/1", "a/x", "one", "atomic"), ("a/x/1", "a/x", "copy", "atomic"), ("a/x/1/s", "gone", "astray", "atomic"), (None, "a/x", "none", "atomic"), ("", None, "empty", "task"), ("a//q", "a/", "gap", "task")]
@@ -47,6 +48,19 @@ def test_dfs_order_by_ranges(spark, monkeypatch):
     assert sorted(got, key=got.get) == sorted(ids, key=lambda i: [s.encode() for s in i.split("/")]) and sorted(got.values()) == list(range(len(ids)))
 
 
+def test_leaves_deeper_than_all_parents_are_not_moved(odd):
+    want = sorted((str(i), t) for i, _, _, t in ROWS if i is None or i not in {p for _, p, _, _ in ROWS})
+    assert sorted((str(r.id), r.node_type) for r in leaves(odd).collect()) == want
+    assert "substring_index" in plan(leaves(odd))
+
+
+def test_graph_stats_moves_no_sure_leaves(odd):
+    assert graph_stats(odd).first().n_leaves == sum(i is None or i not in {p for _, p, _, _ in ROWS} for i, *_ in ROWS)
+    assert "substring_index" in plan(graph_stats(odd))
+    none = odd.where("parent_id is null")
+    assert graph_stats(none).first().n_leaves == none.count()
+
+
 def test_lines_are_dealt_out_by_order_once(spark, sf):
     from grovespark.plans.forest import project
 
