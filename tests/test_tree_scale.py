@@ -61,6 +61,13 @@ def test_graph_stats_moves_no_sure_leaves(odd):
     assert graph_stats(none).first().n_leaves == none.count()
 
 
+def test_lists_of_children_move_no_sure_leaves(odd):
+    got = tree.rebuild_children(odd)
+    assert "substring_index" in plan(got)
+    lists = sorted((str(r.id), r["name"], len(r.children_ids)) for r in got.collect())
+    assert lists == sorted((str(i), n, sum(p == i for _, p, _, _ in ROWS) if i is not None else 0) for i, _, n, _ in ROWS)
+
+
 def test_lines_are_dealt_out_by_order_once(spark, sf):
     from grovespark.plans.forest import project
 
