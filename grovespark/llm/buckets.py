@@ -53,9 +53,10 @@ def verified(pairs: DataFrame, bodies: DataFrame, elements: Callable[[Column], C
     """Of pairs (a, b), those whose sets have at least the threshold as exact Jaccard similarity."""
     with_a = pairs.join(bodies.select(F.col("id").alias("a"), F.col("body").alias("v")), "a")
     both = with_a.join(bodies.select(F.col("id").alias("b"), F.col("body").alias("w")), "b")
-    full = both.select("a", "b", elements(F.col("v")).alias("x"), elements(F.col("w")).alias("y"))
-    shared = full.select("a", "b", F.size("x").alias("nx"), F.size("y").alias("ny"), F.size(F.array_intersect("x", "y")).alias("both"))
-    near = F.col("both") >= threshold * F.greatest(F.lit(1), F.col("nx") + F.col("ny") - F.col("both"))
+    # exploded as one row each: Spark would put sets and counts into the filter, and work each set out three times
+    full = both.select("a", "b", F.explode_outer(F.array(F.struct(elements(F.col("v")).alias("x"), elements(F.col("w")).alias("y")))).alias("s"))
+    shared = full.select("a", "b", F.explode_outer(F.array(F.struct(F.size("s.x").alias("nx"), F.size("s.y").alias("ny"), F.size(F.array_intersect("s.x", "s.y")).alias("both")))).alias("c"))
+    near = F.col("c.both") >= threshold * F.greatest(F.lit(1), F.col("c.nx") + F.col("c.ny") - F.col("c.both"))
     return materialize(shared.where(near).select("a", "b"))
 
 
