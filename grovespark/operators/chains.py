@@ -12,10 +12,10 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from grovespark.operators.ordering import ranked
+from grovespark.operators.ordering import numbered, ranked, running
 from grovespark.scratch import discard, materialize
 
 
@@ -38,19 +38,20 @@ def _doubled(left: DataFrame, start, plus, sizes: bool, rows: int) -> DataFrame:
     raise ValueError("the parents form a ring")
 
 
-def folded(edges: DataFrame, step: Column, start: Callable[[Column], Column], plus: Callable[[Column, Column], Column], sizes: bool = False, few: int = 100_000) -> DataFrame:
+def folded(edges: DataFrame, step: Column, start: Callable[[Column], Column], plus: Callable[[Column, Column], Column], sizes: bool | str = False, few: int = 100_000) -> DataFrame:
     """(id, root, total, size) of edges(id, up, ...): total puts together start(step) of the root and step of every node
     below it down to the node itself, by an associative plus(above, below). size, if asked for, counts the node and all
-    below it. edges is read several times. Once no more than `few` nodes are left, their pointers are doubled instead,
+    below it, or sums the column that `sizes` names over them. edges is read several times. Once no more than `few` nodes are left, their pointers are doubled instead,
     which moves all of them at each turn but takes fewer turns."""
     own = lambda *more: ["id", "up", "w", *(["s"] if sizes else []), *more]
+    counted = F.col(sizes) if isinstance(sizes, str) else F.lit(1).cast("long")
     turns, left, first = [], edges, True
     while True:
         # nodes without children go
         parents = left.where("up is not null").select(F.col("up").alias("__of")).distinct()
         read = [c for c in left.columns if c != "via"]
         marked = materialize(left.join(parents, F.col("id") == F.col("__of"), "left").select(*read, F.col("__of").isNotNull().alias("inner")))
-        said = marked.select("id", "up", step.alias("w"), *([F.lit(1).cast("long").alias("s")] if sizes else []), "inner") if first else marked
+        said = marked.select("id", "up", step.alias("w"), *([counted.alias("s")] if sizes else []), "inner") if first else marked
         bare = said.where(~F.col("inner") & F.col("up").isNotNull()).select(*own())
         kept = said.where(F.col("inner") | F.col("up").isNull()).select(*own("inner"))
         if sizes:
@@ -163,12 +164,148 @@ def siblings(nodes: DataFrame, order: list[str], key: str = "id", parent: str =
     return out.select("id", F.col("__up").alias("parent"), "pos", "n", *carry, *(["before"] if sum_of else []))
 
 
+_SPAN = 12  # 2^12 places are one span: what a window over places sees at once
+
+
+def _shortened(nodes: DataFrame, key: str, parent: str, more: list[str] = []) -> tuple[DataFrame, Callable[[Column], Column]]:
+    """nodes with hexadecimal texts as bytes, half as long and in the same order, and what turns an id back. A column stays
+    as it is unless all its values are lower-case hexadecimal of even length."""
+    texts = [c for c in dict.fromkeys([key, parent, *more]) if nodes.schema[c].dataType.simpleString() == "string"]
+    plain = lambda c: c
+    if not texts:
+        return nodes, plain
+    fits = lambda c: F.col(c).rlike(r"^[0-9a-f]*\z") & (F.length(c) % 2 == 0)
+    fit = nodes.agg(*[F.bool_and(fits(c)).alias(c) for c in texts]).first().asDict()
+    both = key in fit and parent in fit and bool(fit[key]) and fit[parent] is not False
+    short = [c for c in texts if (both if c in (key, parent) else fit[c])]
+    return nodes.withColumns({c: F.unhex(c) for c in short}), (lambda c: F.lower(F.hex(c))) if both else plain
+
+
+def _heads(rows: DataFrame, groups: DataFrame) -> tuple[DataFrame, bool, int]:
+    """groups(of, n, ...) beside the row(id, ...) whose children they are, if there is one; whether an id comes twice, and how
+    many groups hang from what is no row."""
+    known = rows.where("id is not null").withColumn("copies", F.count("*").over(Window.partitionBy("id")))
+    heads = materialize(groups.join(known, F.col("of") == F.col("id"), "full").where("n is not null or copies > 1"))
+    copies, lost = heads.agg(F.max("copies"), F.count_if(F.col("of").isNotNull() & F.col("id").isNull())).first()
+    return heads, (copies or 0) > 1, lost
+
+
+@dataclass(frozen=True)
+class _Places:
+    """rows(id, ..., k): nodes in the order of parent and siblings, so that the children of one have places without a gap.
+    inner(id, up, k, n, ...): nodes that have children, called by the place of the first of them; up: so is the parent called;
+    n: how many children there are, from place id on. Roots come first. `roots` and `all` are numbers of rows."""
+
+    rows: DataFrame
+    inner: DataFrame
+    roots: int
+    all: int
+
+
+def _places(nodes: DataFrame, order: list[Column], said: list[str]) -> _Places | None:
+    """Of nodes(id, up, ...); said: columns that rows and inner keep, of inner under the name own. None if ids repeat."""
+    while True:
+        rows = numbered(nodes, [F.col("up"), *order], ["id", "up", *said])
+        groups = rows.groupBy(F.col("up").alias("of")).agg(F.min("k").alias("first"), F.count("*").alias("n"))
+        heads, twice, lost = _heads(rows.select("id", *said, "k"), groups)
+        if twice:
+            return None
+        if not lost:
+            break
+        # children of what is no node are roots
+        none = heads.where("of is not null and id is null").select(F.col("of").alias("__none"))
+        nodes = nodes.join(none, F.col("up") == F.col("__none"), "left").withColumn("up", F.when(F.col("__none").isNull(), F.col("up"))).drop("__none")
+    roots, last = heads.agg(F.max(F.when(F.col("of").isNull(), F.col("n"))), F.max(F.col("first") + F.col("n"))).first()
+    inner = heads.where("id is not null").select(F.shiftright("k", _SPAN).alias("span"), F.col("k").alias("at"), F.lit(1).alias("kind"), "first", "k", "n", F.struct("id", *said).alias("own"))
+    events = _spread(heads.select("first", "n", F.col("first").alias("mark"))).unionByName(inner, allowMissingColumns=True)
+    up = F.last("mark", ignorenulls=True).over(_run().rowsBetween(Window.unboundedPreceding, 0))
+    inner = events.select("kind", "first", up.alias("up"), "k", "n", "own").where("kind = 1")
+    inner = materialize(inner.select(F.col("first").alias("id"), (F.when(F.col("up") > 0, F.col("up")) if roots else F.col("up")).alias("up"), "k", "n", "own"))
+    discard(heads)
+    return _Places(rows.drop("up"), inner, roots or 0, last or 0)
+
+
+def _run() -> WindowSpec:
+    return Window.partitionBy("span").orderBy("at", "kind")
+
+
+def _spread(marks: DataFrame) -> DataFrame:
+    """(span, at, kind, mark) of marks(first, n, mark), which hold for n places from first on: in each span that they reach."""
+    spans = F.sequence(F.shiftright("first", _SPAN), F.shiftright(F.col("first") + F.col("n") - 1, _SPAN))
+    out = marks.select("first", "mark", F.explode(spans).alias("span"))
+    return out.select("span", F.greatest("first", F.shiftleft("span", _SPAN)).alias("at"), F.lit(0).alias("kind"), "mark")
+
+
+def _root_marks(places: _Places, mark: Column) -> DataFrame:
+    return _spread(places.rows.sparkSession.range(1 if places.roots else 0).select(F.lit(0).cast("long").alias("first"), F.lit(places.roots).cast("long").alias("n"), mark.alias("mark")))
+
+
 def preorder(nodes: DataFrame, order: list[str], key: str = "id", parent: str = "parent_id", walk: Chains | None = None) -> DataFrame:
     """(id, position, depth, size): the walk from 0 that goes down before it goes on, siblings by the columns of order.
 
-    A node comes one after its parent and after all that its earlier siblings hold. So places are sums along the chain
-    of sums over siblings, and the forest is never sorted as a whole.
+    Nodes get places in the order of parent and siblings, and all that follows is done with numbers, most of it for nodes
+    that have children. A node comes one after its parent and after all that its earlier siblings hold: its position is
+    its place and what nodes of earlier places hold, less that of the first sibling, summed along the chain. Where ids
+    repeat, or a walk is given, ids are joined instead, which moves more.
     """
+    short, back = _shortened(nodes, key, parent, order)
+    by = [F.col(c).alias(f"__o{i}") for i, c in enumerate(order)]
+    told = short.select(F.col(key).alias("id"), F.col(parent).alias("up"), *by)
+    # a node without an id counts where sizes are summed, but has no position: it comes after its siblings
+    places = None if walk is not None else _places(told, [F.col("id").isNull(), *[F.col(f"__o{i}") for i in range(len(order))], F.col("id")], [])
+    if places is None:
+        return _preorder_by_ids(nodes, order, key, parent, walk)
+    long = lambda c: c.cast("long")
+    held = folded(places.inner, F.struct("k", "n", F.col("up").alias("g")), lambda w: w, lambda above, below: below, sizes="n")
+    held = materialize(held.select("id", F.col("total.g").alias("up"), "total.k", "total.n", F.col("size").alias("below"), F.shiftright("total.k", _SPAN).alias("span")))
+    spans = nodes.sparkSession.range((places.all >> _SPAN) + 1).select(F.col("id").alias("of"))
+    sums = held.groupBy("span").agg(F.sum("below").alias("v"))
+    before = materialize(spans.join(sums, F.col("of") == F.col("span"), "left").select("of", running(F.col("v"), Window.orderBy("of")).alias("before")))
+    summed = lambda events: events.withColumn("c", running(F.col("below"), _run())).join(F.broadcast(before), F.col("span") == F.col("of")).withColumn("c", F.col("before") + F.col("c")).drop("of", "before")
+    own = held.select("span", F.col("k").alias("at"), F.lit(1).alias("kind"), "id", "up", "n", "below")
+    first = held.select(F.shiftright("id", _SPAN).alias("span"), F.col("id").alias("at"), F.lit(0).alias("kind"), "id")
+    steps = summed(first.unionByName(own, allowMissingColumns=True)).groupBy("id").agg(F.max("up").alias("up"), F.max("n").alias("n"), F.sum(F.when(F.col("kind") == 1, F.col("at") + F.col("c") + 1).otherwise(-F.col("at") - F.col("c"))).alias("v"))
+    step = lambda d: F.struct("v", long(F.lit(d)).alias("d"), "n")
+    join = lambda above, below: F.struct((above["v"] + below["v"]).alias("v"), (above["d"] + below["d"]).alias("d"), below["n"].alias("n"))
+    found = folded(materialize(steps), step(1), lambda w: F.struct(w["v"].alias("v"), long(F.lit(0)).alias("d"), w["n"].alias("n")), join)
+    marks = _spread(found.select(F.col("id").alias("first"), "total.n", F.struct("total.v", (F.col("total.d") + 1).alias("d")).alias("mark")))
+    marks = marks.unionByName(_root_marks(places, F.struct(long(F.lit(0)).alias("v"), long(F.lit(0)).alias("d"))))
+    rows = places.rows.select(F.shiftright("k", _SPAN).alias("span"), F.col("k").alias("at"), F.lit(1).alias("kind"), "id")
+    more = held.select("span", F.col("k").alias("at"), F.lit(2).alias("kind"), "below")
+    events = marks.unionByName(rows, allowMissingColumns=True).unionByName(more, allowMissingColumns=True)
+    events = events.withColumns({"mark": F.last("mark", ignorenulls=True).over(_run().rowsBetween(Window.unboundedPreceding, 0)), "next": F.lead("kind").over(_run()), "holds": F.lead("below").over(_run())})
+    out = summed(events).where("kind = 1 and id is not null")
+    return out.select(back(F.col("id")).alias("id"), (F.col("mark.v") + F.col("at") + F.col("c")).alias("position"), F.col("mark.d").alias("depth"), (F.when(F.col("next") == 2, F.col("holds")).otherwise(F.lit(0)) + 1).alias("size"))
+
+
+def chain_paths(nodes: DataFrame, order: list[str], key: str = "id", parent: str = "parent_id", name: str = "name") -> DataFrame:
+    """(id, root, depth, path, names, places): ids, names and sibling places from the root to the node.
+
+    Lists are gathered for nodes that have children, and meet the children by their places; ids that repeat are joined."""
+    short, back = _shortened(nodes, key, parent, order)
+    by = [F.col(c).alias(f"__o{i}") for i, c in enumerate(order)]
+    told = short.select(F.col(key).alias("id"), F.col(parent).alias("up"), *by, F.col(name).alias("name"))
+    places = _places(told, [*[F.col(f"__o{i}") for i in range(len(order))], F.col("id")], ["name"])
+    if places is None:
+        return _paths_by_ids(nodes, order, key, parent, name)
+    one = lambda i, n, pos: F.array(F.struct(i.alias("id"), n.alias("name"), pos.alias("pos")))
+    own = one(F.col("own.id"), F.col("own.name"), F.col("k") - F.coalesce("up", F.lit(0)))
+    join = lambda above, below: F.struct(F.concat(above["l"], below["l"]).alias("l"), below["n"].alias("n"))
+    found = folded(places.inner, F.struct(own.alias("l"), "n"), lambda w: w, join)
+    mark = lambda first, l: F.struct(first.alias("first"), l.alias("l"))  # noqa: E731, E741
+    marks = _spread(found.select(F.col("id").alias("first"), "total.n", mark(F.col("id"), F.col("total.l")).alias("mark")))
+    none = F.array().cast(found.schema["total"].dataType["l"].dataType)
+    marks = marks.unionByName(_root_marks(places, mark(F.lit(0).cast("long"), none)))
+    rows = places.rows.select(F.shiftright("k", _SPAN).alias("span"), F.col("k").alias("at"), F.lit(1).alias("kind"), "id", "name")
+    events = marks.unionByName(rows, allowMissingColumns=True)
+    events = events.withColumn("mark", F.last("mark", ignorenulls=True).over(_run().rowsBetween(Window.unboundedPreceding, 0))).where("kind = 1")
+    full = events.select("id", F.concat("mark.l", one(F.col("id"), F.col("name"), F.col("at") - F.col("mark.first"))).alias("total"))
+    part = lambda f, do=lambda c: c: F.transform("total", lambda x: do(x[f]))
+    return full.select(back(F.col("id")).alias("id"), back(F.col("total")[0]["id"]).alias("root"), (F.size("total") - 1).cast("long").alias("depth"), part("id", back).alias("path"), part("name").alias("names"), part("pos").alias("places"))
+
+
+def _preorder_by_ids(nodes: DataFrame, order: list[str], key: str, parent: str, walk: Chains | None) -> DataFrame:
+    """preorder by joins of ids: positions are sums along the chain of sums over siblings."""
     walk = walk or chains(nodes, key, parent)
     sized = nodes.join(walk.measures.select(F.col("id").alias("__id"), "size"), F.col(key) == F.col("__id")).drop("__id")
     placed = materialize(siblings(sized, order, key, parent, ["size"], "size").select("id", F.col("parent").alias("up"), "size", "before"))
@@ -178,8 +315,8 @@ def preorder(nodes: DataFrame, order: list[str], key: str = "id", parent: str =
     return total.select("id", F.col("total.p").alias("position"), F.col("total.d").alias("depth"), F.col("total.size").alias("size"))
 
 
-def chain_paths(nodes: DataFrame, order: list[str], key: str = "id", parent: str = "parent_id", name: str = "name") -> DataFrame:
-    """(id, root, depth, path, names, places): ids, names and sibling places from the root to the node."""
+def _paths_by_ids(nodes: DataFrame, order: list[str], key: str, parent: str, name: str) -> DataFrame:
+    """chain_paths by joins of ids."""
     said = siblings(nodes, order, key, parent, [name])
     row = F.array(F.struct("id", F.col(name).alias("name"), "pos"))
     edges = materialize(said.select("id", F.col("parent").alias("up"), row.alias("own")))
@@ -188,14 +325,37 @@ def chain_paths(nodes: DataFrame, order: list[str], key: str = "id", parent: str
     return paths.select("id", "root", (F.size("total") - 1).cast("long").alias("depth"), part("id").alias("path"), part("name").alias("names"), part("pos").alias("places"))
 
 
+def _shown(nodes: DataFrame, max_depth: int, key: str, parent: str) -> DataFrame | None:
+    """nodes with depth and size, down to max_depth: sizes are summed over nodes that have children, and the children of
+    those that lie high enough are shown, beside the roots. None if ids repeat."""
+    rows = nodes.select(F.col(key).alias("id"), F.col(parent).alias("up"))
+    heads, twice, lost = _heads(rows, rows.groupBy(F.col("up").alias("of")).agg(F.count("*").alias("n")))
+    if twice:
+        return None
+    held = folded(heads.where("id is not null").select("id", "up", "n"), F.lit(1).cast("long"), lambda w: F.lit(0).cast("long"), _add, sizes="n")
+    top = materialize(held.where(F.col("total") <= max_depth).select(F.col("id").alias("__id"), F.col("total").alias("__depth"), F.col("size").alias("__below")))
+    high = materialize(top.where(F.col("__depth") < max_depth).select(F.col("__id").alias("__up"), (F.col("__depth") + 1).alias("depth")))  # small enough, as a rule, to be sent to all
+    none = heads.where("of is not null and id is null").select(F.col("of").alias("__none"))
+    free = nodes.where(F.col(parent).isNull())
+    if lost:
+        free = free.unionByName(nodes.join(none, F.col(parent) == F.col("__none"), "left_semi"))
+    free = free.where(F.lit(max_depth >= 0)).withColumn("depth", F.lit(0).cast("long"))
+    shown = free.unionByName(nodes.join(high, F.col(parent) == F.col("__up")).drop("__up")).where(F.col(key).isNotNull())
+    return materialize(shown.join(top, F.col(key) == F.col("__id"), "left").withColumn("size", F.coalesce("__below", F.lit(0)) + 1).drop("__id", "__depth", "__below"))
+
+
 def ordered_tree_lines(nodes: DataFrame, order: list[str], max_depth: int = 3, key: str = "id", parent: str = "parent_id") -> DataFrame:
     """(position, id, line): the forest as text down to a depth, siblings by the columns of order; by position to read it.
 
     A line has a bar for each ancestor that is not the last of its siblings. Places and bars follow from nodes no deeper
     than the line, so only the sizes are gathered from all.
     """
-    walk = chains(nodes, key, parent)
-    shown = materialize(nodes.join(walk.measures.where(F.col("depth") <= max_depth).select(F.col("id").alias("__id"), "depth", "size"), F.col(key) == F.col("__id")).drop("__id"))
+    short, back = _shortened(nodes, key, parent, order)
+    short = short.select(*dict.fromkeys([key, parent, *order, "name", "node_type"]))
+    shown = _shown(short, max_depth, key, parent)
+    if shown is None:
+        measures = chains(short, key, parent).measures.where(F.col("depth") <= max_depth).select(F.col("id").alias("__id"), "depth", "size")
+        shown = materialize(short.join(measures, F.col(key) == F.col("__id")).drop("__id"))
     placed = materialize(siblings(shown, order, key, parent, ["depth", "size", "name", "node_type"], "size"))
     last = F.col("pos") == F.col("n") - 1
     step = F.struct((F.col("before") + 1).alias("p"), F.when(last, "    ").otherwise("│   ").alias("bars"))
@@ -205,7 +365,7 @@ def ordered_tree_lines(nodes: DataFrame, order: list[str], max_depth: int = 3, k
     full = placed.join(total.select(F.col("id").alias("__id"), "total"), F.col("id") == F.col("__id"))
     bars = F.substring(F.col("total.bars"), F.lit(1), F.length("total.bars") - 4)
     line = F.concat(bars, F.when(last, "└── ").otherwise("├── "), "name", F.lit(" ["), "node_type", F.lit("]"))
-    return full.select(F.col("total.p").alias("position"), "id", line.alias("line"))
+    return full.select(F.col("total.p").alias("position"), back(F.col("id")).alias("id"), line.alias("line"))
 
 
 def descendants_of(roots: DataFrame, walk: Chains) -> DataFrame:

@@ -1,8 +1,8 @@
-"""Ranks and running sums within groups that may hold a third of all rows."""
+"""Ranks, running sums and places for groups that may hold a third of all rows."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from grovespark.scratch import materialize
@@ -29,3 +29,18 @@ def ranked(rows: DataFrame, group: Column, order: list[Column], sum_of: str | No
         within = Window.partitionBy("__g", "__part").orderBy("__seq").rowsBetween(Window.unboundedPreceding, -1)
         out = out.withColumn("before", F.col("__sum") + F.coalesce(F.sum(sum_of).over(within), F.lit(0)))
     return out.select(*rows.columns, "pos", "n", *(["before"] if sum_of else []))
+
+
+def numbered(rows: DataFrame, by: list[Column], keep: list[str]) -> DataFrame:
+    """The columns `keep` of rows with k, their places from 0 in the order of `by`, ties by chance; written in that order, in
+    as many ranges as a shuffle has partitions. Only the sizes of the ranges are summed in one place."""
+    dealt = rows.repartitionByRange(*by).sortWithinPartitions(*by)
+    seq = materialize(dealt.select(*keep, F.monotonically_increasing_id().alias("__seq"))).withColumn("__part", F.shiftright("__seq", 33))
+    sizes = seq.groupBy(F.col("__part").alias("__of")).agg(F.count("*").alias("__n"))
+    before = materialize(sizes.select("__of", running(F.col("__n"), Window.orderBy("__of")).alias("__off")))
+    return seq.join(F.broadcast(before), F.col("__part") == F.col("__of")).select(*keep, (F.col("__off") + F.col("__seq").bitwiseAND(F.lit((1 << 33) - 1))).alias("k"))
+
+
+def running(value: Column, order: WindowSpec) -> Column:
+    """The sum of value over the rows before this one."""
+    return F.coalesce(F.sum(value).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("long"))
