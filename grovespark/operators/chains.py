@@ -16,7 +16,8 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from grovespark.operators.ordering import numbered, ranked, running
-from grovespark.scratch import discard, materialize
+from grovespark.scratch import discard
+from grovespark.scratch import settled as materialize
 
 
 def _doubled(left: DataFrame, start, plus, sizes: bool, rows: int) -> DataFrame:
@@ -182,18 +183,18 @@ def _shortened(nodes: DataFrame, key: str, parent: str, more: list[str] = []) ->
 
 
 def _heads(rows: DataFrame, groups: DataFrame) -> tuple[DataFrame, bool, int]:
-    """groups(of, n, ...) beside the row(id, ...) whose children they are, if there is one; whether an id comes twice, and how
-    many groups hang from what is no row."""
+    """groups(of, n, ...) beside the row(id, ...) whose children they are, if there is one (copies is null if there is none);
+    whether an id comes twice, and how many groups hang from what is no row."""
     known = rows.where("id is not null").withColumn("copies", F.count("*").over(Window.partitionBy("id")))
-    heads = materialize(groups.join(known, F.col("of") == F.col("id"), "full").where("n is not null or copies > 1"))
-    copies, lost = heads.agg(F.max("copies"), F.count_if(F.col("of").isNotNull() & F.col("id").isNull())).first()
+    heads = materialize(groups.join(known, F.col("of") == F.col("id"), "full").where("n is not null or copies > 1").drop("id"))
+    copies, lost = heads.agg(F.max("copies"), F.count_if(F.col("of").isNotNull() & F.col("copies").isNull())).first()
     return heads, (copies or 0) > 1, lost
 
 
 @dataclass(frozen=True)
 class _Places:
     """rows(id, ..., k): nodes in the order of parent and siblings, so that the children of one have places without a gap.
-    inner(id, up, k, n, ...): nodes that have children, called by the place of the first of them; up: so is the parent called;
+    inner(id, up, k, n, own): nodes that have children, called by the place of the first of them; up: so is the parent called;
     n: how many children there are, from place id on. Roots come first. `roots` and `all` are numbers of rows."""
 
     rows: DataFrame
@@ -203,7 +204,8 @@ class _Places:
 
 
 def _places(nodes: DataFrame, order: list[Column], said: list[str]) -> _Places | None:
-    """Of nodes(id, up, ...); said: columns that rows and inner keep, of inner under the name own. None if ids repeat."""
+    """Of nodes(id, up, ...); said: columns that rows keep, and inner, with the id, in own (if there are any). None if
+    ids repeat."""
     while True:
         rows = numbered(nodes, [F.col("up"), *order], ["id", "up", *said])
         groups = rows.groupBy(F.col("up").alias("of")).agg(F.min("k").alias("first"), F.count("*").alias("n"))
@@ -213,14 +215,15 @@ def _places(nodes: DataFrame, order: list[Column], said: list[str]) -> _Places |
         if not lost:
             break
         # children of what is no node are roots
-        none = heads.where("of is not null and id is null").select(F.col("of").alias("__none"))
+        none = heads.where("of is not null and copies is null").select(F.col("of").alias("__none"))
         nodes = nodes.join(none, F.col("up") == F.col("__none"), "left").withColumn("up", F.when(F.col("__none").isNull(), F.col("up"))).drop("__none")
     roots, last = heads.agg(F.max(F.when(F.col("of").isNull(), F.col("n"))), F.max(F.col("first") + F.col("n"))).first()
-    inner = heads.where("id is not null").select(F.shiftright("k", _SPAN).alias("span"), F.col("k").alias("at"), F.lit(1).alias("kind"), "first", "k", "n", F.struct("id", *said).alias("own"))
+    own = [F.struct(F.col("of").alias("id"), *said).alias("own")] if said else []
+    inner = heads.where("copies is not null").select(F.shiftright("k", _SPAN).alias("span"), F.col("k").alias("at"), F.lit(1).alias("kind"), "first", "n", *own)
     events = _spread(heads.select("first", "n", F.col("first").alias("mark"))).unionByName(inner, allowMissingColumns=True)
     up = F.last("mark", ignorenulls=True).over(_run().rowsBetween(Window.unboundedPreceding, 0))
-    inner = events.select("kind", "first", up.alias("up"), "k", "n", "own").where("kind = 1")
-    inner = materialize(inner.select(F.col("first").alias("id"), (F.when(F.col("up") > 0, F.col("up")) if roots else F.col("up")).alias("up"), "k", "n", "own"))
+    inner = events.select("kind", "first", up.alias("up"), F.col("at").alias("k"), "n", *(["own"] if said else [])).where("kind = 1")
+    inner = materialize(inner.select(F.col("first").alias("id"), (F.when(F.col("up") > 0, F.col("up")) if roots else F.col("up")).alias("up"), "k", "n", *(["own"] if said else [])))
     discard(heads)
     return _Places(rows.drop("up"), inner, roots or 0, last or 0)
 
@@ -332,10 +335,10 @@ def _shown(nodes: DataFrame, max_depth: int, key: str, parent: str) -> DataFrame
     heads, twice, lost = _heads(rows, rows.groupBy(F.col("up").alias("of")).agg(F.count("*").alias("n")))
     if twice:
         return None
-    held = folded(heads.where("id is not null").select("id", "up", "n"), F.lit(1).cast("long"), lambda w: F.lit(0).cast("long"), _add, sizes="n")
+    held = folded(heads.where("copies is not null").select(F.col("of").alias("id"), "up", "n"), F.lit(1).cast("long"), lambda w: F.lit(0).cast("long"), _add, sizes="n")
     top = materialize(held.where(F.col("total") <= max_depth).select(F.col("id").alias("__id"), F.col("total").alias("__depth"), F.col("size").alias("__below")))
     high = materialize(top.where(F.col("__depth") < max_depth).select(F.col("__id").alias("__up"), (F.col("__depth") + 1).alias("depth")))  # small enough, as a rule, to be sent to all
-    none = heads.where("of is not null and id is null").select(F.col("of").alias("__none"))
+    none = heads.where("of is not null and copies is null").select(F.col("of").alias("__none"))
     free = nodes.where(F.col(parent).isNull())
     if lost:
         free = free.unionByName(nodes.join(none, F.col(parent) == F.col("__none"), "left_semi"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from grovespark.scratch import materialize
+from grovespark.scratch import settled as materialize
 
 
 def ranked(rows: DataFrame, group: Column, order: list[Column], sum_of: str | None = None) -> DataFrame:

@@ -142,3 +142,82 @@ def test_ancestors_of_leaves_are_not_gathered_by_turns(spark):
     wide = spark.range(2000).select("id", F.when(F.col("id") > 0, F.lit(0).cast("long")).alias("parent_id"))
     sums = written_by(lambda: chains.chain_ancestors(chains.Chains(None, chains.edges_of(wide))).count())
     assert sum(sums) < 2100
+
+
+def moved_by(f, monkeypatch):
+    """Rows of all tables that are written while f runs, by chains and by ordering."""
+    found = []
+    for module in (chains, ordering):
+        plain = module.materialize
+        monkeypatch.setattr(module, "materialize", lambda df, plain=plain: (out := plain(df), found.append(out.count()))[0])
+    f()
+    return sum(found)
+
+
+def bushy(spark):
+    """A root, 40 nodes below it, and 50 leaves below each of these."""
+    rows = [("root", None, "r", "domain", 0)] + [(f"a{i}", "root", f"a{i}", "task", i % 3) for i in range(40)]
+    return spark.createDataFrame(rows + [(f"b{i}", f"a{i % 40}", f"b{i}", "atomic", i % 7) for i in range(2000)], NODE).repartition(4)
+
+
+def test_preorder_writes_leaves_once(spark, monkeypatch):
+    forest = bushy(spark)
+    assert moved_by(lambda: chains.preorder(forest, ["place"]).count(), monkeypatch) < 2041 + 1000
+
+
+def test_paths_write_leaves_once(spark, monkeypatch):
+    forest = bushy(spark)
+    assert moved_by(lambda: chains.chain_paths(forest, ["place"]).count(), monkeypatch) < 2041 + 1000
+
+
+def test_text_writes_no_leaves_below_it(spark, monkeypatch):
+    forest = bushy(spark)
+    assert moved_by(lambda: chains.ordered_tree_lines(forest, ["place"], 1).count(), monkeypatch) < 1000
+
+
+def hexed(rows):
+    """The same rows under ids of 32 hexadecimal digits, in no order."""
+    import hashlib
+
+    short = lambda i: i and hashlib.md5(i.encode()).hexdigest()
+    return [(short(i), short(p), *more) for i, p, *more in rows]
+
+
+def test_places_across_spans_lost_children_and_hexadecimal_ids(spark, rows, monkeypatch):
+    monkeypatch.setattr(chains, "_SPAN", 3)  # sibling groups reach over many spans of 8 places
+    own = hexed(rows)
+    forest = spark.createDataFrame(own, NODE).repartition(4)
+    want, sizes, kids = walked(own)
+    assert {(r.id, r.position, r.depth, r["size"]) for r in chains.preorder(forest, ["place"]).collect()} == {(i, k, d, sizes[i]) for k, (i, _, d, _) in enumerate(want)}
+    place = {k[0]: j for group in kids.values() for j, k in enumerate(sorted(group, key=lambda k: (k[4], k[0])))}
+    got = {r.id: r for r in chains.chain_paths(forest, ["place"]).collect()}
+    assert len(got) == len(want)
+    assert all(got[i].path == p and got[i].root == root and got[i].depth == d and got[i].places == [place[a] for a in p] for i, root, d, p in want)
+
+
+def test_repeated_and_null_ids_give_what_joins_of_ids_give(spark):
+    bag = lambda df: sorted(map(str, df.collect()))
+    twice = spark.createDataFrame([("a", None, "a", "x", 0), ("b", "a", "b", "x", 1), ("b", "a", "b", "x", 1), ("c", "b", "c", "x", 2), ("d", "a", "d", "x", 0)], NODE)
+    assert bag(chains.preorder(twice, ["place"])) == bag(chains._preorder_by_ids(twice, ["place"], "id", "parent_id", None))
+    null = spark.createDataFrame([("a", None, "a", "x", 0), (None, "a", "b", "x", 1), ("c", "a", "c", "x", 2), ("d", "c", "d", "x", 0), (None, None, "e", "x", 0), ("f", "none", "f", "x", None)], NODE)
+    assert bag(chains.preorder(null, ["place"])) == bag(chains._preorder_by_ids(null, ["place"], "id", "parent_id", None))
+    assert bag(chains.chain_paths(null, ["place"])) == bag(chains._paths_by_ids(null, ["place"], "id", "parent_id", "name"))
+
+
+def test_only_columns_of_lower_case_hexadecimal_are_shortened(spark):
+    def types(*ids):
+        df, back = chains._shortened(spark.createDataFrame([(i, None) for i in ids], "id string, parent_id string"), "id", "parent_id")
+        assert {r[0] for r in df.select(back(F.col("id"))).collect()} == set(ids)
+        return df.schema["id"].dataType.simpleString()
+
+    assert types("0aff", "", "10", None) == "binary"
+    assert types("0aff", "0A") == types("0af") == types("0a\n") == types("0a", "x") == "string"
+
+
+def test_settled_leaves_the_setting_as_it_was(spark):
+    from grovespark import scratch
+
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was = spark.conf.get(name, None)
+    assert scratch.settled(spark.range(100).groupBy((F.col("id") % 7).alias("k")).count()).count() == 7
+    assert spark.conf.get(name, None) == was
